@@ -25,6 +25,12 @@ class Embedder(Protocol):
         """``array<double>`` of ``dims`` numbers, NULL where the text cannot be embedded."""
 
 
+def once(udf):
+    """Keep Spark from repeating the call in a filter that it moves below the projection, as it may
+    with calls it takes for deterministic."""
+    return udf.asNondeterministic()
+
+
 def bucket_vectors(buckets: pa.Array, dims: int) -> pa.Array:
     """Counts of each bucket number per row, scaled to unit length; NULL for rows without any."""
     pieces = []
@@ -65,7 +71,7 @@ class HashEmbedder:
         def vectors(buckets: pa.Array) -> pa.Array:
             return bucket_vectors(buckets, dims)
 
-        return vectors(self.buckets(text))
+        return once(vectors)(self.buckets(text))
 
 
 @dataclass(frozen=True)
@@ -105,4 +111,4 @@ class ModelEmbedder:
                         out[i] = vector
                 yield pa.array(out, pa.list_(pa.float64()))
 
-        return vectors(text)
+        return once(vectors)(text)

@@ -42,9 +42,10 @@ def vector_kernel(dims: int, limit: int, bucketed: bool = False) -> Kernel:
 
     def kernel(documents: pa.Table, questions: pa.Table) -> pa.Table:
         ids, asins, scores = [], [], []
-        known, vectors = dense_rows(questions["embedding"].combine_chunks(), dims)
+        positions, vectors = dense_rows(questions["embedding"].combine_chunks(), dims)
         queries = np.full((questions.num_rows, dims), np.nan)
-        queries[known] = vectors
+        queries[positions] = vectors
+        known = ~np.isnan(queries[:, 0])
         if bucketed:
             query_buckets = fixed_lists(questions["buckets"])
         for piece in slices(documents, questions):
@@ -64,7 +65,7 @@ def vector_kernel(dims: int, limit: int, bucketed: bool = False) -> Kernel:
                 if not len(candidates):
                     continue
                 rows = at[candidates]
-                scored = rows >= 0 if q in known_set(known) else np.zeros(len(rows), dtype=bool)
+                scored = (rows >= 0) & known[q]
                 rough = np.full(len(candidates), -np.inf)
                 rough[scored] = (
                     matrix[rows[scored]] @ queries[q] if bucketed else products[rows[scored], q]
@@ -85,10 +86,6 @@ def vector_kernel(dims: int, limit: int, bucketed: bool = False) -> Kernel:
     return kernel
 
 
-def known_set(known: np.ndarray) -> frozenset:
-    return frozenset(known.tolist())
-
-
 def fixed_lists(column: pa.ChunkedArray) -> np.ndarray:
     """A list column whose rows are equally long, as a matrix."""
     values = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
@@ -206,7 +203,7 @@ def query_terms(text: Column) -> Column:
 
 def document_frequencies(collection: DataFrame, terms: DataFrame) -> DataFrame:
     """(term, df) for the given distinct terms, counted over the collection."""
-    held = collection.select(F.explode(F.array_distinct("description_tokens")).alias("term"))
+    held = collection.select(F.explode_outer(F.array_distinct("description_tokens")).alias("term"))
     return held.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
 
 
@@ -226,8 +223,9 @@ def text_questions(
     idf = bm25_idf(corpus["documents"], F.coalesce("df", F.lit(0)))
     weighted = (
         placed.join(found, "term", "left")
+        .withColumn("idf", idf)
         .groupBy("query_id")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "term", idf.alias("idf")))).alias("_weighted"))
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "term", "idf"))).alias("_weighted"))
     )
     return filtered.drop("_terms").join(weighted, "query_id").select(
         "query_id",

@@ -25,6 +25,9 @@ from shelfseek.operators.salting import salted_left_join
 
 Kernel = Callable[[pa.Table, pa.Table], pa.Table]
 
+# Keys that may stand in a filter as literals.
+MAX_LITERAL_KEYS = 200
+
 
 @dataclass(frozen=True)
 class BlockSizes:
@@ -47,10 +50,24 @@ def score_blocks(
     in some block if they share a key, and in several if they share several."""
     measured = questions.agg(F.coalesce(F.sum(question_bytes), F.lit(0)).alias("b")).first().b
     if measured <= sizes.broadcast_bytes:
-        return _broadcast(documents, questions.toArrow(), kernel, result_schema)
+        asked = questions.withColumn("_keys", question_keys).toArrow()
+        possible = documents.filter(_askable(asked, document_keys))
+        return _broadcast(possible, asked.drop_columns("_keys"), kernel, result_schema)
     return _by_key(documents, questions, kernel, result_schema, document_keys, question_keys, sizes)
 
 
+def _askable(questions: pa.Table, document_keys: Column) -> Column:
+    """Documents that some question may want: in the widest price range, which reaches the scan, and
+    with one of the keys if those are few. The rest need not be sent to Python."""
+    low, high = pc.min(questions["min_price"]).as_py(), pc.max(questions["max_price"]).as_py()
+    wanted = F.col("estimated_price").between(F.lit(low), F.lit(high))
+    keys = [key for key in pc.unique(pc.list_flatten(questions["_keys"])).to_pylist() if key is not None]
+    if len(keys) <= MAX_LITERAL_KEYS:
+        kind = "bigint" if keys and isinstance(keys[0], int) else "string"
+        wanted &= F.arrays_overlap(document_keys, F.lit(keys).cast(f"array<{kind}>"))
+    return wanted
+
+
 def _broadcast(documents: DataFrame, questions: pa.Table, kernel: Kernel, schema: str) -> DataFrame:
     shared = documents.sparkSession.sparkContext.broadcast(questions)
 

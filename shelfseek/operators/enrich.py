@@ -54,13 +54,13 @@ def enrich(records: DataFrame, embedder: Embedder, raw_json_text: bool = False)
 
 def accepted(enriched: DataFrame) -> DataFrame:
     """Records that got an embedding, with the enriched JSON as ``value``."""
-    kept = enriched.filter(F.col("enriched").isNotNull())
+    kept = enriched.filter(F.col("embedding").isNotNull())
     return kept.withColumn("value", F.col("enriched")).drop("enriched", "embedding", "reject_reason")
 
 
 def rejected(enriched: DataFrame) -> DataFrame:
     """Records that got none, as they came, with ``reject_reason``."""
-    return enriched.filter(F.col("enriched").isNull()).drop("enriched", "embedding")
+    return enriched.filter(F.col("embedding").isNull()).drop("enriched", "embedding")
 
 
 def embed_distinct(

@@ -31,15 +31,15 @@ def parse_products(messages: DataFrame) -> DataFrame:
     """Typed product fields from JSON text in ``value``.
 
     ``price`` becomes a double where it reads as one, else NULL. Unnamed fields are kept as JSON
-    text in ``other_fields``. ``_meta`` holds where the record came from, for those source columns
-    the frame has.
+    text in ``other_fields``. ``_meta`` holds the record as it came and where it came from, for those
+    source columns the frame has. Text that is no JSON object gives a row without an asin.
     """
     record = F.col("_record")
     parsed = messages.withColumn("_record", parse_object(F.col("value")))
     others = F.map_filter(record, lambda key, _: ~key.isin(*NAMED_FIELDS))
     embedding = json_field(record, "embedding").try_cast("array<array<double>>")
-    meta = [c for c in ("topic", "partition", "offset", "timestamp") if c in messages.columns]
-    return parsed.filter(record.isNotNull()).select(
+    meta = [c for c in ("value", "topic", "partition", "offset", "timestamp") if c in messages.columns]
+    return parsed.select(
         *[json_text(json_field(record, name)).alias(name) for name in NAMED_FIELDS[:4]],
         json_field(record, "price").try_cast("double").alias("price"),
         embedding.alias("embedding"),

@@ -24,13 +24,17 @@ class TextIndex:
 def postings(collection: DataFrame) -> DataFrame:
     """One row per document and distinct term. No shuffle: a document is counted where it is read."""
     tokens = F.col("description_tokens")
-    return collection.select(
+    # The outer form, as the inner one makes Spark count once more to drop empty lists beforehand.
+    counted = collection.select(
         "asin",
         F.size(tokens).alias("dl"),
         "estimated_price",
         "brand_tokens",
-        F.explode(term_counts(tokens)).alias("counted"),
-    ).select("asin", "counted.term", "counted.tf", "dl", "estimated_price", "brand_tokens")
+        F.explode_outer(term_counts(tokens)).alias("counted"),
+    )
+    return counted.select(
+        "asin", "counted.term", "counted.tf", "dl", "estimated_price", "brand_tokens"
+    ).filter(F.col("term").isNotNull())
 
 
 def term_statistics(postings_: DataFrame) -> DataFrame:

@@ -21,6 +21,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents, dealt out to all cores if they come in fewer files than there are cores: text work
+    on one file of one row group would otherwise be one task. Larger tables are read as they are."""
+    rows = table(spark, sf_dir, "documents")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores, "doc_id") if len(rows.inputFiles()) < cores else rows
+
+
 def price() -> Column:
     """Every seventh part has no price, so that the default is used."""
     return F.when(F.col("p_partkey") % 7 != 0, F.col("p_retailprice"))
@@ -30,7 +38,7 @@ def raw_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Products as they leave the enrichment step: the vector is the first of an array of vectors."""
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.array("embedding").alias("embedding"))
     return (
-        table(spark, sf_dir, "documents")
+        documents(spark, sf_dir)
         .join(table(spark, sf_dir, "part"), F.col("doc_id") == F.col("p_partkey"))
         .join(vectors, F.col("doc_id") == F.col("vec_id"), "left")
         .select(

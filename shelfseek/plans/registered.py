@@ -24,6 +24,7 @@ from shelfseek.plans.products import (
     MIN_PRICE,
     TERMS,
     collection,
+    documents,
     query_vector,
     raw_products,
     table,
@@ -35,7 +36,7 @@ from shelfseek.streaming import jobs
 FILTERS = {"min_price": MIN_PRICE, "max_price": MAX_PRICE, "brand": BRAND, "limit": LIMIT}
 
 # Small enough that the questions are never broadcast and every key is cut into several blocks.
-BY_KEY = BlockSizes(broadcast_bytes=0, documents=256, questions=64)
+BY_KEY = BlockSizes(broadcast_bytes=0, documents=512, questions=100)
 
 
 def rounded(name: str) -> Column:
@@ -56,7 +57,7 @@ def product_rows(results: DataFrame, *scores: str, keys: tuple[str, ...] = ()) -
 def vector_entries(df: DataFrame, key: str) -> DataFrame:
     """(key, bucket, weight) for the numbers of ``embedding`` that are not 0."""
     return (
-        df.select(key, F.posexplode("embedding").alias("bucket", "weight"))
+        df.select(key, F.posexplode_outer("embedding").alias("bucket", "weight"))
         .filter(F.col("weight") != 0)
         .select(key, "bucket", rounded("weight"))
     )
@@ -268,15 +269,14 @@ def q_query_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_hash_embed(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "documents")
     return vector_entries(
-        documents.select("doc_id", HashEmbedder(DIMS)(F.col("text")).alias("embedding")), "doc_id"
+        documents(spark, sf).select("doc_id", HashEmbedder(DIMS)(F.col("text")).alias("embedding")), "doc_id"
     )
 
 
 def q_embed_distinct(spark: SparkSession, sf: str) -> DataFrame:
-    documents = table(spark, sf, "documents").select("doc_id", "text")
-    embedded = embed_distinct(documents, "text", "doc_id", HashEmbedder(DIMS), parallelism=8)
+    rows = documents(spark, sf).select("doc_id", "text")
+    embedded = embed_distinct(rows, "text", "doc_id", HashEmbedder(DIMS), parallelism=8)
     return vector_entries(embedded, "doc_id")
 
 
@@ -300,7 +300,7 @@ def enriched_entries(messages: DataFrame) -> DataFrame:
     """Fields and vector entries read back from enriched JSON."""
     parsed = parse_products(messages).withColumn("embedding", F.col("embedding")[0])
     return (
-        parsed.select("asin", "title", "brand", "price", F.posexplode("embedding").alias("bucket", "weight"))
+        parsed.select("asin", "title", "brand", "price", F.posexplode_outer("embedding").alias("bucket", "weight"))
         .filter(F.col("weight") != 0)
         .select("asin", "title", "brand", "price", "bucket", rounded("weight"))
     )
@@ -323,7 +323,7 @@ def damaged_records(spark: SparkSession, sf: str) -> DataFrame:
         .when(F.col("doc_id") % 7 == 6, F.lit("null"))
         .otherwise(whole)
     )
-    return table(spark, sf, "documents").select("doc_id", damaged.alias("value"))
+    return documents(spark, sf).select("doc_id", damaged.alias("value"))
 
 
 def q_reject_reasons(spark: SparkSession, sf: str) -> DataFrame:
@@ -470,7 +470,7 @@ def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     write_messages(topics.keyed_records(products), topic, day=2)
     write_messages(topics.keyed_records(products.withColumn("title", F.lit("older"))), topic, day=1)
     jobs.start_ingest(
-        topics.read_topic_files(spark, topic, files_per_batch=1),
+        topics.read_topic_files(spark, topic, files_per_batch=4),
         path,
         checkpoint=f"{path}-checkpoint",
         dims=DIMS,
