@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from shelfseek.functions.vectors import dot_product, vector_enforce, vector_parameter
 from shelfseek.operators.batch_search import (
     VECTOR_RESULT,
+    id_type,
     question_filters,
+    vector_bytes,
     vector_kernel,
     with_products,
 )
-from shelfseek.operators.blocks import BlockSizes, best, score_blocks
+from shelfseek.operators.blocks import BlockSizes, best, measure, score_blocks
 from shelfseek.operators.search import (
     DEFAULT_BRAND,
     DEFAULT_LIMIT,
@@ -87,23 +89,23 @@ def batch_ann_search(
     sizes: BlockSizes = BlockSizes(),
 ) -> DataFrame:
     """``ann_search`` for every row of ``queries`` (query_id, embedding, min_price, max_price, brand)."""
+    size = measure(queries, vector_bytes(dims + model.getNumHashTables()))
     checked = queries.select(
         *question_filters(), vector_enforce(F.col("embedding"), dims).alias("embedding")
     )
-    questions = add_buckets(checked, model)
     scored = score_blocks(
         bucketed.select("asin", "estimated_price", "brand_tokens", "embedding", "buckets"),
-        questions,
+        add_buckets(checked, model),
+        size,
         vector_kernel(dims, limit, bucketed=True),
-        VECTOR_RESULT.format(id=questions.schema["query_id"].dataType.simpleString()),
+        VECTOR_RESULT.format(id=id_type(queries)),
         document_keys=F.col("buckets"),
         question_keys=F.col("buckets"),
-        question_bytes=F.lit(8 * dims + 8 * model.getNumHashTables() + 64),
         sizes=sizes,
     )
     # A pair that shares several buckets may come from several blocks, each time with the same score.
     winners = best(scored.dropDuplicates(["query_id", "asin"]), similarity_order(), limit)
-    return with_products(winners, bucketed, "similarity", limit, questions)
+    return with_products(winners, bucketed, "similarity", limit, size)
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

@@ -14,11 +14,14 @@ from shelfseek.operators.blocks import (
     BlockSizes,
     Filters,
     Kernel,
+    QuestionSize,
     best,
+    measure,
     score_blocks,
     slices,
     text_ranks,
 )
+from shelfseek.operators.salting import salted_left_join
 from shelfseek.operators.search import (
     DEFAULT_LIMIT,
     MAX_BROADCAST_WINNERS,
@@ -27,6 +30,7 @@ from shelfseek.operators.search import (
     text_order,
 )
 from shelfseek.operators.text_index import TextIndex, corpus_statistics
+from shelfseek.scratch import stored
 
 VECTOR_RESULT = "query_id {id}, asin string, similarity double"
 TEXT_RESULT = "query_id {id}, asin string, text_search_score double, estimated_price double"
@@ -159,16 +163,26 @@ def question_filters() -> list[Column]:
     ]
 
 
-def with_products(winners: DataFrame, collection: DataFrame, score: str, limit: int, questions: DataFrame) -> DataFrame:
-    """Winners with their product columns. They are broadcast only if few questions bound their number."""
+def with_products(
+    winners: DataFrame, collection: DataFrame, score: str, limit: int, size: QuestionSize
+) -> DataFrame:
+    """Winners with their product columns. They are broadcast only if few questions bound their number;
+    else they are joined so that a product that wins very often is spread over tasks."""
     ranked = winners.select("query_id", "rank", "asin", score)
-    few = MAX_BROADCAST_WINNERS // max(limit, 1)
-    if questions.limit(few + 1).count() <= few:
-        ranked = F.broadcast(ranked)
-    found = collection.select(*PRODUCT_COLUMNS).join(ranked, "asin")
+    products = collection.select(*PRODUCT_COLUMNS)
+    if size.rows * limit <= MAX_BROADCAST_WINNERS:
+        found = products.join(F.broadcast(ranked), "asin")
+    else:
+        ranked = stored(ranked, "winners")
+        wins = ranked.groupBy("asin").agg(F.count("*").alias("_wins"))
+        found = salted_left_join(ranked, products.join(wins, "asin"), "asin", "_wins", "query_id")
     return found.select("query_id", "rank", *PRODUCT_COLUMNS, score)
 
 
+def id_type(queries: DataFrame) -> str:
+    return queries.schema["query_id"].dataType.simpleString()
+
+
 def batch_vector_search(
     collection: DataFrame,
     queries: DataFrame,
@@ -177,22 +191,33 @@ def batch_vector_search(
     sizes: BlockSizes = BlockSizes(),
 ) -> DataFrame:
     """``vector_search`` for every row of ``queries`` (query_id, embedding, min_price, max_price, brand)."""
+    size = measure(queries, vector_bytes(dims))
     questions = queries.select(
         *question_filters(), vector_enforce(F.col("embedding"), dims).alias("embedding")
     )
-    documents = collection.select("asin", "estimated_price", "brand_tokens", "embedding")
     scored = score_blocks(
-        documents,
+        collection.select("asin", "estimated_price", "brand_tokens", "embedding"),
         questions,
+        size,
         vector_kernel(dims, limit),
-        VECTOR_RESULT.format(id=questions.schema["query_id"].dataType.simpleString()),
+        VECTOR_RESULT.format(id=id_type(queries)),
         document_keys=F.col("brand_tokens"),
         question_keys=F.array("brand"),
-        question_bytes=F.lit(8 * dims + 64),
         sizes=sizes,
     )
     winners = best(scored, similarity_order(), limit)
-    return with_products(winners, collection, "similarity", limit, questions)
+    return with_products(winners, collection, "similarity", limit, size)
+
+
+def vector_bytes(numbers: int) -> Column:
+    """Most a question of so many numbers takes, its brand included."""
+    return F.coalesce(F.octet_length("brand"), F.lit(0)) + 8 * numbers + 64
+
+
+def text_bytes() -> Column:
+    """Most a question takes as terms: its text, and a weight and an offset for each word of it, where a
+    word and the space before it are at least two bytes."""
+    return F.coalesce(F.octet_length("brand"), F.lit(0)) + 8 * F.coalesce(F.octet_length("text"), F.lit(0)) + 128
 
 
 def query_terms(text: Column) -> Column:
@@ -249,18 +274,16 @@ def batch_full_text_search(
 ) -> DataFrame:
     """``full_text_search`` for every row of ``queries`` (query_id, text, min_price, max_price, brand),
     the text split into terms at white space."""
-    questions = text_questions(collection, queries, normalize_terms, index)
-    documents = collection.select("asin", "estimated_price", "brand_tokens", "description_tokens")
-    term_bytes = F.aggregate("terms", F.lit(64), lambda n, t: n + F.octet_length(t) + 16)
+    size = measure(queries, text_bytes())
     scored = score_blocks(
-        documents,
-        questions,
+        collection.select("asin", "estimated_price", "brand_tokens", "description_tokens"),
+        text_questions(collection, queries, normalize_terms, index),
+        size,
         text_kernel(limit, match_all),
-        TEXT_RESULT.format(id=questions.schema["query_id"].dataType.simpleString()),
+        TEXT_RESULT.format(id=id_type(queries)),
         document_keys=F.col("brand_tokens"),
         question_keys=F.array("brand"),
-        question_bytes=term_bytes,
         sizes=sizes,
     )
     winners = best(scored, text_order(), limit)
-    return with_products(winners, collection, "text_search_score", limit, queries)
+    return with_products(winners, collection, "text_search_score", limit, size)

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from shelfseek.functions.text import row_numbers
 from shelfseek.operators.salting import salted_left_join
+from shelfseek.scratch import stored
 
 Kernel = Callable[[pa.Table, pa.Table], pa.Table]
 
@@ -36,24 +37,36 @@ class BlockSizes:
     questions: int = 256
 
 
+@dataclass(frozen=True)
+class QuestionSize:
+    rows: int
+    bytes: int
+
+
+def measure(queries: DataFrame, bytes_each: Column) -> QuestionSize:
+    """How many queries there are and how much memory they may take, at most, as questions."""
+    total = F.coalesce(F.sum(bytes_each), F.lit(0))
+    return QuestionSize(*queries.agg(F.count("*"), total).first())
+
+
 def score_blocks(
     documents: DataFrame,
     questions: DataFrame,
+    size: QuestionSize,
     kernel: Kernel,
     result_schema: str,
     document_keys: Column,
     question_keys: Column,
-    question_bytes: Column,
     sizes: BlockSizes = BlockSizes(),
 ) -> DataFrame:
     """Best rows per question and block. ``document_keys`` and ``question_keys`` are arrays; a pair is
     in some block if they share a key, and in several if they share several."""
-    measured = questions.agg(F.coalesce(F.sum(question_bytes), F.lit(0)).alias("b")).first().b
-    if measured <= sizes.broadcast_bytes:
+    if size.bytes <= sizes.broadcast_bytes:
         asked = questions.withColumn("_keys", question_keys).toArrow()
         possible = documents.filter(_askable(asked, document_keys))
         return _broadcast(possible, asked.drop_columns("_keys"), kernel, result_schema)
-    return _by_key(documents, questions, kernel, result_schema, document_keys, question_keys, sizes)
+    kept = stored(questions, "questions")
+    return _by_key(documents, kept, kernel, result_schema, document_keys, question_keys, sizes)
 
 
 def _askable(questions: pa.Table, document_keys: Column) -> Column:
@@ -160,7 +173,7 @@ def text_ranks(values: pa.ChunkedArray) -> np.ndarray:
 
 
 def slices(documents: pa.Table, questions: pa.Table, cells: int = 1 << 21) -> Iterator[pa.Table]:
-    """The documents of a block in pieces whose score matrix has at most ``cells`` numbers."""
-    rows = max(64, cells // max(questions.num_rows, 1))
+    """The documents of a block in pieces of at most 4096 whose score matrix has about ``cells`` numbers."""
+    rows = max(64, min(4096, cells // max(questions.num_rows, 1)))
     for start in range(0, documents.num_rows, rows):
         yield documents.slice(start, rows)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from shelfseek.functions.embedding import Embedder
 from shelfseek.functions.records import json_field, json_text, parse_object, with_property
 from shelfseek.operators.salting import salted_left_join
+from shelfseek.scratch import stored
 
 NOT_JSON = "not_json"
 NOT_OBJECT = "not_an_object"
@@ -75,7 +76,8 @@ def embed_distinct(
 
     For models that charge per call. ``parallelism`` is the number of concurrent callers. Texts are
     matched by their SHA-256, so that a shuffle does not carry them twice. ``key`` names a column that
-    tells rows apart and spreads the copies of a frequent text over tasks.
+    tells rows apart and spreads the copies of a frequent text over tasks. The vectors are stored before
+    they are handed out, so that a lost executor does not cost the calls again.
     """
     digest = "_digest"
     rows = df.withColumn(digest, F.sha2(F.col(text), 256))
@@ -86,5 +88,5 @@ def embed_distinct(
     )
     if parallelism is not None:
         texts = texts.repartition(parallelism, digest)
-    vectors = texts.select(digest, "_copies", embedder(F.col("_text")).alias(output))
+    vectors = stored(texts.select(digest, "_copies", embedder(F.col("_text")).alias(output)), "vectors")
     return salted_left_join(rows, vectors, on=digest, copies="_copies", spread_by=key).drop(digest)

@@ -169,6 +169,17 @@ def test_one_brand_and_many_copies(spark, sizes):
     assert by_text.count() == 9 * 101
 
 
+def test_many_winners_are_joined_without_broadcast(spark, monkeypatch):
+    shelf = random_shelf(spark).cache()
+    asked = [(q, 0.0, 60.0, "hot", [1.0, 0.5, 0.25, float(q % 2)]) for q in range(40)]
+    queries = spark.createDataFrame(asked, QUERY_SCHEMA + ", embedding array<double>")
+    columns = ("query_id", "rank", "asin", "title", "similarity")
+    few = batch_vector_search(shelf, queries, 4, 5).select(*columns).collect()
+    monkeypatch.setattr("shelfseek.operators.batch_search.MAX_BROADCAST_WINNERS", 10)
+    many = batch_vector_search(shelf, queries, 4, 5).select(*columns).collect()
+    assert len(few) == 200 and sorted(few) == sorted(many)
+
+
 def test_score_does_not_depend_on_row_order(spark, shelf):
     shuffled = products(spark, random.Random(1).sample(SHELF, len(SHELF))).repartition(5)
     for search in (lambda s: vector_search(s, [0.6, 0.8]), full_text_search):
