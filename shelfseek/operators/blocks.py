@@ -106,7 +106,8 @@ def _by_key(
     held = keyed_documents.groupBy("_key").agg(F.count("*").alias("_held"))
     question_parts = F.ceil(F.col("_asked") / sizes.questions).cast("int").alias("_question_parts")
     document_parts = F.ceil(F.col("_held") / sizes.documents).cast("int").alias("_document_parts")
-    parts = held.join(asked, "_key", "left").select("_key", "_held", "_asked", question_parts, document_parts)
+    counted = held.join(asked, "_key", "left")
+    parts = stored(counted.select("_key", "_held", "_asked", question_parts, document_parts), "parts")
     numbers = ("_question_parts", "_document_parts")
 
     def part_of(row_id: str, count: str) -> Column:

@@ -13,9 +13,10 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("tests")
         .config("spark.driver.memory", "6g")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
