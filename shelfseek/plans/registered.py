@@ -29,7 +29,7 @@ from shelfseek.plans.products import (
     raw_products,
     table,
 )
-from shelfseek.scratch import new_folder
+from shelfseek.scratch import new_folder, stored
 from shelfseek.sources import files, topics
 from shelfseek.streaming import jobs
 
@@ -105,8 +105,8 @@ def q_full_text_search_named(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_full_text_search_indexed(spark: SparkSession, sf: str) -> DataFrame:
-    """The same search over a stored index."""
-    products = collection(spark, sf)
+    """The same search over a stored collection and index."""
+    products = stored(collection(spark, sf), "collection")
     index = text_index.save_index(text_index.text_index(products), new_folder(spark, "index"))
     return product_rows(full_text_search(products, TERMS, **FILTERS, index=index), "text_search_score")
 
@@ -154,8 +154,9 @@ def q_batch_vector_search_by_key(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def q_batch_full_text_search(spark: SparkSession, sf: str, sizes: BlockSizes = BlockSizes()) -> DataFrame:
+    products = stored(collection(spark, sf), "collection")
     found = batch_search.batch_full_text_search(
-        collection(spark, sf), text_queries(spark, sf), LIMIT, normalize_terms=True, sizes=sizes
+        products, text_queries(spark, sf), LIMIT, normalize_terms=True, sizes=sizes
     )
     return batch_rows(found, "text_search_score")
 
@@ -172,9 +173,9 @@ def q_compare_searches(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def hashed_collection(spark: SparkSession, sf: str) -> DataFrame:
-    """The collection with vectors made from the descriptions."""
+    """The collection with vectors made from the descriptions, stored so that they are made once."""
     embedded = HashEmbedder(DIMS)(F.col("description")).cast("array<float>")
-    return collection(spark, sf).withColumn("embedding", embedded)
+    return stored(collection(spark, sf).withColumn("embedding", embedded), "hashed")
 
 
 def q_compare_batch(spark: SparkSession, sf: str) -> DataFrame:
