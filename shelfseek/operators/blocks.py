@@ -173,7 +173,7 @@ def text_ranks(values: pa.ChunkedArray) -> np.ndarray:
     return ranks
 
 
-def slices(documents: pa.Table, questions: pa.Table, cells: int = 1 << 21) -> Iterator[pa.Table]:
+def slices(documents: pa.Table, questions: pa.Table, cells: int = 1 << 23) -> Iterator[pa.Table]:
     """The documents of a block in pieces of at most 4096 whose score matrix has about ``cells`` numbers."""
     rows = max(64, min(4096, cells // max(questions.num_rows, 1)))
     for start in range(0, documents.num_rows, rows):

@@ -84,7 +84,8 @@ BATCH_VECTOR_SEARCH = f"""WITH {PRODUCTS}, queries AS (
   FROM queries JOIN collection ON list_contains(brand_tokens, wanted)
   WHERE estimated_price BETWEEN {MIN_PRICE} AND {MAX_PRICE}
 )
-SELECT query_id, rank, asin, title, estimated_price, {rounded('similarity', 'similarity')} FROM (
+SELECT query_id, rank::INTEGER AS rank, asin, title, estimated_price,
+       {rounded('similarity', 'similarity')} FROM (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC NULLS LAST, asin) AS rank
   FROM vector_scored) WHERE rank <= {LIMIT}"""
 
@@ -111,14 +112,16 @@ scored AS (
 )"""
 
 BATCH_FULL_TEXT_SEARCH = f"""WITH {PRODUCTS}, {BATCH_TEXT}
-SELECT query_id, rank, asin, title, estimated_price, {rounded('text_search_score', 'text_search_score')}
+SELECT query_id, rank::INTEGER AS rank, asin, title, estimated_price,
+       {rounded('text_search_score', 'text_search_score')}
 FROM text_ranked WHERE rank <= {LIMIT}"""
 
 COMPARE_SEARCHES = f"""WITH {PRODUCTS}, {VECTOR_RANKED}, {scored(TERMS, 1)},
 vs AS (SELECT asin, title, row_number() OVER (ORDER BY similarity DESC NULLS LAST, asin) AS vs_rank FROM vector_scored),
 fts AS (SELECT asin, title, row_number() OVER (
           ORDER BY text_search_score DESC, estimated_price, asin) AS fts_rank FROM matching)
-SELECT asin, coalesce(v.title, f.title) AS title, vs_rank, fts_rank,
+SELECT asin, coalesce(v.title, f.title) AS title,
+       vs_rank::INTEGER AS vs_rank, fts_rank::INTEGER AS fts_rank,
        vs_rank IS NOT NULL AND fts_rank IS NOT NULL AS in_both
 FROM (SELECT * FROM vs WHERE vs_rank <= {5 * LIMIT}) v
 FULL OUTER JOIN (SELECT * FROM fts WHERE fts_rank <= {5 * LIMIT}) f USING (asin)"""
@@ -157,7 +160,8 @@ doc_vectors AS (
            PARTITION BY item_id ORDER BY list_inner_product(v, q) DESC NULLS LAST, asin) AS vs_rank
   FROM q_vectors, collection LEFT JOIN doc_vectors USING (asin) WHERE {PASSES}
 )
-SELECT query_id, asin, coalesce(v.title, f.title) AS title, vs_rank, fts_rank,
+SELECT query_id, asin, coalesce(v.title, f.title) AS title,
+       vs_rank::INTEGER AS vs_rank, fts_rank::INTEGER AS fts_rank,
        vs_rank IS NOT NULL AND fts_rank IS NOT NULL AS in_both
 FROM (SELECT * FROM vs WHERE vs_rank <= {LIMIT}) v
 FULL OUTER JOIN (SELECT query_id, asin, title, rank AS fts_rank FROM text_ranked WHERE rank <= {LIMIT}) f
