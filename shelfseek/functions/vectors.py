@@ -17,9 +17,9 @@ ROWS_PER_SLICE = 1024
 
 
 def vector_enforce(vector: Column, dims: int, element: str = "float") -> Column:
-    """``vector`` as ``array<element>`` if it has ``dims`` numbers and no NULL, else NULL."""
+    """``vector`` as ``array<element>`` if it has ``dims`` numbers, none of them NULL or NaN, else NULL."""
     typed = vector.try_cast(f"array<{element}>")
-    whole = (F.size(typed) == dims) & ~F.exists(typed, lambda x: x.isNull())
+    whole = (F.size(typed) == dims) & ~F.exists(typed, lambda x: x.isNull() | F.isnan(x))
     return F.when(whole, typed)
 
 

@@ -45,14 +45,14 @@ def vector_kernel(dims: int, limit: int, bucketed: bool = False) -> Kernel:
     """
 
     def kernel(documents: pa.Table, questions: pa.Table) -> pa.Table:
-        ids, asins, scores = [], [], []
+        ids, found, scores = [], [], []
         positions, vectors = dense_rows(questions["embedding"].combine_chunks(), dims)
         queries = np.full((questions.num_rows, dims), np.nan)
         queries[positions] = vectors
         known = ~np.isnan(queries[:, 0])
         if bucketed:
             query_buckets = fixed_lists(questions["buckets"])
-        for piece in slices(documents, questions):
+        for start, piece in slices(documents, questions):
             filters, ranks = Filters(piece, questions), text_ranks(piece["asin"])
             positions, matrix = dense_rows(piece["embedding"].combine_chunks(), dims)
             matrix = matrix.astype(np.float64)
@@ -83,9 +83,9 @@ def vector_kernel(dims: int, limit: int, bucketed: bool = False) -> Kernel:
                 exact[scored] = ordered_dot(matrix[rows[scored]], queries[q])
                 order = np.lexsort((ranks[candidates], -exact))[:limit]
                 ids.append(np.full(len(order), q))
-                asins.append(piece["asin"].take(pa.array(candidates[order])))
+                found.append(start + candidates[order])
                 scores.append(exact[order])
-        return result(questions, ids, asins, similarity=scores)
+        return result(documents, questions, found, ids, similarity=scores)
 
     return kernel
 
@@ -100,22 +100,22 @@ def text_kernel(limit: int, match_all: bool = False) -> Kernel:
     """Best ``limit`` documents per question by BM25, terms added in the question's order."""
 
     def kernel(documents: pa.Table, questions: pa.Table) -> pa.Table:
-        ids, asins, scores, prices = [], [], [], []
+        ids, found, scores, prices = [], [], [], []
         terms = questions["terms"].combine_chunks()
         encoded = terms.flatten().dictionary_encode()
         idf = questions["idfs"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
         starts = np.searchsorted(row_numbers(terms), np.arange(len(terms) + 1))
         codes = encoded.indices.to_numpy(zero_copy_only=False)
         average = questions["avgdl"].to_numpy()[0] if len(terms) else 1.0
-        for piece in slices(documents, questions):
+        for first, piece in slices(documents, questions):
             filters, ranks = Filters(piece, questions), text_ranks(piece["asin"])
             n = piece.num_rows
             tokens = piece["description_tokens"].combine_chunks()
             lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
-            found = pc.fill_null(pc.index_in(tokens.flatten(), value_set=encoded.dictionary), -1)
-            found = found.to_numpy(zero_copy_only=False).astype(np.int64)
-            held = found >= 0
-            pairs, tf = np.unique(found[held] * n + row_numbers(tokens)[held], return_counts=True)
+            places = pc.fill_null(pc.index_in(tokens.flatten(), value_set=encoded.dictionary), -1)
+            places = places.to_numpy(zero_copy_only=False).astype(np.int64)
+            held = places >= 0
+            pairs, tf = np.unique(places[held] * n + row_numbers(tokens)[held], return_counts=True)
             rows = pairs % max(n, 1)
             weights = bm25_weight(tf, lengths[rows], average)
             spans = np.searchsorted(pairs // max(n, 1), np.arange(len(encoded.dictionary) + 1))
@@ -133,20 +133,25 @@ def text_kernel(limit: int, match_all: bool = False) -> Kernel:
                 price = filters.price[candidates]
                 order = np.lexsort((ranks[candidates], price, -total[candidates]))[:limit]
                 ids.append(np.full(len(order), q))
-                asins.append(piece["asin"].take(pa.array(candidates[order])))
+                found.append(first + candidates[order])
                 scores.append(total[candidates[order]])
                 prices.append(price[order])
-        return result(questions, ids, asins, text_search_score=scores, estimated_price=prices)
+        return result(documents, questions, found, ids, text_search_score=scores, estimated_price=prices)
 
     return kernel
 
 
-def result(questions: pa.Table, ids: list, asins: list, **numbers: list) -> pa.Table:
-    """Rows of a block's result; a score of minus infinity is a missing one."""
-    chosen = pa.array(np.concatenate(ids).astype(np.int64) if ids else [], pa.int64())
+def result(
+    documents: pa.Table, questions: pa.Table, found: list, ids: list, **numbers: list
+) -> pa.Table:
+    """Rows of a block's result, from positions in both tables; a score of minus infinity is a missing one."""
+
+    def positions(parts: list) -> pa.Array:
+        return pa.array(np.concatenate(parts) if parts else [], pa.int64())
+
     columns = {
-        "query_id": questions["query_id"].take(chosen),
-        "asin": pa.chunked_array([c for a in asins for c in a.chunks], pa.string()),
+        "query_id": questions["query_id"].take(positions(ids)),
+        "asin": documents["asin"].take(positions(found)),
     }
     for name, parts in numbers.items():
         values = np.concatenate(parts) if parts else np.empty(0)

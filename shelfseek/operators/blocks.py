@@ -173,8 +173,11 @@ def text_ranks(values: pa.ChunkedArray) -> np.ndarray:
     return ranks
 
 
-def slices(documents: pa.Table, questions: pa.Table, cells: int = 1 << 23) -> Iterator[pa.Table]:
-    """The documents of a block in pieces of at most 4096 whose score matrix has about ``cells`` numbers."""
+def slices(
+    documents: pa.Table, questions: pa.Table, cells: int = 1 << 23
+) -> Iterator[tuple[int, pa.Table]]:
+    """The documents of a block in pieces of at most 4096 whose score matrix has about ``cells`` numbers,
+    each with the position of its first document."""
     rows = max(64, min(4096, cells // max(questions.num_rows, 1)))
     for start in range(0, documents.num_rows, rows):
-        yield documents.slice(start, rows)
+        yield start, documents.slice(start, rows)

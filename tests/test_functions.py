@@ -25,9 +25,9 @@ from shelfseek.functions.vectors import vector_parameter
 
 
 def test_vector_enforce(spark):
-    rows = [([1.0, 2.0],), ([1.0],), ([1.0, 2.0, 3.0],), ([],), (None,), ([1.0, None],)]
+    rows = [([1.0, 2.0],), ([1.0],), ([1.0, 2.0, 3.0],), ([],), (None,), ([1.0, None],), ([1.0, math.nan],)]
     df = spark.createDataFrame(rows, "v array<double>")
-    assert values(df.select(vector_enforce(F.col("v"), 2).alias("v")), "v") == [[1.0, 2.0]] + [None] * 5
+    assert values(df.select(vector_enforce(F.col("v"), 2).alias("v")), "v") == [[1.0, 2.0]] + [None] * 6
 
 
 def test_vector_enforce_reads_numeric_text_only(spark):
