@@ -1,7 +1,9 @@
 """Physical plans: what reaches the scan, what is shuffled, what is broadcast."""
 
 import pytest
+from pyspark.sql import functions as F
 
+from shelfseek.operators import collection as store
 from shelfseek.operators.batch_search import batch_vector_search
 from shelfseek.operators.search import full_text_search, vector_search
 from shelfseek.operators.text_index import postings, save_index, text_index
@@ -65,3 +67,16 @@ def test_batch_search_limits_before_the_shuffle(spark, shelf):
 def test_no_query_crosses_tables(spark, name):
     text = plan(QUERIES[name](spark, SF_DIR))
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
+
+
+def test_few_changes_are_merged_without_shuffling_the_snapshot(spark, shelf):
+    path = new_folder(spark, "merged")
+    rows = store.with_version(shelf.withColumn("ts", F.timestamp_seconds(F.lit(1))), "ts").drop("ts")
+    store.append_changes(rows, 0, path)
+    store.compact(spark, path)
+    store.append_changes(rows.limit(3), 1, path)
+    text = plan(store.read_collection(spark, path))
+    anti = next(line for line in text.splitlines() if "LeftAnti" in line)
+    assert "BroadcastHashJoin" in anti
+    untouched = text[text.index(anti) :].split("BroadcastExchange")[0]
+    assert "snapshot/version=0" in untouched and "Exchange" not in untouched
