@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from shelfseek.llm import decontaminate
+from shelfseek.llm import decontaminate, quality_trees
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1,
+    "op6_quality_trees": quality_trees.op6,
 }
 ORACLES: dict[str, str] = {}

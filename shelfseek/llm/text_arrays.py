@@ -218,3 +218,38 @@ def runs(mask: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     first = at[new]
     last = at[np.concatenate([new[1:], np.ones(min(1, len(at)), bool)])]
     return first, last + 1
+
+
+def counts_by_row(data: np.ndarray, offsets: np.ndarray, *members: np.ndarray) -> list[np.ndarray]:
+    """For each class of bytes, how many each text has."""
+    at = [np.zeros(len(offsets), np.int64) for _ in members]
+    carry = [0] * len(members)
+    for lo in range(0, len(data), PIECE):
+        hi = min(lo + PIECE, len(data))
+        a, b = np.searchsorted(offsets, lo, side="right"), np.searchsorted(offsets, hi, side="right")
+        for k, member in enumerate(members):
+            sums = np.cumsum(member[data[lo:hi]], dtype=np.int64)
+            at[k][a:b] = carry[k] + sums[offsets[a:b] - lo - 1]
+            carry[k] += int(sums[-1])
+    return [np.diff(x) for x in at]
+
+
+def row_keys(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Hashes that differ from row to row."""
+    with np.errstate(over="ignore"):
+        return mixed(hashes + mixed(rows.astype(np.uint64) + np.uint64(1)))
+
+
+def found_twice(keys: np.ndarray) -> np.ndarray:
+    """Which keys occur more than once."""
+    ordered = np.sort(keys)
+    twice = np.unique(ordered[1:][ordered[1:] == ordered[:-1]])
+    if not len(twice):
+        return np.zeros(len(keys), bool)
+    passing = np.zeros(1 << 20, bool)
+    passing[(twice >> np.uint64(44)).astype(np.int64)] = True
+    found = passing[(keys >> np.uint64(44)).astype(np.int64)]
+    near = np.flatnonzero(found)
+    place = np.minimum(np.searchsorted(twice, keys[near]), len(twice) - 1)
+    found[near] = twice[place] == keys[near]
+    return found
