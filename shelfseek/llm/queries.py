@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from shelfseek.llm import decontaminate, quality_trees
+from shelfseek.llm import decontaminate, pfair, quality_trees, sharding
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1,
+    "op5_shard": sharding.op5,
     "op6_quality_trees": quality_trees.op6,
+    "op10_mix": pfair.op10,
 }
 ORACLES: dict[str, str] = {}
