@@ -208,8 +208,8 @@ def decontaminate(
     for k, windows in enumerate(window_sets(benchmark, item_id, item_text, size, part_bytes)):
         if k:
             marks = stored(marks, "decontaminate")
-        marks = batch_map(marks, dropping(windows, text) if drop else marking(windows, text, cuts), marks.schema)
-    return marks if drop else batch_map(marks, cutting(text, cuts), schema)
+        marks = batch_map(marks, dropping(windows, text) if drop else marking(windows, text, cuts), marks.schema, text)
+    return marks if drop else batch_map(marks, cutting(text, cuts), schema, text)
 
 
 def unused(name: str, columns: list[str]) -> str:

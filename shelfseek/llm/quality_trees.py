@@ -201,7 +201,7 @@ def labelled_statistics(
         _, x = statistics(batch["_text"])
         return pa.table({"x": pa.array(list(x), pa.list_(pa.float64())), "label": batch["_label"], "id": batch["_id"]})
 
-    rows = batch_map(joined, work, f"x array<double>, label int, id {docs.schema[doc_id].dataType.simpleString()}")
+    rows = batch_map(joined, work, f"x array<double>, label int, id {docs.schema[doc_id].dataType.simpleString()}", "_text")
     # Sorted, so that the fit does not depend on how the rows were dealt out; repeated ids count once.
     found = rows.dropDuplicates(["id"]).orderBy("id").toArrow()
     x = np.array(found["x"].to_pylist(), np.float64).reshape(-1, len(FEATURES))

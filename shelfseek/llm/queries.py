@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from shelfseek.llm import chat_events, decontaminate, pfair, quality_trees, sharding
+from shelfseek.llm import chat_events, decontaminate, pfair, quality_trees, sharding, tensor_minhash
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1,
     "op5_shard": sharding.op5,
     "op6_quality_trees": quality_trees.op6,
     "op7_chat_events": chat_events.op7,
+    "op8_tensor_minhash": tensor_minhash.op8,
     "op10_mix": pfair.op10,
 }
 ORACLES: dict[str, str] = {}

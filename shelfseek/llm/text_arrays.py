@@ -12,8 +12,11 @@ import numpy as np
 import pyarrow as pa
 from pyspark import SparkContext, cloudpickle
 from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 PIECE = 1 << 18
+#: A batch is worked on in slices of rows that hold about so many bytes of text.
+SLICE_BYTES = 8 << 20
 # An odd number and its inverse modulo 2**64: powers of the one weigh the bytes of a span, powers of the
 # other move a span's sum to where it would be at position 0.
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -28,23 +31,37 @@ LOWER = np.array([b + 32 if 0x41 <= b <= 0x5A else b for b in range(256)], np.ui
 
 
 def batch_map(
-    df: DataFrame, work: Callable[[pa.RecordBatch], Iterable[pa.RecordBatch] | pa.RecordBatch | pa.Table], schema: str
+    df: DataFrame,
+    work: Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table | Iterable[pa.RecordBatch]],
+    schema: str | StructType,
+    text: str | None = "text",
 ) -> DataFrame:
-    """``mapInArrow`` for functions of one batch that return a batch, a table or several."""
+    """``mapInArrow`` for functions of one batch, called with slices that hold a bounded amount of ``text``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            made = work(batch)
-            if isinstance(made, pa.Table):
-                yield from made.to_batches()
-            elif isinstance(made, pa.RecordBatch):
-                yield made
-            else:
-                yield from made
+            for part in sliced(batch, text) if text else [batch]:
+                made = work(part)
+                if isinstance(made, pa.Table):
+                    yield from made.to_batches()
+                elif isinstance(made, pa.RecordBatch):
+                    yield made
+                else:
+                    yield from made
 
     return df.mapInArrow(run, schema)
 
 
+def sliced(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of about SLICE_BYTES of text, a row at least."""
+    _, offsets = text_bytes(batch[text])
+    lo = 0
+    while lo < batch.num_rows:
+        hi = max(lo + 1, int(np.searchsorted(offsets, offsets[lo] + SLICE_BYTES, side="right")) - 1)
+        yield batch.slice(lo, hi - lo)
+        lo = hi
+
+
 class Shared:
     """A value broadcast to the tasks, with the classes it is made of, and unpacked once in each task."""
 
@@ -210,6 +227,16 @@ def covered(starts: np.ndarray, ends: np.ndarray, n: int) -> np.ndarray:
     return np.cumsum(edges)[:n] > 0
 
 
+def distinct(keys: np.ndarray) -> np.ndarray:
+    """Marks one occurrence of each key."""
+    repeated = found_twice(keys)
+    at = np.flatnonzero(repeated)
+    _, first = np.unique(keys[at], return_index=True)
+    chosen = ~repeated
+    chosen[at[first]] = True
+    return chosen
+
+
 def runs(mask: np.ndarray, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Begin and end of each run of marked positions, cut where the row changes."""
     at = np.flatnonzero(mask)
