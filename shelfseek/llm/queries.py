@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfseek.llm import chat_events, decontaminate, lm_scoring, pfair, quality_trees, run_index, sharding, tensor_minhash
+from shelfseek.llm import chat_events, decontaminate, lm_scoring, pfair, quality_trees, run_index, sharding, templates, tensor_minhash
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1,
@@ -12,6 +12,7 @@ QUERIES = {
     "op6_quality_trees": quality_trees.op6,
     "op7_chat_events": chat_events.op7,
     "op8_tensor_minhash": tensor_minhash.op8,
+    "op9_site_templates": templates.op9,
     "op10_mix": pfair.op10,
 }
 ORACLES: dict[str, str] = {}
