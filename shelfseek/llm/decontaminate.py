@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfseek.llm.text_arrays import ALPHANUMERIC, LOWER, Shared, Words, batch_map, covered, runs, text_bytes
+from shelfseek.llm.text_arrays import ALPHANUMERIC, LOWER, Shared, Words, batch_map, covered, runs, text_bytes, unused
 from shelfseek.scratch import stored
 
 WINDOW = 10
@@ -212,12 +212,6 @@ def decontaminate(
     return marks if drop else batch_map(marks, cutting(text, cuts), schema, text)
 
 
-def unused(name: str, columns: list[str]) -> str:
-    while name.lower() in {c.lower() for c in columns}:
-        name += "_"
-    return name
-
-
 def dropping(windows, text: str):
     def work(batch: pa.RecordBatch) -> pa.Table:
         data, words = read_words(batch[text])

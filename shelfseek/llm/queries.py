@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from shelfseek.llm import chat_events, decontaminate, lm_scoring, pfair, quality_trees, run_index, sharding, templates, tensor_minhash
+from shelfseek.llm import chat_events, decontaminate, lm_scoring, pfair, quality_trees, run_index, sharding, templates, tensor_minhash, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1,
     "op2_context_mixing": lm_scoring.op2,
+    "op3_toxicity": toxicity.op3,
     "op4_run_index": run_index.op4,
     "op5_shard": sharding.op5,
     "op6_quality_trees": quality_trees.op6,

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfseek.llm.components import components
-from shelfseek.llm.text_arrays import LOWER, NOT_WHITE, Words, batch_map, distinct, mixed, row_keys, text_bytes, window_hashes
+from shelfseek.llm.text_arrays import LOWER, NOT_WHITE, Words, batch_map, distinct, mixed, row_keys, text_bytes, unused, window_hashes
 from shelfseek.scratch import stored
 
 SHINGLE = 5
@@ -338,3 +338,21 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
 
 def op8(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, all columns, of which one of each group of near-duplicates stays, the one with the
+    smallest id. Rows with equal ids are told apart by their texts, and of rows with equal ids and texts one stays; rows
+    without words are in no group and all stay."""
+    key = unused("_key", docs.columns)
+    keyed = docs.withColumn(key, F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("text")))
+    found = near_duplicates(keyed.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
+    kept = found.filter("kept").groupBy(F.col("doc_id").alias(key)).agg(
+        F.count("*").alias("n"), F.max("n_shingles").alias("n_shingles")
+    )
+    kept = stored(kept.select(key, ((F.col("n") > 1) & (F.col("n_shingles") > 0)).alias("again")), "minhash-kept")
+    single = keyed.join(kept.filter("NOT again").select(key), key, "left_semi")
+    again = kept.filter("again").select(key)
+    if not again.isEmpty():
+        single = single.unionByName(keyed.join(again, key, "left_semi").dropDuplicates([key]))
+    return single.drop(key)

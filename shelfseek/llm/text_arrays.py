@@ -85,6 +85,13 @@ def restored(packed) -> Shared:
     return shared
 
 
+def unused(name: str, columns: list[str]) -> str:
+    """A column name that is not taken."""
+    while name.lower() in {c.lower() for c in columns}:
+        name += "_"
+    return name
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts and where each begins, one position more than texts. Null counts as empty."""
     filled = column.fill_null("").cast(pa.large_binary())
