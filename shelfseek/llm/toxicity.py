@@ -38,7 +38,7 @@ MIN_TEXTS = 5
 #: An entry occurs in this share of the toxic texts at least ...
 MIN_SHARE = 0.01
 #: ... and its log-odds are at least this.
-MIN_WEIGHT = 2.5
+MIN_WEIGHT = 2.0
 
 # Letters of other scripts that look like Latin ones, and what digits and symbols stand for.
 LOOKALIKES = {
@@ -49,7 +49,7 @@ LOOKALIKES = {
 }
 STANDS_FOR = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g", "l": "i", "j": "i"}
 INSIDE = {"@": "a", "$": "s", "!": "i", "|": "i"}
-SYMBOL_INSIDE = re.compile(r"(?<=[a-z0-9])[@$!|](?=[a-z0-9])")
+SYMBOL_INSIDE = re.compile(r"(?<=[a-z0-9])[@$!|]+(?=[a-z0-9])")
 
 
 def beyond_ascii() -> dict[int, str]:
@@ -83,7 +83,7 @@ def fold(text: str) -> str:
     text = text.lower()
     if not text.isascii():
         text = text.translate(BEYOND_ASCII)
-    text = SYMBOL_INSIDE.sub(lambda m: INSIDE[m[0]], text)
+    text = SYMBOL_INSIDE.sub(lambda m: "".join(INSIDE[c] for c in m[0]), text)
     words = text.encode("utf-8", "replace").translate(WITHIN_ASCII).decode().split()
     return f" {' '.join(words)} " if words else " "
 
