@@ -81,6 +81,31 @@ def dot_product(vector: Column, query: Sequence[float]) -> Column:
     return scores(vector)
 
 
+def dot_product_pairs(left: Column, right: Column) -> Column:
+    """Row-wise dot product of two columns of equally long vectors, in Arrow batches; NULL where a side is unusable."""
+
+    @F.arrow_udf("double")
+    def scores(one: pa.Array, other: pa.Array) -> pa.Array:
+        lengths = [n for n in pc.unique(pc.list_value_length(other)).to_pylist() if n]
+        out = np.zeros(len(one))
+        missing = np.ones(len(one), dtype=bool)
+        for dims in lengths:
+            at, a = dense_rows(one, dims)
+            to, b = dense_rows(other, dims)
+            both, i, j = np.intersect1d(at, to, assume_unique=True, return_indices=True)
+            out[both] = np.cumsum(a[i].astype(np.float64) * b[j], axis=1)[:, -1]
+            missing[both] = False
+        return pa.array(out, mask=missing)
+
+    return scores(left, right)
+
+
+def same_length(vector: Column, query: Sequence[float]) -> Column:
+    """``vector``, or an error if it has another number of numbers than ``query``."""
+    message = F.concat(F.lit(f"embedding has {len(query)} numbers, the collection's have "), F.size(vector))
+    return F.when(F.size(vector) != len(query), F.raise_error(message).cast("array<float>")).otherwise(vector)
+
+
 def dot_product_columns(left: Column, right: Column) -> Column:
     """Dot product of two vector columns; NULL where lengths differ or a side is NULL."""
     products = F.zip_with(left, right, lambda x, y: x.cast("double") * y.cast("double"))

@@ -9,11 +9,12 @@ The tables are not written out at once:
 
 1. Equal sets are one node, whatever their number.
 2. In the tables (i, i) each node is paired with the smallest of its bucket. Links confirmed there join most copies.
-3. Only buckets of A that still hold several components are spread over all tables (i, j), and only table buckets that
-   still hold several components are compared. Nodes of one component need no comparing. A bucket with more than
-   ``MAX_BUCKET`` nodes is keyed further by the keys of A (a third factor, then a fourth, ...), which splits
-   accidental neighbours and keeps near-duplicates together.
-4. Pairs whose signatures agree enough are confirmed on their full sets. Nothing is dropped for its bucket's size.
+3. Only buckets of A that still hold several components are looked at again, nodes of different components with each
+   other: those that share a key of B, and so a table (i, j), and agree in enough of the signature have their full sets
+   compared inside the bucket, which gives only the links that join its components. A bucket with more than ``MAX_PAIRS``
+   such pairs or ``MAX_SHINGLES`` shingles is first spread over the keys of B, then of A again (a third factor, a
+   fourth, ...), which splits accidental neighbours and keeps near-duplicates together. Nothing is dropped for its
+   bucket's size.
 
 Defined results: texts without words, empty and null texts have an empty set and are linked with nothing; a text of
 one to four words is one shingle; rows with equal ids are told apart by their sets; a component's id is the smallest id
@@ -41,9 +42,14 @@ SIGNATURE = 2 * GROUPS * HASHES
 #: Of the signature's bytes, so many must agree before a pair is confirmed on full sets: at a similarity of 0.75 the
 #: expected number is 90 with a deviation of 4.7, so one true pair in 100,000 at that similarity has fewer.
 AGREEING = 70
-MAX_BUCKET = 256
+#: Most pairs of different components that are compared in one bucket; so it has at most one node more.
+MAX_PAIRS = 1 << 20
+#: Most shingles that the nodes of one bucket have together.
+MAX_SHINGLES = 4 << 20
 #: Members that one task confirms against one centre.
 MEMBERS = 64
+#: Sizes of the incidence matrices by which a bucket's sets are intersected.
+NODES, COLUMNS = 1024, 1024
 #: Shingles minhashed at a time.
 BLOCK = 1 << 15
 
@@ -184,86 +190,170 @@ def text_bytes_of_binary(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return (data[offsets[0] : offsets[-1]] if len(large) else data), offsets
 
 
-def compared(buckets: DataFrame) -> DataFrame:
-    """Pairs of different components in each bucket of at most MAX_BUCKET nodes whose signatures agree enough.
+def by_key(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The rows of each key, from batches sorted by key."""
+    held: list[pa.Table] = []
+    for batch in batches:
+        table = pa.table(batch)
+        keys = table["key"].to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(keys)) + 1).tolist(), len(keys)]
+        for lo, hi in zip(edges[:-1], edges[1:], strict=True):
+            if held and held[0]["key"][0].as_py() != keys[lo]:
+                yield pa.concat_tables(held).combine_chunks()
+                held = []
+            held.append(table.slice(lo, hi - lo))
+    if held:
+        yield pa.concat_tables(held).combine_chunks()
 
-    ``buckets``: key, node, label, n_shingles, signature."""
+
+def near_members(buckets: DataFrame) -> DataFrame:
+    """Of each bucket the nodes that may be linked with one of another component: a key of B agrees and so does enough
+    of the signature. A pair counts in the first of the buckets of A that it shares.
+
+    ``buckets``: key, i, node, label, n_shingles, a, b, signature."""
     dealt = buckets.repartition("key").sortWithinPartitions("key", "label", "node")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: pa.Table | None = None
-        for batch in batches:
-            table = pa.table(batch)
-            held = table if held is None else pa.concat_tables([held, table])
-            keys = held["key"].to_numpy()
-            # The last key may go on in the next batch.
-            whole = int(np.searchsorted(keys, keys[-1]))
-            yield from bucket_pairs(held.slice(0, whole))
-            held = held.slice(whole).combine_chunks()
-        if held is not None:
-            yield from bucket_pairs(held)
-
-    return dealt.mapInArrow(run, "u bigint, v bigint").distinct()
-
-
-def bucket_pairs(table: pa.Table) -> Iterator[pa.RecordBatch]:
-    if not table.num_rows:
-        return
-    table = table.combine_chunks()
-    keys, nodes, labels, sizes = (table[c].to_numpy() for c in ("key", "node", "label", "n_shingles"))
-    signatures = matrix(table["signature"].combine_chunks() if isinstance(table["signature"], pa.ChunkedArray) else table["signature"])
-    edges = np.concatenate([[0], np.flatnonzero(np.diff(keys)) + 1, [len(keys)]])
-    us, vs = [], []
-    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
-        if labels[lo] == labels[hi - 1]:
-            continue
-        for i in range(lo, hi - 1):
-            # Sorted by label: the other components' rows come after this component's last.
-            j = int(np.searchsorted(labels[lo:hi], labels[i], side="right")) + lo
-            if j == hi:
-                break
-            near = (signatures[j:hi] == signatures[i]).sum(axis=1) >= AGREEING
-            near &= 100 * np.minimum(sizes[j:hi], sizes[i]) >= PERCENT * np.maximum(sizes[j:hi], sizes[i])
-            found = nodes[j:hi][near]
-            us.append(np.minimum(found, nodes[i]))
-            vs.append(np.maximum(found, nodes[i]))
-    if us:
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(us)), pa.array(np.concatenate(vs))], names=["u", "v"])
+        for table in by_key(batches):
+            n = table.num_rows
+            labels, sizes, nodes = (table[c].to_numpy() for c in ("label", "n_shingles", "node"))
+            a, b = (table[c].combine_chunks().flatten().to_numpy().reshape(n, GROUPS) for c in ("a", "b"))
+            signatures = matrix(table["signature"].combine_chunks())
+            own = table["i"][0].as_py()
+            found = np.zeros(n, bool)
+            for k in range(n - 1):
+                # Sorted by label: the other components' rows come after this component's last.
+                j = int(np.searchsorted(labels, labels[k], side="right"))
+                if j == n:
+                    break
+                near = (signatures[j:] == signatures[k]).sum(axis=1) >= AGREEING
+                near &= 100 * np.minimum(sizes[j:], sizes[k]) >= PERCENT * np.maximum(sizes[j:], sizes[k])
+                at = np.flatnonzero(near) + j
+                at = at[(b[at] == b[k]).any(axis=1) & ~(a[at, :own] == a[k, :own]).any(axis=1)]
+                if len(at):
+                    found[at] = True
+                    found[k] = True
+            if found.any():
+                chosen = np.flatnonzero(found)
+                yield pa.RecordBatch.from_pydict({"key": table["key"].to_numpy()[chosen], "node": nodes[chosen]})
+
+    columns = ("key", "i", "node", "label", "n_shingles", "a", "b", "signature")
+    return dealt.select(*columns).mapInArrow(run, "key bigint, node bigint")
+
+
+def bucket_links(members: DataFrame) -> DataFrame:
+    """Links between components, confirmed on full sets inside each bucket: as many as join what the bucket joins.
+
+    ``members``: key, node, label, text."""
+    dealt = members.repartition("key").sortWithinPartitions("key", "label", "node")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in by_key(batches):
+            hashes, first = shingle_sets(table["text"].combine_chunks())
+            nodes, labels = table["node"].to_numpy(), table["label"].to_numpy()
+            # Rows with the same id and another text are not this node; a node may have come with several copies.
+            own = np.flatnonzero(set_hashes(hashes, first) == nodes)
+            _, one = np.unique(nodes[own], return_index=True)
+            one = own[np.sort(one)]
+            yield pairs_batch(joining(nodes[one], labels[one], [hashes[first[k] : first[k + 1]] for k in one]))
+
+    return dealt.select("key", "node", "label", "text").mapInArrow(run, "u bigint, v bigint").distinct()
+
+
+def pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([p[0] for p in pairs], pa.int64()), pa.array([p[1] for p in pairs], pa.int64())], names=["u", "v"]
+    )
+
+
+def joining(nodes: np.ndarray, labels: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
+    """Confirmed links that join the components of one bucket, none superfluous. All pairs of different components are
+    looked at: the nodes outside the largest component with all others, by products of incidence matrices."""
+    if len(nodes) < 2:
+        return []
+    sizes = np.array([len(s) for s in sets])
+    values, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.cumsum(times > 1) - 1
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    common = times[place] > 1
+    column, owner = shared[place[common]], owner[common]
+    order = np.argsort(column, kind="stable")
+    column, owner = column[order], owner[order]
+    names, counts = np.unique(labels, return_counts=True)
+    outside = np.flatnonzero(labels != names[np.argmax(counts)])
+    row = np.full(len(nodes), -1)
+    parent = {int(x): int(x) for x in names}
+
+    def find(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        return x
+
+    links = []
+    for lo in range(0, len(outside), NODES):
+        part = outside[lo : lo + NODES]
+        row[:] = -1
+        row[part] = np.arange(len(part))
+        both = np.zeros((len(part), len(nodes)), np.float32)
+        for c in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+            a, b = np.searchsorted(column, c), np.searchsorted(column, c + COLUMNS)
+            every = np.zeros((len(nodes), COLUMNS), np.float32)
+            every[owner[a:b], column[a:b] - c] = 1
+            both += every[part] @ every.T
+        linked = 100 * both >= PERCENT * (sizes[part][:, None] + sizes[None, :] - both)
+        for x, y in zip(*np.nonzero(linked), strict=True):
+            p, q = find(int(labels[part[x]])), find(int(labels[y]))
+            if p != q:
+                parent[p] = q
+                u, v = int(nodes[part[x]]), int(nodes[y])
+                links.append((min(u, v), max(u, v)))
+    return links
 
 
 def unresolved(buckets: DataFrame) -> DataFrame:
-    """Rows of buckets that hold several components."""
-    mixed_keys = buckets.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.count("*").alias("n"))
-    return buckets.join(mixed_keys.filter("least <> most").select("key", "n"), "key")
+    """Rows of buckets that hold several components, with the number of pairs of different ones and of shingles."""
+    per_label = buckets.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    n, square = F.sum("n"), F.sum(F.col("n") * F.col("n"))
+    several = per_label.groupBy("key").agg(((n * n - square) / 2).alias("pairs"), F.sum("shingles").alias("shingles"))
+    return buckets.join(several.filter("pairs > 0"), "key")
 
 
-def tensor_pairs(nodes: DataFrame, labels: DataFrame) -> DataFrame:
-    """Candidate pairs of different components over all tables (i, j)."""
+def tensor_links(nodes: DataFrame, labels: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """Confirmed links between different components over all tables (i, j)."""
     labelled = nodes.join(labels.withColumnRenamed("v", "node"), "node", "left").withColumn(
         "label", F.coalesce("label", "node")
     )
-    of_a = labelled.select("node", "label", F.posexplode("a").alias("i", "value"))
-    of_a = of_a.select("node", "label", F.xxhash64("i", "value").alias("key"))
-    open_a = stored(unresolved(of_a).select("node", "label", "key"), "minhash-open")
-    known = labelled.select("node", "n_shingles", "signature", "a", "b")
-    # Further factors: the keys of B first, then those of A again for what is still too large.
-    buckets, pairs = open_a, None
+    of_a = labelled.select("node", "label", "n_shingles", F.posexplode("a").alias("i", "value"))
+    rows = of_a.select("node", "label", "n_shingles", "i", F.xxhash64("i", "value").alias("key"))
+    known = labelled.select("node", "a", "b", "signature")
+    small = (F.col("pairs") <= MAX_PAIRS) & (F.col("shingles") <= MAX_SHINGLES)
+    links = None
+    # Further factors for what is too large: the keys of B, then those of A again.
     for level in range(GROUPS):
-        factor = known.select("node", F.posexplode("b" if level == 0 else "a").alias("i", "value"))
-        keyed = buckets.join(factor, "node").select(
-            "node", "label", F.xxhash64("key", F.lit(level), "i", "value").alias("key")
+        opened = stored(unresolved(rows), "minhash-open")
+        large = opened.filter(~small)
+        # Keyed by all factors and still too large: equal in all keys, so compared as it is.
+        last = level == GROUPS - 1 or large.isEmpty()
+        chosen = opened if last else opened.filter(small)
+        near = stored(near_members(chosen.join(known, "node")), "minhash-near")
+        members = near.join(chosen.select("key", "node", "label"), ["key", "node"])
+        texts = texts_of(near.select("node").distinct(), nodes, docs, doc_id, text)
+        found = stored(bucket_links(members.join(texts, "node")), "minhash-found")
+        links = found if links is None else links.union(found)
+        if last:
+            return links
+        factor = known.select("node", F.posexplode("b" if level == 0 else "a").alias("_f", "value"))
+        rows = large.select("key", "node", "label", "n_shingles", "i").join(factor, "node").select(
+            "node", "label", "n_shingles", "i", F.xxhash64("key", F.lit(level), "_f", "value").alias("key")
         )
-        opened = stored(unresolved(keyed), "minhash-tables")
-        small = opened.filter(F.col("n") <= MAX_BUCKET) if level < GROUPS - 1 else opened
-        found = compared(small.join(known.select("node", "n_shingles", "signature"), "node").select(
-            "key", "node", "label", "n_shingles", "signature"
-        ))
-        found = stored(found, "minhash-pairs")
-        pairs = found if pairs is None else pairs.union(found)
-        buckets = opened.filter(F.col("n") > MAX_BUCKET).select("node", "label", "key")
-        if buckets.isEmpty():
-            break
-    return pairs.distinct()
+    return links
+
+
+def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """(node, text) for the given nodes, perhaps several times and with texts of other nodes whose id is the same."""
+    ids = nodes.join(wanted, "node").select("node", F.col("doc_id").alias("_id"))
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    return own.join(ids, F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "text")
 
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -271,9 +361,7 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str,
 
     The texts of a centre u's partners meet u's text in tasks of about MEMBERS partners each."""
     ids = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    wanted = nodes.join(ids, "node").select("node", F.col("doc_id").alias("_id"))
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    texts = stored(own.join(wanted, F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "text"), "minhash-texts")
+    texts = stored(texts_of(ids, nodes, docs, doc_id, text), "minhash-texts")
     parts = pairs.groupBy("u").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")
     members = pairs.join(parts, "u").select("u", part.alias("part"), F.col("v").alias("node")).join(texts, "node")
@@ -319,8 +407,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     links = stored(confirmed(stars, nodes, docs, doc_id, text), "minhash-links")
     labels = components(links)
 
-    pairs = tensor_pairs(nodes, labels)
-    more = stored(confirmed(pairs, nodes, docs, doc_id, text), "minhash-more")
+    more = tensor_links(nodes, labels, docs, doc_id, text)
     if not more.isEmpty():
         # Components are nodes now: the links found later join them.
         labels = components(links.union(more))

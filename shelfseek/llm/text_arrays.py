@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import SparkContext, cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql.types import StructType
@@ -63,10 +64,10 @@ def sliced(batch: pa.RecordBatch, text: str) -> Iterator[pa.RecordBatch]:
 
 
 class Shared:
-    """A value broadcast to the tasks, with the classes it is made of, and unpacked once in each task."""
+    """A value broadcast to the tasks, compressed, with the classes it is made of, and unpacked once in each task."""
 
     def __init__(self, context: SparkContext, value: object):
-        self.packed = context.broadcast(cloudpickle.dumps(value))
+        self.packed = context.broadcast(zstandard.ZstdCompressor(level=1).compress(cloudpickle.dumps(value)))
         self.unpacked: list = []
 
     def __reduce__(self):
@@ -75,9 +76,13 @@ class Shared:
     @property
     def value(self):
         if not self.unpacked:
-            self.unpacked.append(cloudpickle.loads(self.packed.value))
+            self.unpacked.append(cloudpickle.loads(zstandard.ZstdDecompressor().decompress(self.packed.value)))
         return self.unpacked[0]
 
+    def destroy(self) -> None:
+        """Remove all copies, when no job will read them again."""
+        self.packed.destroy()
+
 
 def restored(packed) -> Shared:
     shared = Shared.__new__(Shared)

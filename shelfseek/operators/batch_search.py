@@ -36,12 +36,11 @@ VECTOR_RESULT = "query_id {id}, asin string, similarity double"
 TEXT_RESULT = "query_id {id}, asin string, text_search_score double, estimated_price double"
 
 
-def vector_kernel(dims: int, limit: int, bucketed: bool = False) -> Kernel:
+def vector_kernel(dims: int, limit: int) -> Kernel:
     """Best ``limit`` documents per question by dot product.
 
     A matrix product finds who may be among them, allowing for its rounding; those few are scored
-    again in the fixed order of summation. With ``bucketed`` only documents that share an LSH bucket
-    with the question count.
+    again in the fixed order of summation.
     """
 
     def kernel(documents: pa.Table, questions: pa.Table) -> pa.Table:
@@ -50,8 +49,6 @@ def vector_kernel(dims: int, limit: int, bucketed: bool = False) -> Kernel:
         queries = np.full((questions.num_rows, dims), np.nan)
         queries[positions] = vectors
         known = ~np.isnan(queries[:, 0])
-        if bucketed:
-            query_buckets = fixed_lists(questions["buckets"])
         for start, piece in slices(documents, questions):
             filters, ranks = Filters(piece, questions), text_ranks(piece["asin"])
             positions, matrix = dense_rows(piece["embedding"].combine_chunks(), dims)
@@ -59,21 +56,16 @@ def vector_kernel(dims: int, limit: int, bucketed: bool = False) -> Kernel:
             at = np.full(piece.num_rows, -1)
             at[positions] = np.arange(len(positions))
             norm = np.sqrt((matrix * matrix).sum(axis=1).max(initial=0.0))
-            products = None if bucketed else matrix @ queries.T
-            buckets = fixed_lists(piece["buckets"]) if bucketed else None
+            products = matrix @ queries.T
             for q in range(questions.num_rows):
                 passing = filters.passing(q)
-                if bucketed:
-                    passing &= (buckets == query_buckets[q]).any(axis=1)
                 candidates = np.flatnonzero(passing)
                 if not len(candidates):
                     continue
                 rows = at[candidates]
                 scored = (rows >= 0) & known[q]
                 rough = np.full(len(candidates), -np.inf)
-                rough[scored] = (
-                    matrix[rows[scored]] @ queries[q] if bucketed else products[rows[scored], q]
-                )
+                rough[scored] = products[rows[scored], q]
                 if len(candidates) > limit:
                     slack = 4 * dims * np.finfo(float).eps * norm * np.sqrt((queries[q] ** 2).sum())
                     floor = np.partition(rough, -limit)[-limit]
@@ -90,12 +82,6 @@ def vector_kernel(dims: int, limit: int, bucketed: bool = False) -> Kernel:
     return kernel
 
 
-def fixed_lists(column: pa.ChunkedArray) -> np.ndarray:
-    """A list column whose rows are equally long, as a matrix."""
-    values = column.combine_chunks().flatten().to_numpy(zero_copy_only=False)
-    return values.reshape(len(column), -1) if len(column) else values.reshape(0, 1)
-
-
 def text_kernel(limit: int, match_all: bool = False) -> Kernel:
     """Best ``limit`` documents per question by BM25, terms added in the question's order."""
 

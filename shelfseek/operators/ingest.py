@@ -30,19 +30,22 @@ def brand_tokens(brand: Column) -> Column:
 def parse_products(messages: DataFrame) -> DataFrame:
     """Typed product fields from JSON text in ``value``.
 
-    ``price`` becomes a double where it reads as one, else NULL. Unnamed fields are kept as JSON
-    text in ``other_fields``. ``_meta`` holds the record as it came and where it came from, for those
+    ``price`` becomes a double where it reads as one, else NULL; ``unread_price`` and ``unread_embedding``
+    hold as JSON text what was given and could not be read. Unnamed fields are kept as JSON text in ``other_fields``. ``_meta`` holds the record as it came and where it came from, for those
     source columns the frame has. Text that is no JSON object gives a row without an asin.
     """
     record = F.col("_record")
     parsed = messages.withColumn("_record", parse_object(F.col("value")))
     others = F.map_filter(record, lambda key, _: ~key.isin(*NAMED_FIELDS))
+    price = json_field(record, "price").try_cast("double")
     embedding = json_field(record, "embedding").try_cast("array<array<double>>")
     meta = [c for c in ("value", "topic", "partition", "offset", "timestamp") if c in messages.columns]
     return parsed.select(
         *[json_text(json_field(record, name)).alias(name) for name in NAMED_FIELDS[:4]],
-        json_field(record, "price").try_cast("double").alias("price"),
+        price.alias("price"),
+        F.when(price.isNull(), json_text(json_field(record, "price"), encoded=True)).alias("unread_price"),
         embedding.alias("embedding"),
+        F.when(embedding.isNull(), json_text(json_field(record, "embedding"), encoded=True)).alias("unread_embedding"),
         F.to_json(others).alias("other_fields"),
         F.struct(*meta).alias("_meta"),
     )
@@ -63,3 +66,18 @@ def ingest_transform(
             "origin": F.lit(origin),
         }
     )
+
+
+def ingest_problems(products: DataFrame, dims: int = DEFAULT_DIMS) -> DataFrame:
+    """(asin, reason, value) for what ``ingest_transform`` replaces or leaves out: a price that is no number, and a
+    vector that is none or not of ``dims`` numbers. The rows themselves go into the collection."""
+    first_vector = F.try_element_at("embedding", F.lit(1))
+    unusable = F.col("unread_embedding").isNotNull() | (
+        F.col("embedding").isNotNull() & vector_enforce(first_vector, dims).isNull()
+    )
+    given = F.coalesce("unread_embedding", F.to_json("embedding"))
+    problems = F.array(
+        F.when(F.col("unread_price").isNotNull(), F.struct(F.lit("price_not_a_number").alias("reason"), F.col("unread_price").alias("value"))),
+        F.when(unusable, F.struct(F.lit("embedding_unusable").alias("reason"), given.alias("value"))),
+    )
+    return products.select("asin", F.explode(F.array_compact(problems)).alias("problem")).select("asin", "problem.*")

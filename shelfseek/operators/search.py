@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from shelfseek.functions.embedding import Embedder
 from shelfseek.functions.text import bm25_idf, bm25_weight, has_term, match_terms, occurrences
-from shelfseek.functions.vectors import dot_product, vector_parameter
+from shelfseek.functions.vectors import dot_product, same_length, vector_parameter
 from shelfseek.operators.text_index import TextIndex
 
 # Default parameters of both searches.
@@ -63,12 +63,13 @@ def vector_search(
 ) -> DataFrame:
     """The ``limit`` products most similar to ``embedding`` among those that pass the filters.
 
-    Each task keeps its own best ``limit`` rows, so only those leave it.
+    Each task keeps its own best ``limit`` rows, so only those leave it. A query vector of another length than
+    ``dims``, or than the collection's vectors, is an error.
     """
     query = vector_parameter(embedding, dims)
     return (
         collection.filter(metadata_filter(min_price, max_price, brand))
-        .select(*PRODUCT_COLUMNS, dot_product(F.col("embedding"), query).alias("similarity"))
+        .select(*PRODUCT_COLUMNS, dot_product(same_length(F.col("embedding"), query), query).alias("similarity"))
         .orderBy(*similarity_order())
         .limit(int(limit))
     )

@@ -49,9 +49,10 @@ PARAMETERS = {
 
 VECTOR_SEARCH_SQL = """
 SELECT asin, title, brand, description, estimated_price, brand_tokens,
-       aggregate(zip_with(embedding, :embedding, (x, y) -> double(x) * double(y)),
-                 0D, (total, x) -> total + x) AS similarity
-FROM IDENTIFIER(:collection)
+       CASE WHEN size(embedding) <> size(:embedding) THEN raise_error('the query vector has another length')
+            ELSE aggregate(zip_with(embedding, :embedding, (x, y) -> double(x) * double(y)),
+                           0D, (total, x) -> total + x) END AS similarity
+FROM {collection}
 WHERE estimated_price BETWEEN :min_price AND :max_price
   AND array_contains(brand_tokens, lower(:brand))
 ORDER BY similarity DESC NULLS LAST, asin
@@ -85,8 +86,7 @@ def run_named(
     return vector_search(collection, **values)
 
 
-def vector_search_sql(collection: DataFrame, view: str, **given: object) -> DataFrame:
-    """The vector search as one parameterised SQL statement over a temporary view."""
-    collection.createOrReplaceTempView(view)
+def vector_search_sql(collection: DataFrame, **given: object) -> DataFrame:
+    """The vector search as one parameterised SQL statement over a collection; no view of the session is touched."""
     values = typed_parameters("vector_search", given)
-    return collection.sparkSession.sql(VECTOR_SEARCH_SQL, args={"collection": view, **values})
+    return collection.sparkSession.sql(VECTOR_SEARCH_SQL, args=values, collection=collection)

@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from shelfseek.functions.text import B, K1, TOKEN_PATTERN
-from shelfseek.operators.ingest import BRAND_NOISE, DEFAULT_ORIGIN, DEFAULT_PRICE
+from shelfseek.operators.ann import Planes
 from shelfseek.plans.products import BRAND, DIMS, LIMIT, MAX_PRICE, MIN_PRICE, TERMS
 
 
+# The rules' constants, written out here so that the check does not read them from what it checks.
+K1, B = 1.2, 0.75
+TOKEN_PATTERN = r"[\p{L}\p{N}]+"
+BRAND_NOISE, DEFAULT_ORIGIN, DEFAULT_PRICE = "by", "product_stream", 30.0
+
+
 def tokens(text: str) -> str:
     return f"regexp_extract_all(lower({text}), '{TOKEN_PATTERN}')"
 
@@ -48,6 +53,64 @@ VECTOR_SEARCH = f"""WITH {PRODUCTS}, {VECTOR_RANKED}
 SELECT {SHOWN}, {rounded('similarity', 'similarity')}
 FROM (SELECT * FROM vector_scored ORDER BY similarity DESC NULLS LAST, asin LIMIT {LIMIT})"""
 
+def bucket_list(vector: str) -> str:
+    """The buckets of a vector: which side of each plane it lies on, the planes' numbers written out."""
+    planes = Planes(DIMS)
+    return "[" + ", ".join(
+        f"{t << planes.bits} + "
+        + " + ".join(f"({dot(vector, str(planes.signs(t, b)))} > 0)::INTEGER * {1 << b}" for b in range(planes.bits))
+        for t in range(planes.tables)
+    ) + "]"
+
+
+def probe_list(buckets: str) -> str:
+    """Each bucket and those that differ from it in one bit."""
+    flips = str([0, *(1 << b for b in range(Planes(DIMS).bits))])
+    return f"flatten(list_transform({buckets}, lambda x: list_transform({flips}, lambda f: xor(x, f))))"
+
+
+ANN_SEARCH = f"""WITH {PRODUCTS}, question AS (SELECT embedding AS q FROM embeddings WHERE vec_id = 0),
+near AS (
+  SELECT c.*, {dot('embedding', 'q')} AS similarity FROM collection c, question
+  WHERE {PASSES} AND embedding IS NOT NULL AND list_has_any({bucket_list('embedding')}, {probe_list(bucket_list('q'))})
+)
+SELECT {SHOWN}, {rounded('similarity', 'similarity')}
+FROM (SELECT * FROM near ORDER BY similarity DESC, asin LIMIT {LIMIT})"""
+
+ANN_PAIRS = f"""{PRODUCTS}, queries AS (
+  SELECT vec_id AS query_id, embedding AS q, {probe_list(bucket_list('embedding'))} AS asked,
+         CASE WHEN vec_id % 2 = 1 THEN regexp_extract(p_brand, '[0-9]+') ELSE '{BRAND}' END AS wanted
+  FROM embeddings JOIN part ON p_partkey = vec_id
+), signed AS (
+  SELECT *, {bucket_list('embedding')} AS buckets FROM collection WHERE embedding IS NOT NULL
+)"""
+
+ANN_RECALL = f"""WITH {ANN_PAIRS}, pairs AS (
+  SELECT query_id, asin, {dot('embedding', 'q')} AS similarity, list_has_any(buckets, asked) AS near
+  FROM queries JOIN signed ON list_contains(brand_tokens, wanted)
+  WHERE estimated_price BETWEEN {MIN_PRICE} AND {MAX_PRICE}
+), exact AS (
+  SELECT query_id, asin FROM pairs
+  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, asin) <= {LIMIT}
+), found AS (
+  SELECT query_id, asin FROM pairs WHERE near
+  QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, asin) <= {LIMIT}
+)
+SELECT query_id, count(found.asin) / count(*)::DOUBLE AS recall
+FROM exact LEFT JOIN found USING (query_id, asin) GROUP BY query_id"""
+
+ANN_CANDIDATE_SHARE = f"""WITH {ANN_PAIRS}
+SELECT query_id, count(*) AS candidates, {rounded('count(*) / (SELECT count(*) FROM signed)::DOUBLE', 'share')}
+FROM queries JOIN signed ON list_has_any(buckets, asked) GROUP BY query_id"""
+
+VECTOR_SEARCH_RANKED = VECTOR_SEARCH.replace(
+    f"SELECT {SHOWN}", f"SELECT row_number() OVER (ORDER BY similarity DESC NULLS LAST, asin)::INTEGER AS rank, {SHOWN}", 1
+)
+
+INGEST_REJECTS = f"""SELECT CAST(p_partkey AS VARCHAR) AS asin, 'price_not_a_number' AS reason FROM part WHERE p_partkey % 5 = 0
+UNION ALL
+SELECT CAST(vec_id AS VARCHAR), 'embedding_unusable' FROM embeddings JOIN part ON p_partkey = vec_id WHERE vec_id % 4 <> 0"""
+
 POSTINGS = """tok AS (SELECT asin, unnest(description_tokens) AS term FROM collection),
 tf AS (SELECT asin, term, count(*) AS tf FROM tok GROUP BY asin, term),
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
@@ -69,9 +132,10 @@ scored AS (
 )"""
 
 
-def full_text_search(needed: int) -> str:
+def full_text_search(needed: int, ranked: bool = False) -> str:
+    place = "row_number() OVER (ORDER BY text_search_score DESC, estimated_price, asin)::INTEGER AS rank, " if ranked else ""
     return f"""WITH {PRODUCTS}, {scored(TERMS, needed)}
-SELECT {SHOWN}, {rounded('text_search_score', 'text_search_score')}
+SELECT {place}{SHOWN}, {rounded('text_search_score', 'text_search_score')}
 FROM (SELECT * FROM matching ORDER BY text_search_score DESC, estimated_price, asin LIMIT {LIMIT})"""
 
 
@@ -201,10 +265,13 @@ REPLAYED = """(SELECT * FROM events UNION ALL
    SELECT * FROM events)"""
 
 ORACLES = {
-    "vector_search": VECTOR_SEARCH,
+    "vector_search": VECTOR_SEARCH_RANKED,
+    "ann_search": ANN_SEARCH,
+    "ann_recall": ANN_RECALL,
+    "ann_candidate_share": ANN_CANDIDATE_SHARE,
     "vector_search_named": VECTOR_SEARCH,
     "vector_search_sql": VECTOR_SEARCH,
-    "full_text_search": full_text_search(1),
+    "full_text_search": full_text_search(1, ranked=True),
     "full_text_search_named": full_text_search(1),
     "full_text_search_indexed": full_text_search(1),
     "full_text_search_all": full_text_search(len(TERMS)),
@@ -241,6 +308,7 @@ ORACLES = {
     "parse_events_json": """SELECT event_id, (props::JSON ->> 'k')::BIGINT AS k,
         (props::JSON ->> 'missing') IS NULL AS missing FROM events""",
     "ingest_transform": INGEST,
+    "ingest_rejects": INGEST_REJECTS,
     "upsert_latest": LATEST.format(events="events"),
     "update_replay": LATEST.format(events=REPLAYED),
     "collection_status": f"""WITH {PRODUCTS}

@@ -21,24 +21,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-# Below this a table counts as small: less work for a core than it takes to start a task.
-SMALL_BYTES_PER_CORE = 16 << 20
-
-
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents, dealt out to all cores if the table is small: text work on one file of one row group
-    would otherwise be one task. Larger tables are read as they are, without a shuffle."""
-    rows = table(spark, sf_dir, "documents")
-    cores = spark.sparkContext.defaultParallelism
-    small = table_bytes(spark, f"{sf_dir}/documents.parquet") < cores * SMALL_BYTES_PER_CORE
-    return rows.repartition(cores, "doc_id") if small else rows
-
-
-def table_bytes(spark: SparkSession, path: str) -> int:
-    """Size of a stored table, from the file listing."""
-    location = spark._jvm.org.apache.hadoop.fs.Path(path)
-    system = location.getFileSystem(spark._jsc.hadoopConfiguration())
-    return system.getContentSummary(location).getLength()
+    """The documents as they are stored, whatever their size; how finely files are read is the session's setting."""
+    return table(spark, sf_dir, "documents")
 
 
 def price() -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfseek.functions.embedding import HashEmbedder
@@ -13,8 +13,15 @@ from shelfseek.operators import ann, batch_search, collection as store, text_ind
 from shelfseek.operators.blocks import BlockSizes
 from shelfseek.operators.compare import compare_results, compare_searches
 from shelfseek.operators.enrich import accepted, embed_distinct, enrich, rejected
-from shelfseek.operators.ingest import parse_products
-from shelfseek.operators.search import PRODUCT_COLUMNS, full_text_search, metadata_filter, vector_search
+from shelfseek.operators.ingest import ingest_problems, parse_products
+from shelfseek.operators.search import (
+    PRODUCT_COLUMNS,
+    full_text_search,
+    metadata_filter,
+    similarity_order,
+    text_order,
+    vector_search,
+)
 from shelfseek.plans.named import run_named, vector_search_sql
 from shelfseek.plans.products import (
     BRAND,
@@ -66,9 +73,14 @@ def vector_entries(df: DataFrame, key: str) -> DataFrame:
 # Searches
 
 
+def ranked(results: DataFrame, order: list[Column]) -> DataFrame:
+    """The few rows of a search's result with their places, so that their order can be checked."""
+    return results.withColumn("rank", F.row_number().over(Window.orderBy(*order)))
+
+
 def q_vector_search(spark: SparkSession, sf: str) -> DataFrame:
     found = vector_search(collection(spark, sf), query_vector(spark, sf), **FILTERS, dims=DIMS)
-    return product_rows(found, "similarity")
+    return product_rows(ranked(found, similarity_order()), "similarity", keys=("rank",))
 
 
 def q_vector_search_named(spark: SparkSession, sf: str) -> DataFrame:
@@ -82,13 +94,14 @@ def q_vector_search_named(spark: SparkSession, sf: str) -> DataFrame:
 
 def q_vector_search_sql(spark: SparkSession, sf: str) -> DataFrame:
     found = vector_search_sql(
-        collection(spark, sf), "searched_products", embedding=query_vector(spark, sf), **FILTERS
+        collection(spark, sf), embedding=query_vector(spark, sf), **FILTERS
     )
     return product_rows(found, "similarity")
 
 
 def q_full_text_search(spark: SparkSession, sf: str) -> DataFrame:
-    return product_rows(full_text_search(collection(spark, sf), TERMS, **FILTERS), "text_search_score")
+    found = full_text_search(collection(spark, sf), TERMS, **FILTERS)
+    return product_rows(ranked(found, text_order()), "text_search_score", keys=("rank",))
 
 
 def q_full_text_search_all(spark: SparkSession, sf: str) -> DataFrame:
@@ -187,23 +200,37 @@ def q_compare_batch(spark: SparkSession, sf: str) -> DataFrame:
     return compare_results(by_vector, by_text, keys=("query_id", "asin"))
 
 
+PLANES = ann.Planes(DIMS)
+
+
+def bucketed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """The stored collection and its index by bucket."""
+    products = stored(collection(spark, sf), "collection")
+    return products, ann.save_bucket_index(ann.bucket_index(products, PLANES), new_folder(spark, "buckets"))
+
+
 def q_ann_search(spark: SparkSession, sf: str) -> DataFrame:
-    products = collection(spark, sf)
-    model = ann.fit_buckets(products)
-    found = ann.ann_search(ann.add_buckets(products, model), model, query_vector(spark, sf), **FILTERS)
+    products, index = bucketed(spark, sf)
+    found = ann.ann_search(index, products, PLANES, query_vector(spark, sf), **FILTERS)
     return product_rows(found, "similarity")
 
 
 def q_ann_recall(spark: SparkSession, sf: str) -> DataFrame:
     """Share of the exact results found, per question."""
-    products, queries = collection(spark, sf), vector_queries(spark, sf)
+    products, index = bucketed(spark, sf)
+    queries = vector_queries(spark, sf)
+    found = ann.batch_ann_search(index, products, PLANES, queries, LIMIT)
     with_vectors = products.filter(F.col("embedding").isNotNull())
-    model = ann.fit_buckets(products)
-    found = ann.batch_ann_search(ann.add_buckets(products, model), model, queries, DIMS, LIMIT)
     exact = batch_search.batch_vector_search(with_vectors, queries, DIMS, LIMIT)
     return ann.recall(found, exact)
 
 
+def q_ann_candidate_share(spark: SparkSession, sf: str) -> DataFrame:
+    products, index = bucketed(spark, sf)
+    shares = ann.candidate_share(index, products, PLANES, vector_queries(spark, sf))
+    return shares.select("query_id", "candidates", rounded("share"))
+
+
 # Filters, scores, tokens
 
 
@@ -361,6 +388,20 @@ def q_ingest_transform(spark: SparkSession, sf: str) -> DataFrame:
     return ingest_rows(collection(spark, sf))
 
 
+def q_ingest_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Records of which every fifth has a price with a currency sign, and three of four a vector that is too short."""
+    price = F.col("p_retailprice").cast("string")
+    cut = F.slice("embedding", 1, F.lit(DIMS) - (F.col("vec_id") % 4).cast("int"))
+    record = F.struct(
+        F.col("p_partkey").cast("string").alias("asin"),
+        F.when(F.col("p_partkey") % 5 == 0, F.concat(F.lit("$"), price)).otherwise(price).alias("price"),
+        F.when(F.col("vec_id").isNotNull(), F.array(cut)).alias("embedding"),
+    )
+    vectors = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    parts = table(spark, sf, "part").join(vectors, F.col("p_partkey") == F.col("vec_id"), "left")
+    return ingest_problems(parse_products(parts.select(F.to_json(record).alias("value"))), DIMS).select("asin", "reason")
+
+
 # Collection
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from frames import PRODUCT, values
 from shelfseek.functions.embedding import HashEmbedder, ModelEmbedder
 from shelfseek.operators.enrich import accepted, embed_distinct, enrich, rejected
-from shelfseek.operators.ingest import ingest_transform, parse_products
+from shelfseek.operators.ingest import ingest_problems, ingest_transform, parse_products
 from shelfseek.operators.salting import salted_left_join
 
 RECORDS = [
@@ -67,7 +67,7 @@ def test_ingest_transform(spark):
     assert values(done.filter("asin = '1'"), "description_tokens") == [["space", "wars", "space"]]
 
 
-def test_prices_that_are_no_numbers_count_as_missing(spark):
+def test_prices_that_are_no_numbers_are_kept_and_reported(spark):
     records = spark.createDataFrame(
         [(f'{{"asin":"{i}","price":{p}}}',) for i, p in enumerate(['"7"', '"free"', "null", "3"])]
         + [('{"asin":"4"}',), ("broken",)],
@@ -77,6 +77,15 @@ def test_prices_that_are_no_numbers_count_as_missing(spark):
     assert values(parsed, "asin", "price") == [
         (None, None), ("0", 7.0), ("1", None), ("2", None), ("3", 3.0), ("4", None),
     ]
+    assert values(parsed.filter("unread_price IS NOT NULL"), "asin", "unread_price") == [("1", '"free"')]
+    kept = ingest_transform(parsed, 2).filter("asin = '1'").first()
+    assert kept.unread_price == '"free"' and kept.estimated_price == 30.0
+    vectors = spark.createDataFrame(
+        [('{"asin":"a","embedding":[[1,2]]}',), ('{"asin":"b","embedding":[[1]]}',), ('{"asin":"c","embedding":"x","price":[1]}',)], "value string"
+    )
+    assert sorted(values(ingest_problems(parse_products(vectors), 2), "asin", "reason", "value")) == [
+        ("b", "embedding_unusable", "[[1.0]]"), ("c", "embedding_unusable", '"x"'), ("c", "price_not_a_number", "[1]"),
+    ]
 
 
 def test_each_text_is_embedded_once(spark):

@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -199,7 +200,7 @@ def test_named_searches(spark, shelf):
         run_named("vector_search", shelf, colour="red")
     with pytest.raises(ValueError):
         run_named("vector_search", shelf)
-    as_sql = vector_search_sql(shelf, "shelf", embedding=[1.0, 0.0])
+    as_sql = vector_search_sql(shelf, embedding=[1.0, 0.0])
     assert as_sql.collect() == vector_search(shelf, [1.0, 0.0]).collect()
 
 
@@ -229,18 +230,42 @@ def test_compare_searches(shelf):
         compare_searches(shelf, "space wars")
 
 
-@pytest.mark.parametrize("sizes", [BlockSizes(), BY_KEY])
-def test_ann_search_is_exact_inside_shared_buckets(spark, sizes):
+def test_ann_search_is_exact_inside_shared_buckets(spark, tmp_path):
     shelf = random_shelf(spark).cache()
-    model = ann.fit_buckets(shelf, tables=2, bucket_length=1.0)
-    bucketed = ann.add_buckets(shelf, model).cache()
+    planes = ann.Planes(4, tables=3, bits=3)
+    index = ann.save_bucket_index(ann.bucket_index(shelf, planes), str(tmp_path / "index"))
     asked = [(q, 0.0, 60.0, "hot", [0.5, -1.0, 1.0, 0.25 * q]) for q in range(5)]
     queries = spark.createDataFrame(asked, QUERY_SCHEMA + ", embedding array<float>")
-    batch = ann.batch_ann_search(bucketed, model, queries, 4, 5, sizes).orderBy("query_id", "rank").collect()
-    buckets = {r.query_id: set(r.buckets) for r in ann.add_buckets(queries, model).collect()}
-    stored = {r.asin: set(r.buckets) for r in bucketed.collect()}
+    batch = ann.batch_ann_search(index, shelf, planes, queries, 5).orderBy("query_id", "rank").collect()
+    stored = {r.asin: set(r.buckets) for r in index.collect()}
+    pairs = 0
     for q, low, high, brand, vector in asked:
+        buckets = set(planes.probes_of(np.array([vector]))[0].tolist())
         exact = values(vector_search(shelf, vector, low, high, brand, 60), "asin", "similarity")
-        near = [(a, s) for a, s in exact if a in stored and stored[a] & buckets[q]][:5]
+        near = [(a, s) for a, s in exact if a in stored and stored[a] & buckets][:5]
         assert [(r.asin, r.similarity) for r in batch if r.query_id == q] == near
-        assert values(ann.ann_search(bucketed, model, vector, low, high, brand, 5), "asin", "similarity") == near
+        assert values(ann.ann_search(index, shelf, planes, vector, low, high, brand, 5), "asin", "similarity") == near
+        pairs += sum(bool(own & buckets) for own in stored.values())
+    shares = ann.candidate_share(index, shelf, planes, queries).collect()
+    assert sum(r.candidates for r in shares) == pairs < 5 * len(stored)
+
+
+def test_a_lookup_reads_the_buckets_asked_for(spark, tmp_path):
+    planes = ann.Planes(4, tables=2, bits=2)
+    shelf = random_shelf(spark)
+    index = ann.save_bucket_index(ann.bucket_index(shelf, planes), str(tmp_path / "index"))
+    plan = ann.ann_search(index, shelf, planes, [1.0, 0.0, 0.0, 0.0])._jdf.queryExecution().executedPlan().toString()
+    assert "In(bucket, [" in plan
+
+
+@pytest.mark.parametrize("vector", [[1.0], [1.0, 0.0, 0.0]])
+def test_every_form_refuses_a_vector_of_another_length(shelf, vector):
+    for search in (
+        lambda: vector_search(shelf, vector),
+        lambda: vector_search(shelf, vector, dims=2),
+        lambda: vector_search_sql(shelf, embedding=vector),
+        lambda: run_named("vector_search", shelf, embedding=str(vector)),
+        lambda: ann.ann_search(ann.bucket_index(shelf, ann.Planes(2)), shelf, ann.Planes(2), vector),
+    ):
+        with pytest.raises(Exception, match="numbers|another length"):
+            search().collect()
