@@ -41,6 +41,8 @@ BLOCK = frozenset(
     "thead tr ul".split()
 )
 PROSE = frozenset("blockquote caption dd dt figcaption h1 h2 h3 h4 h5 h6 li p pre td th tr".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+TABLE = frozenset("table thead tbody tfoot".split())
 NEVER = frozenset(
     "head nav footer aside form button select input textarea iframe svg canvas object audio video dialog menu datalist "
     "script style noscript template map math".split()
@@ -74,8 +76,15 @@ def attributes(source: str) -> dict[str, str]:
     return found
 
 
-def is_never(tag: str, source: str) -> bool:
-    """An element that holds no article text, by its name, role, class or state."""
+def names_never(names: str) -> bool:
+    """Whether one of the names consists of CLASS_WORDS only: ``ad-banner`` does, ``related-work`` does not."""
+    words = [[w.lower() for w in WORD.findall(name)] for name in names.split()]
+    return any(own and CLASS_WORDS.issuperset(own) for own in words)
+
+
+def is_never(tag: str, source: str, inside: bool, within: str) -> bool:
+    """An element that holds no article text, by its name, role, class or state; ``inside`` an article or main part, and
+    ``within`` the element around it. What is doubtful is left to the counts of the host."""
     if tag in NEVER:
         return True
     if not source.strip(" /"):
@@ -86,9 +95,12 @@ def is_never(tag: str, source: str) -> bool:
     if own.get("role", "").lower() in ROLES:
         return True
     # The page itself and its main parts may be called anything.
-    if tag in ("html", "body", "article", "main", "h1", "p"):
-        return tag in ("article", "p") and "comment" in own.get("class", "").lower()
-    return any(word.lower() in CLASS_WORDS for word in WORD.findall(f"{own.get('class', '')} {own.get('id', '')}"))
+    if tag in ("html", "body", "article", "main", "p") or tag in HEADINGS:
+        return tag in ("article", "p") and any(names_never(x) and "comment" in x.lower() for x in own.get("class", "").split())
+    # Prose, and words in a sentence, are text whatever they are called, and ids in an article are made from headings.
+    if inside and (tag in PROSE or tag in TABLE) or tag not in BLOCK and (inside or within in PROSE):
+        return False
+    return names_never(own.get("class", "")) or not inside and names_never(own.get("id", ""))
 
 
 class Element:
@@ -182,7 +194,7 @@ def blocks(page: str) -> list[tuple[str, list[int]]]:
                 at = shut + 1 if shut >= 0 else n
             continue
         top = stack[-1]
-        never = top.never or is_never(tag, token["attributes"])
+        never = top.never or is_never(tag, token["attributes"], top.article or top.main, top.tag)
         article = not never and (top.article or tag == "article")
         main = not never and (top.main or tag == "main" or 'role="main"' in token["attributes"])
         any_article |= article

@@ -23,7 +23,20 @@ PAGES = [
 ]
 
 
-@pytest.mark.parametrize("page, expected", PAGES)
+#: Names that look like those of adverts or menus, on prose.
+NAMED = [
+    ("<article><h2 id='related-work'>Related work</h2><p>a</p></article>", ["Related work", "a"]),
+    ("<main><section id='search-algorithms'><p>b</p></section></main>", ["b"]),
+    ("<article><section id='search'><h3 class='notice'>c</h3>d</section></article>", ["c", "d"]),
+    ("<body><div id='share-price'>e</div><p>f <span class='notice'>g</span> h</p>", ["e", "f g h"]),
+    ("<article><ul><li class='widget'>i</li></ul><table class='menu'><tr><td>j</table></article>", ["i", "j"]),
+    ("<article><p class='commentary'>k</p><p class='comment'>l</p></article>", ["k"]),
+    ("<article>m<div class='ad-banner'>n</div><div class='x social share'>o</div></article><div id='sidebar'>p</div>", ["m"]),
+    ("<div id='sidebar'>q</div><div class='cookieNotice'>r</div><div>s</div>", ["s"]),
+]
+
+
+@pytest.mark.parametrize("page, expected", [*PAGES, *NAMED])
 def test_blocks(page, expected):
     assert [text for text, _ in templates.blocks(page)] == expected
 
