@@ -3,8 +3,8 @@
 Pages are parsed once, in Arrow batches, into blocks of text. Elements that are never article text (menus, footers,
 sidebars, adverts, forms, scripts, hidden parts and so on, by tag, role or class) are left out while parsing. Each block
 carries the hashes of the subtrees it lies in. Spark counts each subtree per host, once per distinct page and combined
-before the shuffle; one found on ``MIN_PAGES`` pages and a share of ``MIN_SHARE`` of the host's is template, and blocks
-in it are dropped. If a page has ``article`` elements its text is what they hold, else what ``main`` holds, else the body.
+before the shuffle; one found on ``MIN_PAGES`` pages and on a share of ``MIN_SHARE`` of the host's or on ``MANY_PAGES`` of
+them is template, and blocks in it are dropped. If a page has ``article`` elements its text is what they hold, else what ``main`` holds, else the body.
 
 Prose inside an article (paragraphs, headings, quotations, list entries, cells) is no template however often it recurs, as
 articles repeat passages; containers inside an article can be.
@@ -29,7 +29,9 @@ from shelfseek.scratch import stored
 
 MIN_PAGES = 3
 MIN_SHARE = 0.3
-#: Templates are broadcast up to so many bytes, else joined.
+#: So many pages are enough however many the host has.
+MANY_PAGES = 20
+#: Templates are broadcast up to so many bytes, else the commonest of them; the others are joined with the pages' marks.
 BROADCAST_BYTES = 8 << 20
 
 # Element names, roles and class words of HTML pages.
@@ -225,14 +227,33 @@ def parse(batch: pa.RecordBatch) -> pa.Table:
 
 
 def templates(parsed: DataFrame, min_pages: int, min_share: float) -> DataFrame:
-    """Per host the hashes of its template subtrees. A page holds few of them, and each is on a share of the pages, so
-    a host's list is at most 1 / min_share times as long as a page has subtrees."""
-    marks = F.array_distinct(F.flatten(F.col("blocks.marks")))
-    once = parsed.select("host", "digest", F.explode(marks).alias("mark")).distinct()
+    """Host, hash and number of pages of each template subtree."""
+    once = parsed.select("host", "digest", F.explode(page_marks()).alias("mark")).distinct()
     counts = once.groupBy("host", "mark").agg(F.count("*").alias("n")).filter(F.col("n") >= min_pages)
     hosts = parsed.select("host", "digest").distinct().groupBy("host").agg(F.count("*").alias("pages"))
-    recurring = counts.join(hosts, "host").filter(F.col("n") >= min_share * F.col("pages"))
-    return recurring.groupBy("host").agg(F.collect_list("mark").alias("templates"))
+    enough = F.least(min_share * F.col("pages"), F.lit(MANY_PAGES))
+    return counts.join(hosts, "host").filter(F.col("n") >= enough).select("host", "mark", "n")
+
+
+def page_marks() -> Column:
+    return F.array_distinct(F.flatten(F.col("blocks.marks")))
+
+
+def with_templates(parsed: DataFrame, found: DataFrame) -> DataFrame:
+    """``parsed`` with the template subtrees that each page holds."""
+    row_bytes = F.octet_length("host") + 32
+    size, total = found.agg(F.coalesce(F.sum(row_bytes), F.lit(0)), F.coalesce(F.sum(F.col("n") * row_bytes), F.lit(0))).first()
+    if size <= BROADCAST_BYTES:
+        per_host = F.broadcast(found.groupBy("host").agg(F.collect_list("mark").alias("_of_host")))
+        own = F.array_intersect(page_marks(), F.col("_of_host"))
+        return parsed.join(per_host, "host", "left").withColumn("templates", own).drop("_of_host")
+    # Those on most pages are broadcast, so no key that is joined has more than total / BROADCAST_BYTES pages.
+    hot = F.col("n") * BROADCAST_BYTES >= total if BROADCAST_BYTES else F.lit(False)
+    marks = parsed.select("row", "host", F.explode(page_marks()).alias("mark"))
+    asked = [F.broadcast(found.filter(hot).select("host", "mark")), found.filter(~hot).select("host", "mark")]
+    held = [marks.join(some, ["host", "mark"]).select("row", "mark") for some in asked]
+    own = held[0].unionByName(held[1]).groupBy("row").agg(F.collect_list("mark").alias("templates"))
+    return parsed.join(own, "row", "left")
 
 
 def main_text(
@@ -257,10 +278,9 @@ def main_text(
         f"page_id {kinds['page_id']}, url {kinds['url']}, host string, digest bigint, "
         "blocks array<struct<text: string, marks: array<bigint>>>"
     )
-    parsed = stored(batch_map(given, parse, schema, "html"), "templates-parsed")
-    per_host = stored(templates(parsed, min_pages, min_share), "templates-hosts")
-    size = per_host.agg(F.sum(F.size("templates") * 8 + F.octet_length("host") + 32)).first()[0] or 0
-    joined = parsed.join(F.broadcast(per_host) if size <= BROADCAST_BYTES else per_host, "host", "left")
+    numbered = batch_map(given, parse, schema, "html").withColumn("row", F.monotonically_increasing_id())
+    parsed = stored(numbered, "templates-parsed")
+    joined = with_templates(parsed, stored(templates(parsed, min_pages, min_share), "templates-hosts"))
     own = F.filter(
         "blocks", lambda block: F.col("templates").isNull() | ~F.arrays_overlap(block["marks"], F.col("templates"))
     )

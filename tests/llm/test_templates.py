@@ -67,6 +67,19 @@ def test_templates_of_a_site(spark, monkeypatch, bound):
     assert templates.main_text(pages.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("bound", [templates.BROADCAST_BYTES, 200, 0])
+def test_blocks_on_many_pages_of_a_large_host(spark, monkeypatch, bound):
+    """A notice on a fifth of a host's pages goes on a large host too; with 200 bytes only the commonest is broadcast."""
+    monkeypatch.setattr(templates, "BROADCAST_BYTES", bound)
+    rows = []
+    for k in range(300):
+        notice = f"<div>Notice {k % 5}</div>" if k < 250 else f"<div>Rare {k // 10}</div>"
+        rows.append((k, f"http://large.example/{k}", f"<div>All rights</div>{notice}<div id='x{k}'><p>own {k}</p></div>"))
+    pages = spark.createDataFrame(rows, "page_id bigint, url string, html string")
+    found = {r.page_id: r.text for r in templates.main_text(pages).collect()}
+    assert found == {k: f"own {k}" if k < 250 else f"Rare {k // 10}\nown {k}" for k in range(300)}
+
+
 def test_test_pages_as_plain_python(spark):
     pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
     expected = {r.page_id: brute.article_text(r.html) for r in pages.collect()}
