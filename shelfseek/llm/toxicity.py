@@ -31,12 +31,10 @@ from shelfseek.llm.text_arrays import Shared, batch_map
 #: At most so many labelled rows are learned from, taken by the hash of their id.
 MAX_LABELLED = 20_000
 MAX_ENTRIES = 5_000
-MAX_CANDIDATES = 200_000
 FOLDS = 5
 STEMS = range(4, 9)
+#: An entry occurs in so many toxic texts at least, however many there are ...
 MIN_TEXTS = 5
-#: An entry occurs in this share of the toxic texts at least ...
-MIN_SHARE = 0.01
 #: ... and its log-odds are at least this.
 MIN_WEIGHT = 2.0
 
@@ -197,9 +195,8 @@ def learn(
         toxic, clean = sizes.get(True, 0), sizes.get(False, 0)
         if not toxic or not clean:
             return Lexicon()
-        least = max(MIN_TEXTS, MIN_SHARE * toxic)
-        found = counted(texts.filter("label > 0"), entries_of).filter(F.col("toxic") >= least)
-        top = found.orderBy(F.desc("toxic"), "entry").limit(MAX_CANDIDATES).collect()
+        # The sample is bounded, and so are the entries found in MIN_TEXTS of its texts.
+        top = counted(texts.filter("label > 0"), entries_of).filter(F.col("toxic") >= MIN_TEXTS).collect()
         candidates = Shared(context, frozenset(row["entry"] for row in top))
         against = {
             row["entry"]: row["clean"]

@@ -62,6 +62,16 @@ def test_learned_on_labels_and_measured_on_others(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, r in found.items() if not r.predicted)
 
 
+def test_rare_entries_are_learned_from_many_toxic_texts(spark):
+    """A word in five toxic texts and no clean one counts among 800 toxic texts as it does among 80."""
+    rng = random.Random(4)
+    for n in (80, 800):
+        rows = [(i, sentence(rng, 20) + (" dunce" if i < n else "") + (" zorvik" if i < 5 else ""), int(i < n)) for i in range(3 * n)]
+        docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+        lexicon = toxicity.learn(docs, docs)
+        assert toxicity.matches(lexicon.automaton(), toxicity.fold("a zorvik"))
+
+
 def test_without_labels(spark):
     docs = spark.createDataFrame([(1, "dunce"), (2, None)], "doc_id bigint, text string")
     labels = spark.createDataFrame([], "doc_id bigint, toxic int")
