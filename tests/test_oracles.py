@@ -43,3 +43,9 @@ def test_recall_is_reported_for_every_question(spark):
     mean = sum(wide) / len(wide)
     print(f"mean recall@10 over {len(rows)} questions: {mean:.3f}")
     assert len(rows) >= 20 and 0.8 <= mean <= 1.0
+
+
+def test_recall_over_all_questions(spark):
+    """Also those for one brand of a few products."""
+    rows = QUERIES["ann_recall"](spark, SF_DIR).collect()
+    assert len(rows) == 200 and sum(r.recall for r in rows) / len(rows) >= 0.9
