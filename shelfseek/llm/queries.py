@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfseek.llm import chat_events, decontaminate, lm_scoring, packing, pfair, quality_trees, run_index, sharding, templates, tensor_minhash, toxicity
+from shelfseek.llm import chat_events, decontaminate, hard_negatives, lm_scoring, packing, pfair, quality_trees, run_index, sharding, templates, tensor_minhash, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1,
@@ -15,6 +15,9 @@ QUERIES = {
     "op8_tensor_minhash": tensor_minhash.op8,
     "op9_site_templates": templates.op9,
     "op10_mix": pfair.op10,
+    "op11_hard_negatives": hard_negatives.op11,
     "op13_pack": packing.op13,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op11_hard_negatives": hard_negatives.OP11_SQL,
+}
