@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shelfseek.llm import chat_events, decontaminate, hard_negatives, lm_scoring, packing, pfair, quality_trees, run_index, sharding, templates, tensor_minhash, toxicity
+from shelfseek.llm import chat_events, collocations, decontaminate, hard_negatives, lm_scoring, packing, pfair, quality_trees, run_index, sharding, templates, tensor_minhash, toxicity
 
 QUERIES = {
     "op1_decontaminate": decontaminate.op1,
@@ -16,8 +16,10 @@ QUERIES = {
     "op9_site_templates": templates.op9,
     "op10_mix": pfair.op10,
     "op11_hard_negatives": hard_negatives.op11,
+    "op12_collocations": collocations.op12,
     "op13_pack": packing.op13,
 }
 ORACLES: dict[str, str] = {
     "op11_hard_negatives": hard_negatives.OP11_SQL,
+    "op12_collocations": collocations.OP12_SQL,
 }
