@@ -10,7 +10,9 @@ sequences they go to; pieces are numbered within their length by a shuffle of na
 from __future__ import annotations
 
 import functools
+import json
 import zlib
+from array import array
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -32,6 +34,9 @@ TOKENIZER = "byte_bpe_50k.json"
 SPANS_AT_ONCE = 1 << 20
 REMEMBERED = 1 << 19
 
+LETTER = np.array([0x41 <= (b & 0xDF) <= 0x5A and b < 0x80 for b in range(256)])
+SIGN = np.array([0x21 <= b < 0x7F and not chr(b).isalnum() for b in range(256)])
+
 PIECES = "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint"
 
 
@@ -41,26 +46,75 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def byte_letters() -> list[str]:
+    """The letter that a byte-level vocabulary writes for each byte: printable Latin-1 as it is, others from U+0100 on."""
+    plain = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = iter(range(0x100, 0x200))
+    return [chr(b) if b in plain else chr(next(rest)) for b in range(256)]
+
+
 class SpanTokenizer:
     """Ids of whole texts, from a tokenizer that is asked once for each distinct span between certain token borders.
 
-    A single space between two characters that are not white space always begins a token of a byte-level tokenizer,
-    so texts may be cut there; spans are taken as they are, ASCII and the letters of Latin-1 counting as known.
+    A byte-level tokenizer splits texts into words of letters with one space before, numbers, signs and white space
+    before it merges. So a border is certain before a single space between two characters that are not white space, and
+    between an ASCII letter and an ASCII sign. Spans of letters alone are one word each, and go to the merging model
+    itself; all others go through the whole tokenizer. A tokenizer of another make gets whole texts.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
+        from tokenizers.models import BPE
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[bytes, np.ndarray] = {}
+        self.known: dict[bytes, bytes] = {}
+        made = json.loads(self.tokenizer.to_str())
+        splitter, model = made["pre_tokenizer"] or {}, made["model"]
+        self.splits = (
+            made["normalizer"] is None
+            and (splitter.get("type"), splitter.get("use_regex", True)) == ("ByteLevel", True)
+            and not splitter.get("add_prefix_space", True)
+            and model["type"] == "BPE"
+        )
+        self.special = [t["content"].encode() for t in made["added_tokens"]]
+        if self.splits:
+            # No cache of the model's own: what is asked for is new.
+            merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+            self.model = BPE(model["vocab"], merges, cache_capacity=0)
+            self.letters = byte_letters()
 
     def cuts(self, data: np.ndarray) -> np.ndarray:
-        """Where certain borders are: positions of single spaces between known characters."""
+        """Where certain borders are."""
+        if not self.splits or len(data) < 3:
+            return np.empty(0, np.int64)
         at = np.flatnonzero(data[1:-1] == 0x20) + 1
         before, after = data[at - 1], data[at + 1]
         latin = (before >= 0x80) & (data[at - 2] == 0xC3) & (at >= 2)
         known_before = ((before > 0x20) & (before < 0x7F)) | latin
-        return at[known_before & (((after > 0x20) & (after < 0x7F)) | (after == 0xC3))]
+        spaces = at[known_before & (((after > 0x20) & (after < 0x7F)) | (after == 0xC3))]
+        whole = data.tobytes()
+        if any(token in whole for token in self.special):
+            return spaces
+        signs = np.flatnonzero(LETTER[data[:-1]] & SIGN[data[1:]]) + 1
+        return np.sort(np.concatenate([spaces, signs]))
+
+    def is_word(self, text: str) -> bool:
+        letters = text[1:] if text[:1] == " " else text
+        return self.splits and letters.isalpha() and max(letters) < "\u0100"
+
+    def learn(self, spans: list[bytes]) -> None:
+        """Remember the ids of ``spans``, as bytes of 32-bit numbers."""
+        others = []
+        for span in spans:
+            text = span.decode()
+            if self.is_word(text):
+                word = "".join([self.letters[b] for b in span])
+                self.known[span] = array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+            else:
+                others.append((span, text))
+        encoded = self.tokenizer.encode_batch_fast([t for _, t in others], add_special_tokens=False)
+        for (span, _), ids in zip(others, encoded, strict=True):
+            self.known[span] = array("I", ids.ids).tobytes()
 
     def of_spans(self, data: np.ndarray, starts: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the spans that begin at ``starts`` and fill ``data`` up to ``end``, and how many each span has."""
@@ -71,21 +125,22 @@ class SpanTokenizer:
         distinct = spans.dictionary.to_pylist()
         if len(self.known) + len(distinct) > REMEMBERED:
             self.known = {}
-        new = [x for x in distinct if x not in self.known]
-        encoded = self.tokenizer.encode_batch_fast([x.decode() for x in new], add_special_tokens=False)
-        self.known.update((x, np.array(e.ids, np.uint32)) for x, e in zip(new, encoded, strict=True))
+        self.learn([x for x in distinct if x not in self.known])
         found = [self.known[x] for x in distinct]
-        sizes = np.array([len(x) for x in found], np.int64)
-        flat, begins = np.concatenate(found), np.cumsum(sizes) - sizes
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, begins = np.frombuffer(b"".join(found), np.uint32), np.cumsum(sizes) - sizes
         which = spans.indices.to_numpy()
         counts = sizes[which]
-        place = np.arange(int(counts.sum())) - np.repeat(np.cumsum(counts) - counts, counts)
-        return flat[np.repeat(begins[which], counts) + place], counts
+        before = np.cumsum(counts) - counts
+        return flat[np.repeat(begins[which] - before, counts) + np.arange(int(counts.sum()))], counts
 
     def ids(self, column: pa.Array) -> Iterator[np.ndarray]:
         """The ids of each text of a batch."""
         data, offsets = text_bytes(column)
-        starts = np.unique(np.concatenate([offsets[:-1][np.diff(offsets) > 0], self.cuts(data)]))
+        first, cuts = offsets[:-1][np.diff(offsets) > 0], self.cuts(data)
+        # A text may begin with a space that looks like a border; it is one anyway.
+        starts = np.insert(cuts, np.searchsorted(cuts, first), first)
+        starts = starts[np.append(np.diff(starts) > 0, True)] if len(starts) else starts
         parts, counts = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
         for lo in range(0, len(starts), SPANS_AT_ONCE):
             hi = min(lo + SPANS_AT_ONCE, len(starts))
