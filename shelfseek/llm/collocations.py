@@ -43,10 +43,12 @@ PIECE_END = np.array([b in PIECE_ENDS for b in range(256)])
 KNOWN = 1 << 17
 KNOWN_BYTES = 64
 ROW_IDS = 1 << 10
+#: Rows of a sequence that are worked on at once.
+ROWS_AT_ONCE = 1 << 10
 OVERLAP = MAX_WORDS - 1
-#: Side of a tile, and how many tiles of the most frequent ids a task keeps as dense matrices (8 MB each).
-TILE = 1 << 10
-DENSE_SIDE = 3
+#: Side of a tile, and how many tiles of the most frequent ids a task keeps as dense matrices (2 MB each).
+TILE = 1 << 9
+DENSE_SIDE = 4
 
 CHUNKS = "chunk bigint, own int, ids array<bigint>"
 PAIRS = "left bigint, right bigint, n bigint"
@@ -60,14 +62,15 @@ class Words:
         data = LOWER[data]
         starts, ends = spans(data, offsets, WORD_BYTE)
         self.rows = np.searchsorted(offsets, starts, side="right") - 1
-        stops = np.concatenate([[0], np.cumsum(PIECE_END[data], dtype=np.int64)])
+        stops = np.flatnonzero(PIECE_END[data])
         self.begins = np.ones(len(starts), bool)
-        self.begins[1:] = (np.diff(self.rows) > 0) | (stops[starts[1:]] > stops[ends[:-1]])
+        stopped = np.searchsorted(stops, starts[1:]) > np.searchsorted(stops, ends[:-1])
+        self.begins[1:] = (np.diff(self.rows) > 0) | stopped
         # Words and what is between them, in turn; every second value is a word.
         borders = np.empty(2 * len(starts) + 1, np.int64)
         borders[0:-1:2], borders[1::2] = starts, ends
         borders[-1] = len(data)
-        buffers = [None, pa.py_buffer(borders.tobytes()), pa.py_buffer(data.tobytes())]
+        buffers = [None, pa.py_buffer(borders), pa.py_buffer(data)]
         both = pa.Array.from_buffers(pa.large_binary(), 2 * len(starts), buffers)
         self.encoded = both.take(pa.array(np.arange(0, 2 * len(starts), 2))).dictionary_encode()
         self.codes = self.encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
@@ -220,7 +223,7 @@ def patched(chunks: DataFrame, entries: DataFrame, key: tuple[str, ...]) -> Data
     both = chunks.drop("rest").join(found, "chunk", "left").join(head, "chunk", "left")
 
     def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in rows_at_once(batches):
             ids = [np.array(x, np.int64) for x in batch["ids"].to_pylist()]
             for row, own, late, following in zip(ids, batch["own"].to_pylist(), batch["late"].to_pylist(), batch["next"].to_pylist(), strict=True):
                 for x in late or []:
@@ -236,6 +239,13 @@ def patched(chunks: DataFrame, entries: DataFrame, key: tuple[str, ...]) -> Data
     return both.mapInArrow(fill, CHUNKS)
 
 
+def rows_at_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches in slices of ROWS_AT_ONCE rows, so that memory does not follow the size of a batch."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, ROWS_AT_ONCE):
+            yield batch.slice(at, ROWS_AT_ONCE)
+
+
 class Flat:
     """The ids of a batch of CHUNKS in one array, with the neighbours that make pairs."""
 
@@ -261,7 +271,7 @@ def pair_counts(chunks: DataFrame, min_count: int) -> DataFrame:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         dense = np.zeros((DENSE_SIDE * DENSE_SIDE, TILE * TILE), np.int64)
-        for batch in batches:
+        for batch in rows_at_once(batches):
             flat = Flat(batch)
             left, right = flat.ids[flat.counted], flat.ids[flat.counted + 1]
             low = (left < DENSE_SIDE * TILE) & (right < DENSE_SIDE * TILE)
@@ -326,7 +336,7 @@ def pair_ids(chunks: DataFrame, pairs: DataFrame, top: pa.Table, others: bool) -
     def relabel(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not made:
             made.append(PairIds(listed.value))
-        for batch in batches:
+        for batch in rows_at_once(batches):
             flat = Flat(batch)
             ids = np.full(len(flat.ids), -1, np.int64)
             left, right = flat.ids[flat.pairs], flat.ids[flat.pairs + 1]
@@ -468,7 +478,8 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
 OP12_SQL = r"""WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,
          unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')) AS piece
+-
+]')) AS piece
   FROM documents WHERE text IS NOT NULL
 ), words AS (SELECT lang, regexp_extract_all(piece, '[^ 	]+') AS w FROM pieces),
 totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
