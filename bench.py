@@ -83,18 +83,18 @@ def seconds(query: Callable[[], DataFrame]) -> float:
 
 
 def prepared(spark: SparkSession) -> dict[str, Callable[[], DataFrame]]:
-    """Searches over a stored collection, index and bucketed collection."""
+    """Searches over a stored collection, text index and cells."""
     products = stored(collection(spark, SF_DIR).drop("_version"), "bench-collection")
     index = text_index.save_index(text_index.text_index(products), new_folder(spark, "bench-index"))
-    planes = ann.Planes(DIMS)
-    buckets = ann.save_bucket_index(ann.bucket_index(products, planes), new_folder(spark, "bench-buckets"))
+    cells = ann.fit_cells(products, DIMS)
+    celled = ann.save_cell_index(ann.cell_index(products, cells), new_folder(spark, "bench-cells"))
     query = query_vector(spark, SF_DIR)
     questions, texts = vector_queries(spark, SF_DIR), text_queries(spark, SF_DIR)
     return {
         "vector_search": lambda: vector_search(products, query, **FILTERS),
         "full_text_search": lambda: full_text_search(products, TERMS, **FILTERS),
         "full_text_search_indexed": lambda: full_text_search(products, TERMS, **FILTERS, index=index),
-        "ann_search": lambda: ann.ann_search(buckets, products, planes, query, **FILTERS),
+        "ann_search": lambda: ann.ann_search(celled, products, query, **FILTERS),
         "batch_vector_search": lambda: batch_search.batch_vector_search(products, questions, DIMS, LIMIT),
         "batch_full_text_search": lambda: batch_search.batch_full_text_search(
             products, texts, LIMIT, normalize_terms=True, index=index

@@ -1,26 +1,26 @@
-"""Approximate vector search: only products that share a bucket with the question are scored, exactly.
+"""Approximate vector search: cells around k-means centres, codes of one byte a number, exact scores for the best.
 
-A vector's signature is on which side of fixed planes it lies. Each table joins ``bits`` planes into one bucket number
-(all must agree), and a product is a candidate if any table agrees. The planes' numbers are +1 and -1, from the md5 of
-(table, bit, position): they depend on no data, seed or library, so any engine finds the same buckets. A question looks
-into its own bucket of each table and into those that differ from it in one bit.
+Centres are fitted on a bounded sample. Each product with a vector is stored once, in the cell of its nearest centre,
+with its vector and a code. A question goes through the cells from the nearest on until they hold ``reach`` of the rows
+that have the asked brand (a table of rows by brand and cell tells), ranks the rows it finds by their codes, and scores
+the best ``refine`` times ``limit`` of them exactly. If few rows have the brand, all of them are scored exactly: the same
+table tells which cells hold them.
 """
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from shelfseek.functions.text import has_term
 from shelfseek.functions.vectors import dense_rows, dot_product, dot_product_pairs, vector_enforce, vector_parameter
-from shelfseek.operators.batch_search import question_filters, vector_bytes, with_products
-from shelfseek.operators.blocks import best, measure
+from shelfseek.operators.batch_search import id_type, question_filters, vector_bytes, with_products
+from shelfseek.operators.blocks import BlockSizes, Filters, best, meet_by_key, measure, slices, text_ranks
+from shelfseek.operators.salting import salted_left_join
 from shelfseek.operators.search import (
     DEFAULT_BRAND,
     DEFAULT_LIMIT,
@@ -31,128 +31,317 @@ from shelfseek.operators.search import (
     metadata_filter,
     similarity_order,
 )
+from shelfseek.scratch import stored
 
-# With 48 tables of 8 bits, vectors at an angle of 70 degrees are found with probability 0.997, at 90 degrees with 0.82.
-# More bits prune more and find less, more tables the reverse.
-TABLES = 48
-BITS = 8
+# Centres are compared and written with this many decimals, so that any order of summation gives the same ones.
+CENTRE_DECIMALS = 4
+# Most centres, and rows of the sample they are fitted on; both bound what the driver holds and tasks are sent.
+MAX_CELLS = 4096
+SAMPLE_ROWS = 8192
+ROUNDS = 4
+# Asins that may stand in a filter as literals.
+MAX_LITERAL_ROWS = 1000
 
 
 @dataclass(frozen=True)
-class Planes:
-    dims: int
-    tables: int = TABLES
-    bits: int = BITS
+class Reach:
+    """How far a question looks: the share of the rows with its brand that its cells must hold, how many rows for each
+    wanted one are scored exactly, and up to how many rows of a brand all are scored exactly."""
 
-    def signs(self, table: int, bit: int) -> list[int]:
-        """The numbers of one plane."""
-        return [
-            1 if hashlib.md5(f"{table}:{bit}:{place}".encode()).digest()[0] < 128 else -1 for place in range(self.dims)
-        ]
+    share: float = 0.7
+    refine: int = 3
+    exact_rows: int = 100
+
+
+@dataclass(frozen=True)
+class Cells:
+    """Centres of the cells."""
+
+    centres: tuple[tuple[float, ...], ...]
+
+    @property
+    def dims(self) -> int:
+        return len(self.centres[0])
 
     def matrix(self) -> np.ndarray:
-        return np.array([self.signs(t, b) for t in range(self.tables) for b in range(self.bits)], float)
+        return np.array(self.centres, float)
+
+    def of(self, vectors: np.ndarray) -> np.ndarray:
+        """The nearest centre of each vector."""
+        return nearest(vectors.astype(float), self.matrix())
+
+    def cell(self, vector: Column) -> Column:
+        cells = self
+
+        @F.arrow_udf("int")
+        def place(batch: pa.Array) -> pa.Array:
+            positions, matrix = dense_rows(batch, cells.dims)
+            found, missing = np.zeros(len(batch), np.int32), np.ones(len(batch), bool)
+            found[positions], missing[positions] = cells.of(matrix), False
+            return pa.array(found, mask=missing)
+
+        return place(vector)
+
+    def scores(self, vector: Column) -> Column:
+        """The dot product of a vector with each centre."""
+        cells = self
+
+        @F.arrow_udf("array<double>")
+        def near(batch: pa.Array) -> pa.Array:
+            positions, matrix = dense_rows(batch, cells.dims)
+            found: list = [None] * len(batch)
+            for at, row in zip(positions.tolist(), matrix.astype(float) @ cells.matrix().T, strict=True):
+                found[at] = row
+            return pa.array(found, pa.list_(pa.float64()))
+
+        return near(vector)
+
+
+def nearest(vectors: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    return (vectors @ centres.T - (centres * centres).sum(axis=1) / 2).argmax(axis=1)
+
+
+def cells_for(rows: int) -> int:
+    """The number of cells for so many rows: their root, as a power of two."""
+    return min(MAX_CELLS, 1 << max(0, round(np.log2(max(rows, 1)) / 2)))
+
+
+def fit_cells(
+    collection: DataFrame, dims: int, cells: int | None = None, sample: int = SAMPLE_ROWS, rounds: int = ROUNDS
+) -> Cells:
+    """Centres by ``rounds`` of k-means on at most ``sample`` rows, those of the smallest md5 of their asin.
+
+    The first ``cells`` of them are the first centres. Without any vector there is one centre at zero.
+    """
+    known = collection.select("asin", vector_enforce(F.col("embedding"), dims).alias("embedding")).filter("embedding IS NOT NULL")
+    if cells is None:
+        cells = cells_for(known.count())
+    held = known.orderBy(F.md5(F.col("asin").cast("binary")), "asin").limit(sample).select("embedding").toArrow()
+    _, vectors = dense_rows(held["embedding"].combine_chunks(), dims)
+    vectors = vectors.astype(float)
+    centres = np.round(vectors[:cells], CENTRE_DECIMALS) if len(vectors) else np.zeros((1, dims))
+    for _ in range(rounds if len(vectors) else 0):
+        cell = nearest(vectors, centres)
+        counts = np.bincount(cell, minlength=len(centres))
+        sums = np.zeros_like(centres)
+        np.add.at(sums, cell, vectors)
+        held_cells = counts > 0
+        centres[held_cells] = np.round(sums[held_cells] / counts[held_cells, None], CENTRE_DECIMALS)
+    return Cells(tuple(map(tuple, centres.tolist())))
+
+
+def codes(matrix: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """One signed byte for each number, and each row's scale."""
+    scales = np.abs(matrix).max(axis=1, initial=0) / 127
+    return np.round(matrix / np.where(scales > 0, scales, 1)[:, None]).astype(np.int8), scales
+
 
-    def buckets_of(self, vectors: np.ndarray) -> np.ndarray:
-        """The bucket of each vector in each table, numbered across tables."""
-        above = (vectors.astype(np.float64) @ self.matrix().T > 0).reshape(len(vectors), self.tables, self.bits)
-        return (above << np.arange(self.bits)).sum(axis=2) + (np.arange(self.tables) << self.bits)
+def coded(vector: Column, dims: int) -> Column:
+    @F.arrow_udf("struct<scale: double, code: binary>")
+    def code(batch: pa.Array) -> pa.Array:
+        positions, matrix = dense_rows(batch, dims)
+        numbers, scales = codes(matrix.astype(float))
+        found: list = [None] * len(batch)
+        for at, row, scale in zip(positions.tolist(), numbers, scales.tolist(), strict=True):
+            found[at] = {"scale": scale, "code": row.tobytes()}
+        return pa.array(found, pa.struct([("scale", pa.float64()), ("code", pa.binary())]))
 
-    def probes_of(self, vectors: np.ndarray) -> np.ndarray:
-        """The buckets to look into: each table's own and those one bit away."""
-        flips = np.concatenate([[0], 1 << np.arange(self.bits)])
-        return (self.buckets_of(vectors)[:, :, None] ^ flips).reshape(len(vectors), -1)
+    return code(vector)
 
-    def buckets(self, vector: Column, probe: bool = False) -> Column:
-        """``buckets_of``, or ``probes_of``, for a column; NULL where the vector is unusable."""
-        planes = self
-        per_vector = self.tables * (self.bits + 1 if probe else 1)
 
-        @F.arrow_udf("array<int>")
-        def signature(batch: pa.Array) -> pa.Array:
-            positions, matrix = dense_rows(batch, planes.dims)
-            sizes = np.zeros(len(batch), np.int32)
-            sizes[positions] = per_vector
-            offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-            found = planes.probes_of(matrix) if probe else planes.buckets_of(matrix)
-            return pa.ListArray.from_arrays(
-                pa.array(offsets), pa.array(found.astype(np.int32).reshape(-1)), mask=pa.array(sizes == 0)
-            )
+def code_matrix(column: pa.Array, dims: int) -> np.ndarray:
+    return np.frombuffer(b"".join(column.to_pylist()), np.int8).reshape(len(column), dims).astype(np.float32)
 
-        return signature(vector)
 
+def code_score(scale: Column, code: Column, query: Sequence[float]) -> Column:
+    """Dot product of a code with a query vector, nearly that of the vector."""
+    q = np.asarray(query, np.float32)
 
-def bucket_index(collection: DataFrame, planes: Planes) -> DataFrame:
-    """A row per product and table, for products that have a vector: what filtering and scoring need."""
-    known = collection.filter(F.col("embedding").isNotNull())
-    signed = known.select("asin", "estimated_price", "brand_tokens", "embedding", planes.buckets(F.col("embedding")).alias("buckets"))
-    return signed.withColumn("bucket", F.explode("buckets"))
+    @F.arrow_udf("double")
+    def score(scales: pa.Array, batch: pa.Array) -> pa.Array:
+        return pa.array((code_matrix(batch, len(q)) @ q) * scales.to_numpy())
 
+    return score(scale, code)
 
-def save_bucket_index(index: DataFrame, path: str) -> DataFrame:
-    """The index stored by bucket, so that a lookup reads the files of its buckets only."""
-    index.repartitionByRange("bucket", "asin").sortWithinPartitions("bucket", "asin").write.parquet(path)
-    return index.sparkSession.read.schema(index.schema).parquet(path)
+
+@dataclass(frozen=True)
+class CellIndex:
+    """``rows`` (asin, estimated_price, brand_tokens, embedding, cell, scale, code), once for each product that has a
+    vector, and ``brands`` (brand, cell, rows): how many of them have the brand."""
+
+    cells: Cells
+    rows: DataFrame
+    brands: DataFrame
+
+
+def cell_index(collection: DataFrame, cells: Cells) -> CellIndex:
+    vector = vector_enforce(F.col("embedding"), cells.dims)
+    known = collection.select("asin", "estimated_price", "brand_tokens", vector.alias("embedding")).filter("embedding IS NOT NULL")
+    placed = known.withColumns({"cell": cells.cell(F.col("embedding")), "_code": coded(F.col("embedding"), cells.dims)})
+    rows = placed.select("*", "_code.scale", "_code.code").drop("_code")
+    return CellIndex(cells, rows, brand_counts(rows))
+
+
+def brand_counts(rows: DataFrame) -> DataFrame:
+    """Counts combine before the shuffle, so a brand that all rows have sends one row for each task and cell."""
+    brands = rows.select(F.explode(F.array_distinct("brand_tokens")).alias("brand"), "cell")
+    return brands.groupBy("brand", "cell").agg(F.count("*").alias("rows"))
+
+
+def save_cell_index(index: CellIndex, path: str) -> CellIndex:
+    """Store an index and return the stored one. Rows lie by cell and asin, so that a look-up reads the files of its
+    cells, a large cell fills several files, and single rows are found by the ranges of their asins."""
+    spark = index.rows.sparkSession
+    order = ("cell", "asin")
+    index.rows.repartitionByRange(*order).sortWithinPartitions(*order).write.parquet(f"{path}/rows")
+    held = spark.read.schema(index.rows.schema).parquet(f"{path}/rows")
+    brand_counts(held).repartitionByRange("brand", "cell").sortWithinPartitions("brand", "cell").write.parquet(f"{path}/brands")
+    centres = spark.createDataFrame([(k, list(c)) for k, c in enumerate(index.cells.centres)], "cell int, centre array<double>")
+    centres.coalesce(1).write.parquet(f"{path}/centres")
+    return load_cell_index(spark, path)
+
+
+def load_cell_index(spark: SparkSession, path: str) -> CellIndex:
+    centres = spark.read.parquet(f"{path}/centres").orderBy("cell").collect()
+    rows, brands = spark.read.parquet(f"{path}/rows"), spark.read.parquet(f"{path}/brands")
+    return CellIndex(Cells(tuple(tuple(r.centre) for r in centres)), rows, brands)
 
 
-def first_shared(asked: Column) -> Column:
-    """A product found in several buckets counts in the first of them only."""
-    return F.col("bucket") == F.get(F.array_intersect(F.col("buckets"), asked), 0)
+def probes(index: CellIndex, query: Sequence[float], brand: str, reach: Reach) -> tuple[list[int], bool]:
+    """The cells to look into, and whether all their rows with ``brand`` are to be scored exactly."""
+    held = index.brands.filter(F.col("brand") == brand.lower()).select("cell", "rows").collect()
+    counts = np.zeros(len(index.cells.centres))
+    for row in held:
+        counts[row.cell] += row.rows
+    if counts.sum() <= reach.exact_rows:
+        return np.flatnonzero(counts).tolist(), True
+    order = np.lexsort((np.arange(len(counts)), -(index.cells.matrix() @ np.asarray(query, float))))
+    order = order[counts[order] > 0]
+    before = np.cumsum(counts[order]) - counts[order]
+    return order[before < reach.share * counts.sum()].tolist(), False
 
 
 def ann_search(
-    index: DataFrame,
+    index: CellIndex,
     collection: DataFrame,
-    planes: Planes,
     embedding: Sequence[float] | str,
     min_price: float | str = DEFAULT_MIN_PRICE,
     max_price: float | str = DEFAULT_MAX_PRICE,
     brand: str = DEFAULT_BRAND,
     limit: int | str = DEFAULT_LIMIT,
+    reach: Reach = Reach(),
 ) -> DataFrame:
-    """``vector_search`` over the buckets of ``embedding``; similarities are exact, rows may be missed."""
-    query = vector_parameter(embedding, planes.dims)
-    asked = planes.probes_of(np.array([query]))[0].tolist()
-    winners = (
-        index.filter(F.col("bucket").isin(asked))
-        .filter(metadata_filter(min_price, max_price, brand))
-        .filter(first_shared(F.lit(asked)))
-        .select("asin", dot_product(F.col("embedding"), query).alias("similarity"))
-        .orderBy(*similarity_order())
-        .limit(int(limit))
-    )
-    if int(limit) <= MAX_BROADCAST_WINNERS:
+    """``vector_search`` over the cells near ``embedding``; similarities are exact, rows may be missed."""
+    query, limit = vector_parameter(embedding, index.cells.dims), int(limit)
+    asked, exact = probes(index, query, brand, reach)
+    found = index.rows.filter(F.col("cell").isin(asked)).filter(metadata_filter(min_price, max_price, brand))
+    if not exact:
+        rough = code_score(F.col("scale"), F.col("code"), query).alias("_rough")
+        near = found.select("asin", rough).orderBy(F.desc("_rough"), "asin").limit(reach.refine * limit).select("asin")
+        if reach.refine * limit <= MAX_LITERAL_ROWS:
+            # Few enough to be named, so that the scan skips what lies between them.
+            found = found.filter(F.col("asin").isin([r.asin for r in near.collect()]))
+        else:
+            found = found.join(near, "asin", "left_semi")
+    scored = found.select("asin", dot_product(F.col("embedding"), query).alias("similarity"))
+    winners = scored.orderBy(*similarity_order()).limit(limit)
+    if limit <= MAX_BROADCAST_WINNERS:
         winners = F.broadcast(winners)
-    found = collection.select(*PRODUCT_COLUMNS).join(winners, "asin")
-    return found.select(*PRODUCT_COLUMNS, "similarity").orderBy(*similarity_order()).limit(int(limit))
+    products = collection.select(*PRODUCT_COLUMNS).join(winners, "asin")
+    return products.select(*PRODUCT_COLUMNS, "similarity").orderBy(*similarity_order()).limit(limit)
+
+
+def asked_cells(index: CellIndex, queries: DataFrame, reach: Reach) -> DataFrame:
+    """``queries`` with ``_asked`` (their vector), ``_cells`` (where to look) and ``_exact``; those without a usable
+    vector, or whose brand no row has, are left out."""
+    checked = queries.select(*question_filters(), vector_enforce(F.col("embedding"), index.cells.dims).alias("_asked"))
+    usable = checked.filter(F.col("_asked").isNotNull())
+    near = usable.select("query_id", "brand", index.cells.scores(F.col("_asked")).alias("_scores"))
+    held = near.join(index.brands, "brand").select("query_id", "cell", "rows", F.get("_scores", F.col("cell")).alias("_near"))
+    # A question has at most as many rows here as there are cells.
+    of_question = Window.partitionBy("query_id")
+    nearer = of_question.orderBy(F.desc("_near"), "cell").rowsBetween(Window.unboundedPreceding, -1)
+    total = F.sum("rows").over(of_question)
+    before = F.coalesce(F.sum("rows").over(nearer), F.lit(0))
+    wanted = held.select("query_id", "cell", (total <= reach.exact_rows).alias("_exact"), before.alias("_before"), total.alias("_total"))
+    chosen = wanted.filter(F.col("_exact") | (F.col("_before") < reach.share * F.col("_total")))
+    cells = chosen.groupBy("query_id").agg(F.collect_list("cell").alias("_cells"), F.first("_exact").alias("_exact"))
+    return usable.join(cells, "query_id")
 
 
-def candidates(index: DataFrame, queries: DataFrame, planes: Planes) -> DataFrame:
-    """Pairs of question and product that share a bucket, once each, joined on the bucket."""
-    checked = queries.select(*question_filters(), vector_enforce(F.col("embedding"), planes.dims).alias("_asked"))
-    asked = checked.filter(F.col("_asked").isNotNull()).withColumn("_buckets", planes.buckets(F.col("_asked"), probe=True))
-    return asked.withColumn("bucket", F.explode("_buckets")).join(index, "bucket").filter(first_shared(F.col("_buckets")))
+def code_kernel(dims: int, limit: int, reach: Reach):
+    """Per question and block, the rows to score exactly: the best by code, or all where the brand is rare."""
+
+    def kernel(documents: pa.Table, questions: pa.Table) -> pa.Table:
+        ids, found, scores = [], [], []
+        queries = np.array(questions["_asked"].to_pylist(), np.float32).reshape(questions.num_rows, dims)
+        exact = questions["_exact"].to_pylist()
+        for start, piece in slices(documents, questions):
+            filters, ranks = Filters(piece, questions), text_ranks(piece["asin"])
+            rough = (code_matrix(piece["code"], dims) @ queries.T) * piece["scale"].to_numpy()[:, None]
+            for q in range(questions.num_rows):
+                at = np.flatnonzero(filters.passing(q))
+                order = np.lexsort((ranks[at], -rough[at, q]))
+                at = at[order if exact[q] else order[: reach.refine * limit]]
+                ids.append(np.full(len(at), q))
+                found.append(start + at)
+                scores.append(rough[at, q])
+        at, to = (np.concatenate(x) if x else np.empty(0, np.int64) for x in (found, ids))
+        return pa.table(
+            {
+                "query_id": questions["query_id"].take(pa.array(to)),
+                "_exact": questions["_exact"].take(pa.array(to)),
+                "asin": documents["asin"].take(pa.array(at)),
+                "rough": pa.array(np.concatenate(scores) if scores else [], pa.float64()),
+            }
+        )
+
+    return kernel
+
+
+def candidates(index: CellIndex, queries: DataFrame, limit: int, reach: Reach, sizes: BlockSizes = BlockSizes()) -> DataFrame:
+    """(query_id, asin): the rows that each question scores exactly."""
+    asked = stored(asked_cells(index, queries, reach), "asked")
+    rough = meet_by_key(
+        index.rows.select("asin", "estimated_price", "brand_tokens", "cell", "scale", "code"),
+        asked,
+        code_kernel(index.cells.dims, limit, reach),
+        f"query_id {id_type(queries)}, _exact boolean, asin string, rough double",
+        F.array("cell"),
+        F.col("_cells"),
+        sizes,
+    )
+    place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("rough"), "asin"))
+    # A question for a rare brand has no more rows than ``exact_rows``, so one bound holds for all.
+    bound = F.when(F.col("_exact"), reach.exact_rows).otherwise(reach.refine * limit)
+    most = max(reach.exact_rows, reach.refine * limit)
+    ranked = rough.withColumn("_place", place).filter(F.col("_place") <= most).filter(F.col("_place") <= bound)
+    return stored(ranked.select("query_id", "asin"), "candidates")
 
 
 def batch_ann_search(
-    index: DataFrame, collection: DataFrame, planes: Planes, queries: DataFrame, limit: int = DEFAULT_LIMIT
+    index: CellIndex, collection: DataFrame, queries: DataFrame, limit: int = DEFAULT_LIMIT, reach: Reach = Reach()
 ) -> DataFrame:
     """``ann_search`` for every row of ``queries`` (query_id, embedding, min_price, max_price, brand)."""
-    passing = (
-        candidates(index, queries, planes)
-        .filter(F.col("estimated_price").between(F.col("min_price"), F.col("max_price")))
-        .filter(has_term(F.col("brand_tokens"), F.col("brand")))
-    )
-    scored = passing.select("query_id", "asin", dot_product_pairs(F.col("embedding"), F.col("_asked")).alias("similarity"))
+    return refined(candidates(index, queries, limit, reach), index, collection, queries, limit)
+
+
+def refined(found: DataFrame, index: CellIndex, collection: DataFrame, queries: DataFrame, limit: int) -> DataFrame:
+    """The best of the candidates ``found`` by exact similarity, with their products."""
+    asked = queries.select("query_id", vector_enforce(F.col("embedding"), index.cells.dims).alias("_asked"))
+    wins = found.groupBy("asin").agg(F.count("*").alias("_wins"))
+    vectors = index.rows.select("asin", "embedding").join(wins, "asin")
+    pairs = salted_left_join(found, vectors, "asin", "_wins", "query_id").join(asked, "query_id")
+    scored = pairs.select("query_id", "asin", dot_product_pairs(F.col("embedding"), F.col("_asked")).alias("similarity"))
     winners = best(scored, similarity_order(), limit)
-    return with_products(winners, collection, "similarity", limit, measure(queries, vector_bytes(planes.dims)))
+    return with_products(winners, collection, "similarity", limit, measure(queries, vector_bytes(index.cells.dims)))
 
 
-def candidate_share(index: DataFrame, collection: DataFrame, planes: Planes, queries: DataFrame) -> DataFrame:
-    """Per question, how many products share a bucket with it, and which share that is of those with a vector."""
-    total = collection.agg(F.count("embedding")).scalar()
-    found = candidates(index, queries, planes).groupBy("query_id").agg(F.count("*").alias("candidates"))
-    return found.select("query_id", "candidates", (F.col("candidates") / total).alias("share"))
+def candidate_share(found: DataFrame, index: CellIndex) -> DataFrame:
+    """Per question, how many products were scored exactly, and which share that is of those with a vector."""
+    total = index.rows.agg(F.count("*")).scalar()
+    counted = found.groupBy("query_id").agg(F.count("*").alias("candidates"))
+    return counted.select("query_id", "candidates", (F.col("candidates") / total).alias("share"))
 
 
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:

@@ -66,7 +66,7 @@ def score_blocks(
         possible = documents.filter(_askable(asked, document_keys))
         return _broadcast(possible, asked.drop_columns("_keys"), kernel, result_schema)
     kept = stored(questions, "questions")
-    return _by_key(documents, kept, kernel, result_schema, document_keys, question_keys, sizes)
+    return meet_by_key(documents, kept, kernel, result_schema, document_keys, question_keys, sizes)
 
 
 def _askable(questions: pa.Table, document_keys: Column) -> Column:
@@ -91,7 +91,7 @@ def _broadcast(documents: DataFrame, questions: pa.Table, kernel: Kernel, schema
     return documents.mapInArrow(score, schema)
 
 
-def _by_key(
+def meet_by_key(
     documents: DataFrame,
     questions: DataFrame,
     kernel: Kernel,
@@ -100,6 +100,8 @@ def _by_key(
     question_keys: Column,
     sizes: BlockSizes,
 ) -> DataFrame:
+    """``kernel`` for blocks of documents and questions that share a key, each key cut into as many blocks as its rows
+    need on both sides. ``questions`` is read several times."""
     keyed_documents = documents.withColumn("_key", F.explode(F.array_distinct(document_keys)))
     keyed_questions = questions.withColumn("_key", F.explode(F.array_distinct(question_keys)))
     asked = keyed_questions.groupBy("_key").agg(F.count("*").alias("_asked"))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from shelfseek.operators.ann import Planes
 from shelfseek.plans.products import BRAND, DIMS, LIMIT, MAX_PRICE, MIN_PRICE, TERMS
 
 
@@ -53,55 +52,89 @@ VECTOR_SEARCH = f"""WITH {PRODUCTS}, {VECTOR_RANKED}
 SELECT {SHOWN}, {rounded('similarity', 'similarity')}
 FROM (SELECT * FROM vector_scored ORDER BY similarity DESC NULLS LAST, asin LIMIT {LIMIT})"""
 
-def bucket_list(vector: str) -> str:
-    """The buckets of a vector: which side of each plane it lies on, the planes' numbers written out."""
-    planes = Planes(DIMS)
-    return "[" + ", ".join(
-        f"{t << planes.bits} + "
-        + " + ".join(f"({dot(vector, str(planes.signs(t, b)))} > 0)::INTEGER * {1 << b}" for b in range(planes.bits))
-        for t in range(planes.tables)
-    ) + "]"
+# Fixed values of the approximate search: cells, rounds of k-means, and how far a question looks.
+CELLS, ROUNDS, REACH, REFINE, EXACT_ROWS = 32, 4, 0.7, 3, 100
 
 
-def probe_list(buckets: str) -> str:
-    """Each bucket and those that differ from it in one bit."""
-    flips = str([0, *(1 << b for b in range(Planes(DIMS).bits))])
-    return f"flatten(list_transform({buckets}, lambda x: list_transform({flips}, lambda f: xor(x, f))))"
+def cell_of(vectors: str, centres: str) -> str:
+    """Each vector's nearest centre; of equally near ones, the first."""
+    near = f"{dot('v', 'centre')} - {dot('centre', 'centre')} / 2"
+    return f"""SELECT asin, v, cell FROM {vectors} CROSS JOIN {centres}
+  QUALIFY row_number() OVER (PARTITION BY asin ORDER BY {near} DESC, cell) = 1"""
 
 
-ANN_SEARCH = f"""WITH {PRODUCTS}, question AS (SELECT embedding AS q FROM embeddings WHERE vec_id = 0),
-near AS (
-  SELECT c.*, {dot('embedding', 'q')} AS similarity FROM collection c, question
-  WHERE {PASSES} AND embedding IS NOT NULL AND list_has_any({bucket_list('embedding')}, {probe_list(bucket_list('q'))})
+def fitted_cells() -> str:
+    """k-means round by round, centres rounded to four decimals."""
+    parts = [
+        f"""known AS (SELECT asin, embedding::DOUBLE[] AS v FROM collection WHERE embedding IS NOT NULL),
+centres0 AS (
+  SELECT (row_number() OVER (ORDER BY md5(asin), asin) - 1)::INTEGER AS cell, list_transform(v, lambda x: round(x, 4)) AS centre
+  FROM known QUALIFY cell < {CELLS}
+)"""
+    ]
+    for k in range(ROUNDS):
+        parts.append(f"""placed{k} AS ({cell_of('known', f'centres{k}')}),
+means{k} AS (
+  SELECT cell, list(round(mean, 4) ORDER BY place) AS centre FROM (
+    SELECT cell, place, avg(v[place]) AS mean FROM placed{k}, (SELECT unnest(range(1, {DIMS + 1})) AS place) GROUP BY ALL)
+  GROUP BY cell
+), centres{k + 1} AS (
+  SELECT cell, coalesce(m.centre, c.centre) AS centre FROM centres{k} c LEFT JOIN means{k} m USING (cell)
+)""")
+    parts.append(f"celled AS ({cell_of('known', f'centres{ROUNDS}')})")
+    return ",\n".join(parts)
+
+
+def probed(questions: str) -> str:
+    """CTEs ``rows_of``, ``asked`` and ``chosen``: the cells each question of (query_id, q, wanted) looks into."""
+    return f"""rows_of AS (
+  SELECT brand, cell, count(*) AS rows
+  FROM (SELECT unnest(list_distinct(brand_tokens)) AS brand, cell FROM collection JOIN celled USING (asin)) GROUP BY ALL
+), asked AS (
+  SELECT query_id, cell, rows, {dot('centre', 'q')} AS near, sum(rows) OVER (PARTITION BY query_id) AS total
+  FROM {questions} JOIN rows_of ON brand = wanted JOIN centres{ROUNDS} USING (cell)
+), chosen AS (
+  SELECT query_id, cell, total <= {EXACT_ROWS} AS exact FROM asked
+  QUALIFY total <= {EXACT_ROWS} OR coalesce(sum(rows) OVER (
+    PARTITION BY query_id ORDER BY near DESC, cell ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) < {REACH} * total
+)"""
+
+
+ANN_SEARCH = f"""WITH {PRODUCTS}, {fitted_cells()},
+question AS (SELECT 0 AS query_id, embedding AS q, '{BRAND}' AS wanted FROM embeddings WHERE vec_id = 0),
+{probed('question')}, near AS (
+  SELECT c.*, {dot('embedding', 'q')} AS similarity
+  FROM collection c JOIN celled USING (asin) JOIN chosen USING (cell), question WHERE {PASSES}
 )
 SELECT {SHOWN}, {rounded('similarity', 'similarity')}
 FROM (SELECT * FROM near ORDER BY similarity DESC, asin LIMIT {LIMIT})"""
 
-ANN_PAIRS = f"""{PRODUCTS}, queries AS (
-  SELECT vec_id AS query_id, embedding AS q, {probe_list(bucket_list('embedding'))} AS asked,
+ANN_PAIRS = f"""{PRODUCTS}, {fitted_cells()}, queries AS (
+  SELECT vec_id AS query_id, embedding AS q,
          CASE WHEN vec_id % 2 = 1 THEN regexp_extract(p_brand, '[0-9]+') ELSE '{BRAND}' END AS wanted
   FROM embeddings JOIN part ON p_partkey = vec_id
-), signed AS (
-  SELECT *, {bucket_list('embedding')} AS buckets FROM collection WHERE embedding IS NOT NULL
+), {probed('queries')}, pairs AS (
+  SELECT query_id, asin, {dot('embedding', 'q')} AS similarity, exact
+  FROM queries JOIN collection ON list_contains(brand_tokens, wanted) JOIN celled USING (asin)
+  LEFT JOIN chosen USING (query_id, cell)
+  WHERE estimated_price BETWEEN {MIN_PRICE} AND {MAX_PRICE}
 )"""
 
-ANN_RECALL = f"""WITH {ANN_PAIRS}, pairs AS (
-  SELECT query_id, asin, {dot('embedding', 'q')} AS similarity, list_has_any(buckets, asked) AS near
-  FROM queries JOIN signed ON list_contains(brand_tokens, wanted)
-  WHERE estimated_price BETWEEN {MIN_PRICE} AND {MAX_PRICE}
-), exact AS (
+ANN_RECALL = f"""WITH {ANN_PAIRS}, best AS (
   SELECT query_id, asin FROM pairs
   QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, asin) <= {LIMIT}
 ), found AS (
-  SELECT query_id, asin FROM pairs WHERE near
+  SELECT query_id, asin FROM pairs WHERE exact IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY similarity DESC, asin) <= {LIMIT}
 )
 SELECT query_id, count(found.asin) / count(*)::DOUBLE AS recall
-FROM exact LEFT JOIN found USING (query_id, asin) GROUP BY query_id"""
+FROM best LEFT JOIN found USING (query_id, asin) GROUP BY query_id"""
 
-ANN_CANDIDATE_SHARE = f"""WITH {ANN_PAIRS}
-SELECT query_id, count(*) AS candidates, {rounded('count(*) / (SELECT count(*) FROM signed)::DOUBLE', 'share')}
-FROM queries JOIN signed ON list_has_any(buckets, asked) GROUP BY query_id"""
+ANN_CANDIDATE_SHARE = f"""WITH {ANN_PAIRS}, counted AS (
+  SELECT query_id, least(count(*), CASE WHEN any_value(exact) THEN {EXACT_ROWS} ELSE {REFINE * LIMIT} END) AS candidates
+  FROM pairs WHERE exact IS NOT NULL GROUP BY query_id
+)
+SELECT query_id, candidates, {rounded('candidates / (SELECT count(*) FROM known)::DOUBLE', 'share')} FROM counted"""
 
 VECTOR_SEARCH_RANKED = VECTOR_SEARCH.replace(
     f"SELECT {SHOWN}", f"SELECT row_number() OVER (ORDER BY similarity DESC NULLS LAST, asin)::INTEGER AS rank, {SHOWN}", 1

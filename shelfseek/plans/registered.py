@@ -200,35 +200,37 @@ def q_compare_batch(spark: SparkSession, sf: str) -> DataFrame:
     return compare_results(by_vector, by_text, keys=("query_id", "asin"))
 
 
-PLANES = ann.Planes(DIMS)
+# Cells of the given tables' vectors.
+CELLS = 32
 
 
-def bucketed(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    """The stored collection and its index by bucket."""
+def celled(spark: SparkSession, sf: str) -> tuple[DataFrame, ann.CellIndex]:
+    """The stored collection and its index by cell."""
     products = stored(collection(spark, sf), "collection")
-    return products, ann.save_bucket_index(ann.bucket_index(products, PLANES), new_folder(spark, "buckets"))
+    cells = ann.fit_cells(products, DIMS, CELLS)
+    return products, ann.save_cell_index(ann.cell_index(products, cells), new_folder(spark, "cells"))
 
 
 def q_ann_search(spark: SparkSession, sf: str) -> DataFrame:
-    products, index = bucketed(spark, sf)
-    found = ann.ann_search(index, products, PLANES, query_vector(spark, sf), **FILTERS)
-    return product_rows(found, "similarity")
+    products, index = celled(spark, sf)
+    return product_rows(ann.ann_search(index, products, query_vector(spark, sf), **FILTERS), "similarity")
 
 
 def q_ann_recall(spark: SparkSession, sf: str) -> DataFrame:
     """Share of the exact results found, per question."""
-    products, index = bucketed(spark, sf)
+    products, index = celled(spark, sf)
     queries = vector_queries(spark, sf)
-    found = ann.batch_ann_search(index, products, PLANES, queries, LIMIT)
+    found = ann.batch_ann_search(index, products, queries, LIMIT)
     with_vectors = products.filter(F.col("embedding").isNotNull())
     exact = batch_search.batch_vector_search(with_vectors, queries, DIMS, LIMIT)
     return ann.recall(found, exact)
 
 
 def q_ann_candidate_share(spark: SparkSession, sf: str) -> DataFrame:
-    products, index = bucketed(spark, sf)
-    shares = ann.candidate_share(index, products, PLANES, vector_queries(spark, sf))
-    return shares.select("query_id", "candidates", rounded("share"))
+    """Which share of the products with a vector is scored exactly, per question."""
+    _, index = celled(spark, sf)
+    found = ann.candidates(index, vector_queries(spark, sf), LIMIT, ann.Reach())
+    return ann.candidate_share(found, index).select("query_id", "candidates", rounded("share"))
 
 
 # Filters, scores, tokens

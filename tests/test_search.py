@@ -230,32 +230,59 @@ def test_compare_searches(shelf):
         compare_searches(shelf, "space wars")
 
 
-def test_ann_search_is_exact_inside_shared_buckets(spark, tmp_path):
+def celled(spark, tmp_path, cells=6, **fit):
     shelf = random_shelf(spark).cache()
-    planes = ann.Planes(4, tables=3, bits=3)
-    index = ann.save_bucket_index(ann.bucket_index(shelf, planes), str(tmp_path / "index"))
-    asked = [(q, 0.0, 60.0, "hot", [0.5, -1.0, 1.0, 0.25 * q]) for q in range(5)]
-    queries = spark.createDataFrame(asked, QUERY_SCHEMA + ", embedding array<float>")
-    batch = ann.batch_ann_search(index, shelf, planes, queries, 5).orderBy("query_id", "rank").collect()
-    stored = {r.asin: set(r.buckets) for r in index.collect()}
-    pairs = 0
-    for q, low, high, brand, vector in asked:
-        buckets = set(planes.probes_of(np.array([vector]))[0].tolist())
-        exact = values(vector_search(shelf, vector, low, high, brand, 60), "asin", "similarity")
-        near = [(a, s) for a, s in exact if a in stored and stored[a] & buckets][:5]
-        assert [(r.asin, r.similarity) for r in batch if r.query_id == q] == near
-        assert values(ann.ann_search(index, shelf, planes, vector, low, high, brand, 5), "asin", "similarity") == near
-        pairs += sum(bool(own & buckets) for own in stored.values())
-    shares = ann.candidate_share(index, shelf, planes, queries).collect()
-    assert sum(r.candidates for r in shares) == pairs < 5 * len(stored)
+    fitted = ann.fit_cells(shelf, 4, cells, **fit)
+    return shelf, ann.save_cell_index(ann.cell_index(shelf, fitted), str(tmp_path / "index"))
 
 
-def test_a_lookup_reads_the_buckets_asked_for(spark, tmp_path):
-    planes = ann.Planes(4, tables=2, bits=2)
-    shelf = random_shelf(spark)
-    index = ann.save_bucket_index(ann.bucket_index(shelf, planes), str(tmp_path / "index"))
-    plan = ann.ann_search(index, shelf, planes, [1.0, 0.0, 0.0, 0.0])._jdf.queryExecution().executedPlan().toString()
-    assert "In(bucket, [" in plan
+@pytest.mark.parametrize("reach", [ann.Reach(0.4, 2, 0), ann.Reach(0.4, 2, 15), ann.Reach(1.0, 50, 0)])
+def test_ann_search_is_exact_inside_the_cells_it_looks_into(spark, tmp_path, reach):
+    shelf, index = celled(spark, tmp_path)
+    asked = [(q, 0.0, 60.0, ["hot", "cold0"][q % 2], [0.5, -1.0, 1.0, 0.25 * q]) for q in range(6)]
+    asked += [(6, 0.0, 60.0, "hot", None), (7, 0.0, 60.0, "absent", [1.0, 0.0, 0.0, 0.0]), (8, 0.0, 60.0, None, [1.0, 0.0, 0.0, 0.0])]
+    queries = spark.createDataFrame(asked, QUERY_SCHEMA + ", embedding array<float>")
+    batch = ann.batch_ann_search(index, shelf, queries, 5, reach).orderBy("query_id", "rank").collect()
+    assert {r.query_id for r in batch} <= set(range(6))
+    cell_of = {r.asin: r.cell for r in index.rows.collect()}
+    for q, low, high, brand, vector in asked[:6]:
+        cells, _ = ann.probes(index, vector, brand, reach)
+        exact = values(vector_search(shelf, vector, low, high, brand, 60), "asin", "similarity")
+        near = [(a, s) for a, s in exact if cell_of.get(a) in cells][:5]
+        one = values(ann.ann_search(index, shelf, vector, low, high, brand, 5, reach), "asin", "similarity")
+        # Codes of one byte may order near rows otherwise, so only the best few are certain where not all are scored.
+        assert one[:2] == near[:2] and [(r.asin, r.similarity) for r in batch if r.query_id == q] == one
+        if reach.share == 1.0:
+            assert one == [(a, s) for a, s in exact if a in cell_of][:5]
+
+
+def test_cells_are_fitted_on_a_bounded_sample_and_loaded_as_saved(spark, tmp_path):
+    shelf, index = celled(spark, tmp_path, cells=3, sample=10, rounds=2)
+    again = ann.load_cell_index(spark, str(tmp_path / "index"))
+    assert again.cells == index.cells and len(again.cells.centres) == 3
+    vectors = {r.asin: np.array(r.embedding, float) for r in index.rows.collect()}
+    centres = np.array(index.cells.centres)
+    for row in index.rows.collect():
+        distances = ((centres - vectors[row.asin]) ** 2).sum(axis=1)
+        assert distances[row.cell] == pytest.approx(distances.min())
+        numbers = np.frombuffer(row.code, np.int8) * row.scale
+        assert np.abs(numbers - vectors[row.asin]).max() <= row.scale / 2 + 1e-9
+    held = sum(r.rows for r in index.brands.filter("brand = 'hot'").collect())
+    assert held == index.rows.filter(F.array_contains("brand_tokens", "hot")).count()
+
+
+def test_no_vectors_make_one_empty_cell(spark):
+    shelf = products(spark, [("a", "b", "c", 1.0, None)])
+    index = ann.cell_index(shelf, ann.fit_cells(shelf, 2))
+    assert len(index.cells.centres) == 1
+    assert ann.ann_search(index, shelf, [1.0, 0.0], brand="b").collect() == []
+
+
+def test_a_lookup_reads_the_cells_asked_for(spark, tmp_path):
+    shelf, index = celled(spark, tmp_path)
+    found = ann.ann_search(index, shelf, [1.0, 0.0, 0.0, 0.0], 0, 60, "hot", 3, ann.Reach(0.3, 2, 0))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "In(cell, [" in plan and "In(asin, [" in plan and "_code" not in plan
 
 
 @pytest.mark.parametrize("vector", [[1.0], [1.0, 0.0, 0.0]])
@@ -265,7 +292,7 @@ def test_every_form_refuses_a_vector_of_another_length(shelf, vector):
         lambda: vector_search(shelf, vector, dims=2),
         lambda: vector_search_sql(shelf, embedding=vector),
         lambda: run_named("vector_search", shelf, embedding=str(vector)),
-        lambda: ann.ann_search(ann.bucket_index(shelf, ann.Planes(2)), shelf, ann.Planes(2), vector),
+        lambda: ann.ann_search(ann.cell_index(shelf, ann.fit_cells(shelf, 2)), shelf, vector),
     ):
         with pytest.raises(Exception, match="numbers|another length"):
             search().collect()
