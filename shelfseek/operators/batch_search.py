@@ -4,11 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfseek.functions.text import bm25_idf, bm25_weight, row_numbers
+from shelfseek.functions.text import bm25_weight, has_term
 from shelfseek.functions.vectors import dense_rows, ordered_dot, vector_enforce
 from shelfseek.operators.blocks import (
     BlockSizes,
@@ -29,11 +28,17 @@ from shelfseek.operators.search import (
     similarity_order,
     text_order,
 )
-from shelfseek.operators.text_index import TextIndex, corpus_statistics
-from shelfseek.scratch import stored
+from shelfseek.operators.text_index import (
+    TextIndex,
+    save_index,
+    term_statistics,
+    text_index,
+    top_weight,
+    weighted_terms,
+)
+from shelfseek.scratch import new_folder, stored
 
 VECTOR_RESULT = "query_id {id}, asin string, similarity double"
-TEXT_RESULT = "query_id {id}, asin string, text_search_score double, estimated_price double"
 
 
 def vector_kernel(dims: int, limit: int) -> Kernel:
@@ -82,51 +87,6 @@ def vector_kernel(dims: int, limit: int) -> Kernel:
     return kernel
 
 
-def text_kernel(limit: int, match_all: bool = False) -> Kernel:
-    """Best ``limit`` documents per question by BM25, terms added in the question's order."""
-
-    def kernel(documents: pa.Table, questions: pa.Table) -> pa.Table:
-        ids, found, scores, prices = [], [], [], []
-        terms = questions["terms"].combine_chunks()
-        encoded = terms.flatten().dictionary_encode()
-        idf = questions["idfs"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
-        starts = np.searchsorted(row_numbers(terms), np.arange(len(terms) + 1))
-        codes = encoded.indices.to_numpy(zero_copy_only=False)
-        average = questions["avgdl"].to_numpy()[0] if len(terms) else 1.0
-        for first, piece in slices(documents, questions):
-            filters, ranks = Filters(piece, questions), text_ranks(piece["asin"])
-            n = piece.num_rows
-            tokens = piece["description_tokens"].combine_chunks()
-            lengths = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False)
-            places = pc.fill_null(pc.index_in(tokens.flatten(), value_set=encoded.dictionary), -1)
-            places = places.to_numpy(zero_copy_only=False).astype(np.int64)
-            held = places >= 0
-            pairs, tf = np.unique(places[held] * n + row_numbers(tokens)[held], return_counts=True)
-            rows = pairs % max(n, 1)
-            weights = bm25_weight(tf, lengths[rows], average)
-            spans = np.searchsorted(pairs // max(n, 1), np.arange(len(encoded.dictionary) + 1))
-            for q in range(questions.num_rows):
-                total, hits = np.zeros(n), np.zeros(n, dtype=np.int64)
-                for i in range(starts[q], starts[q + 1]):
-                    span = slice(spans[codes[i]], spans[codes[i] + 1])
-                    total[rows[span]] += idf[i] * weights[span]
-                    hits[rows[span]] += 1
-                needed = starts[q + 1] - starts[q] if match_all else 1
-                candidates = np.flatnonzero((hits >= max(needed, 1)) & filters.passing(q))
-                if len(candidates) > limit:
-                    floor = np.partition(total[candidates], -limit)[-limit]
-                    candidates = candidates[total[candidates] >= floor]
-                price = filters.price[candidates]
-                order = np.lexsort((ranks[candidates], price, -total[candidates]))[:limit]
-                ids.append(np.full(len(order), q))
-                found.append(first + candidates[order])
-                scores.append(total[candidates[order]])
-                prices.append(price[order])
-        return result(documents, questions, found, ids, text_search_score=scores, estimated_price=prices)
-
-    return kernel
-
-
 def result(
     documents: pa.Table, questions: pa.Table, found: list, ids: list, **numbers: list
 ) -> pa.Table:
@@ -217,41 +177,86 @@ def query_terms(text: Column) -> Column:
     return F.array_distinct(F.filter(words, lambda w: w != ""))
 
 
-def document_frequencies(collection: DataFrame, terms: DataFrame) -> DataFrame:
-    """(term, df) for the given distinct terms, counted over the collection."""
-    held = collection.select(F.explode_outer(F.array_distinct("description_tokens")).alias("term"))
-    return held.join(terms, "term", "left_semi").groupBy("term").agg(F.count("*").alias("df"))
+# Full text: questions' terms joined to the postings.
+#
+# A question's terms have an upper bound each: the weight of the best posting, from its blocks' bounds. A few rare terms
+# give a first result, whose last score is the question's threshold. Terms that together stay below it cannot bring in a
+# document by themselves; the others, the leading terms, are joined to the postings, leaving out blocks whose bound is too
+# low. Documents that may still reach the threshold then get the weights of the remaining terms. Nothing that could be
+# among the first is left out, so results are exact.
 
+# The rare terms of the first result: so many postings for each wanted row.
+FIRST_POSTINGS = 20
+# Questions that meet a block of postings in one place.
+QUESTIONS_AT_BLOCK = 1024
+# Rounding that sums of bounds may have, relative to them.
+SLACK = 1e-9
 
-def text_questions(
-    collection: DataFrame, queries: DataFrame, normalize_terms: bool = False, index: TextIndex | None = None
-) -> DataFrame:
-    """Questions with their terms, the weight of each, and the collection's mean document length."""
+
+def asked_index(collection: DataFrame, wanted: DataFrame, index: TextIndex | None) -> TextIndex:
+    """A stored index with block bounds, of the wanted terms if none is given."""
+    if index is not None and index.blocks is not None:
+        return index
+    whole = index or text_index(collection)
+    rows = whole.postings.select("asin", "term", "tf", "dl", "estimated_price", "brand_tokens")
+    held = rows.join(wanted, "term", "left_semi")
+    return save_index(TextIndex(held, term_statistics(held), whole.corpus), new_folder(collection.sparkSession, "asked-index"))
+
+
+def question_terms(queries: DataFrame, normalize_terms: bool) -> DataFrame:
+    """(query_id, brand, min_price, max_price, pos, term, n_terms): a row for each distinct word of a question."""
     text = F.lower("text") if normalize_terms else F.col("text")
-    filtered = queries.select(*question_filters(), query_terms(text).alias("_terms"))
-    placed = filtered.select("query_id", F.posexplode("_terms").alias("pos", "term"))
-    wanted = placed.select("term").distinct()
-    if index is None:
-        corpus, found = corpus_statistics(collection), document_frequencies(collection, wanted)
-    else:
-        corpus, found = index.corpus, index.terms.join(wanted, "term", "left_semi")
-    corpus = corpus.select(F.struct("documents", "avgdl")).scalar()
-    idf = bm25_idf(corpus["documents"], F.coalesce("df", F.lit(0)))
-    weighted = (
-        placed.join(found, "term", "left")
-        .withColumn("idf", idf)
-        .groupBy("query_id")
-        .agg(F.sort_array(F.collect_list(F.struct("pos", "term", "idf"))).alias("_weighted"))
-    )
-    return filtered.drop("_terms").join(weighted, "query_id").select(
-        "query_id",
-        "brand",
-        "min_price",
-        "max_price",
-        F.col("_weighted.term").alias("terms"),
-        F.col("_weighted.idf").alias("idfs"),
-        corpus["avgdl"].alias("avgdl"),
+    words = queries.select(*question_filters(), query_terms(text).alias("_terms"))
+    with_count = words.withColumn("n_terms", F.size("_terms"))
+    return with_count.select("query_id", "brand", "min_price", "max_price", "n_terms", F.posexplode("_terms").alias("pos", "term"))
+
+
+def bounded_terms(terms: DataFrame, index: TextIndex) -> DataFrame:
+    """``terms`` that occur, with df, idf, avgdl, and ``top``: what no posting of the term weighs more than."""
+    weighted = weighted_terms(index.terms.join(terms.select("term").distinct(), "term", "left_semi"), index.corpus)
+    tops = index.blocks.join(weighted, "term").groupBy("term", "df", "idf", "avgdl")
+    known = tops.agg((F.col("idf") * F.max(top_weight(F.col("avgdl")))).alias("top"))
+    return terms.join(known, "term")
+
+
+def term_pairs(terms: DataFrame, index: TextIndex, bound: Column) -> DataFrame:
+    """(query_id, asin, estimated_price, pos, weight) of the questions' ``terms`` and the postings that pass their
+    filters, in blocks whose ``bound`` (of idf, top and what else ``terms`` holds) is true.
+
+    A block holds a bounded number of postings, so a frequent term is as many keys as it has blocks; questions that ask
+    for the same block are split by number.
+    """
+    chosen = terms.join(index.blocks, "term").withColumn("block_top", F.col("idf") * top_weight(F.col("avgdl"))).filter(bound)
+    chosen = chosen.drop("max_tf", "min_dl", "block_top")
+    parts = F.ceil(F.count("*") / QUESTIONS_AT_BLOCK).cast("int")
+    asked = stored(chosen, "asked-blocks")
+    wanted = asked.groupBy("term", "block").agg(parts.alias("_parts"))
+    read = index.postings.join(wanted, ["term", "block"])
+    copied = read.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1))).drop("_parts")
+    numbered = asked.join(wanted, ["term", "block"]).withColumn("_part", F.pmod(F.xxhash64("query_id"), F.col("_parts")).cast("int"))
+    met = copied.join(numbered.drop("_parts"), ["term", "block", "_part"])
+    passing = met.filter(F.col("estimated_price").between(F.col("min_price"), F.col("max_price"))).filter(
+        has_term(F.col("brand_tokens"), F.col("brand"))
     )
+    weight = F.col("idf") * bm25_weight(F.col("tf"), F.col("dl"), F.col("avgdl"))
+    return passing.select("query_id", "asin", "estimated_price", "pos", weight.alias("weight"))
+
+
+def thresholds(terms: DataFrame, index: TextIndex, limit: int) -> DataFrame:
+    """(query_id, floor): a score that ``limit`` documents reach by a question's rarest terms; no row if they are fewer."""
+    rising = Window.partitionBy("query_id").orderBy("df", "pos")
+    before = F.coalesce(F.sum("df").over(rising.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    rare = terms.withColumn("_before", before).filter(F.col("_before") < FIRST_POSTINGS * limit)
+    found = term_pairs(rare, index, F.lit(True)).groupBy("query_id", "asin").agg(F.sum("weight").alias("score"))
+    falling = Window.partitionBy("query_id").orderBy(F.desc("score"))
+    place = found.withColumn("place", F.row_number().over(falling)).filter(F.col("place") <= limit)
+    last = place.filter(F.col("place") == limit)
+    return last.select("query_id", (F.col("score") * (1 - SLACK)).alias("floor"))
+
+
+def in_order(weights: Column) -> Column:
+    """The sum of (pos, weight) by position, as a single search adds them up."""
+    return F.aggregate(F.sort_array(weights), F.lit(0.0), lambda total, x: total + x["weight"])
 
 
 def batch_full_text_search(
@@ -261,20 +266,52 @@ def batch_full_text_search(
     match_all: bool = False,
     normalize_terms: bool = False,
     index: TextIndex | None = None,
-    sizes: BlockSizes = BlockSizes(),
 ) -> DataFrame:
     """``full_text_search`` for every row of ``queries`` (query_id, text, min_price, max_price, brand),
     the text split into terms at white space."""
     size = measure(queries, text_bytes())
-    scored = score_blocks(
-        collection.select("asin", "estimated_price", "brand_tokens", "description_tokens"),
-        text_questions(collection, queries, normalize_terms, index),
-        size,
-        text_kernel(limit, match_all),
-        TEXT_RESULT.format(id=id_type(queries)),
-        document_keys=F.col("brand_tokens"),
-        question_keys=F.array("brand"),
-        sizes=sizes,
+    terms = stored(question_terms(queries, normalize_terms), "question-terms")
+    index = asked_index(collection, terms.select("term").distinct(), index)
+    bounded = bounded_terms(terms, index)
+    of_question = Window.partitionBy("query_id")
+    if match_all:
+        # All terms must be there, so the rarest one leads; a question with a term that no document has finds nothing.
+        complete = bounded.withColumn("_known", F.count("*").over(of_question)).filter(F.col("_known") == F.col("n_terms"))
+        leading = F.row_number().over(of_question.orderBy("df", "pos")) == 1
+        ranked = stored(complete.drop("_known").withColumns({"leads": leading, "floor": F.lit(0.0)}), "bounded-terms")
+    else:
+        known = stored(bounded, "known-terms")
+        floored = known.join(thresholds(known, index, limit), "query_id", "left").fillna(0.0, ["floor"])
+        # The smallest bounds come first; a term leads once those up to it may add up to the threshold.
+        smaller = of_question.orderBy("top", F.desc("pos")).rowsBetween(Window.unboundedPreceding, 0)
+        leading = F.sum("top").over(smaller) >= F.col("floor")
+        ranked = stored(floored.withColumn("leads", leading), "bounded-terms")
+    sums = ranked.groupBy("query_id").agg(
+        F.sum("top").alias("_all"), F.coalesce(F.sum(F.when(~F.col("leads"), F.col("top"))), F.lit(0.0)).alias("_rest")
+    )
+    led = ranked.join(sums, "query_id").filter("leads")
+    reaching = F.col("block_top") + F.col("_all") - F.col("top") >= F.col("floor") * (1 - SLACK)
+    pairs = term_pairs(led, index, F.lit(True) if match_all else reaching)
+    by_document = ("query_id", "asin", "estimated_price")
+    weights = F.collect_list(F.struct("pos", "weight")).alias("weights")
+    first = pairs.groupBy(*by_document).agg(weights, F.sum("weight").alias("_sum"))
+    bounds = ranked.groupBy("query_id").agg(F.first("floor").alias("floor"), F.first("n_terms").alias("n_terms")).join(sums, "query_id")
+    possible = first.join(bounds, "query_id").filter(F.col("_sum") + F.col("_rest") >= F.col("floor") * (1 - SLACK))
+    candidates = stored(possible.select(*by_document, "weights", "n_terms"), "text-candidates")
+    others = ranked.filter(~F.col("leads")).select("query_id", "pos", "term", "idf", "avgdl")
+    rest = (
+        candidates.select("query_id", "asin")
+        .join(others, "query_id")
+        .join(index.postings.select("asin", "term", "tf", "dl"), ["term", "asin"])
+        .select("query_id", "asin", "pos", (F.col("idf") * bm25_weight(F.col("tf"), F.col("dl"), F.col("avgdl"))).alias("weight"))
+        .groupBy("query_id", "asin")
+        .agg(F.collect_list(F.struct("pos", "weight")).alias("more"))
     )
+    none = F.array().cast("array<struct<pos:int,weight:double>>")
+    whole = candidates.join(rest, ["query_id", "asin"], "left")
+    listed = whole.withColumn("weights", F.concat("weights", F.coalesce("more", none)))
+    if match_all:
+        listed = listed.filter(F.size("weights") == F.col("n_terms"))
+    scored = listed.select(*by_document, in_order(F.col("weights")).alias("text_search_score"))
     winners = best(scored, text_order(), limit)
     return with_products(winners, collection, "text_search_score", limit, size)

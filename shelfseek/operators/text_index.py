@@ -1,24 +1,37 @@
-"""Postings and corpus statistics of a collection."""
+"""Postings and corpus statistics of a collection, at once or in segments that follow its changes.
+
+A stored index is a list of segments (see ``commits.py``), one for each micro-batch. A segment holds the postings of the
+documents that the batch brought or changed, which earlier versions these replace, and what they add to the statistics
+and take away. Readers leave out replaced postings and add up the statistics; ``compact_index`` folds all segments into one.
+"""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfseek.functions.text import term_counts
+from shelfseek.functions.text import bm25_idf, bm25_weight, term_counts
+from shelfseek.operators import commits
+from shelfseek.operators.collection import MAX_BROADCAST_BYTES, VERSION
+from shelfseek.scratch import stored
+
+# Postings of a block, as a power of two.
+BLOCK_BITS = 10
+SEGMENT = "_segment"
 
 
 @dataclass(frozen=True)
 class TextIndex:
-    """``postings`` (asin, term, tf, dl, estimated_price, brand_tokens), ``terms`` (term, df) and the
-    one-row ``corpus`` (documents, avgdl). Postings carry the filter columns of a search, so that only
-    its winners are looked up in the collection."""
+    """``postings`` (asin, term, tf, dl, estimated_price, brand_tokens, and block if stored), ``terms`` (term, df) and
+    the one-row ``corpus`` (documents, avgdl). Postings carry the filter columns of a search, so that only its winners
+    are looked up in the collection. ``blocks`` (term, block, max_tf, min_dl), if stored, bounds each block's scores."""
 
     postings: DataFrame
     terms: DataFrame
     corpus: DataFrame
+    blocks: DataFrame | None = None
 
 
 def postings(collection: DataFrame) -> DataFrame:
@@ -42,10 +55,13 @@ def term_statistics(postings_: DataFrame) -> DataFrame:
     return postings_.groupBy("term").agg(F.count("*").alias("df"))
 
 
+def length() -> Column:
+    return F.coalesce(F.size("description_tokens"), F.lit(0))
+
+
 def corpus_statistics(collection: DataFrame) -> DataFrame:
     """Number of documents, those without tokens included, and their mean length."""
-    length = F.coalesce(F.size("description_tokens"), F.lit(0))
-    return collection.agg(F.count("*").alias("documents"), F.avg(length).alias("avgdl"))
+    return collection.agg(F.count("*").alias("documents"), F.avg(length()).alias("avgdl"))
 
 
 def text_index(collection: DataFrame) -> TextIndex:
@@ -53,25 +69,161 @@ def text_index(collection: DataFrame) -> TextIndex:
     return TextIndex(rows, term_statistics(rows), corpus_statistics(collection))
 
 
-def save_index(index: TextIndex, path: str, files: int | None = None) -> TextIndex:
-    """Store an index for term lookups and return the stored one.
+def block_bounds(postings_: DataFrame) -> DataFrame:
+    """What no posting of a term in a block exceeds: its count of the term, and its document's length from below."""
+    return postings_.groupBy("term", "block").agg(F.max("tf").alias("max_tf"), F.min("dl").alias("min_dl"))
+
 
-    Postings are ranged by (term, asin): a file covers a narrow range of terms, so a lookup skips most
-    files, and a term that fills many files is split between them by asin.
+def write_postings(rows: DataFrame, path: str, files: int | None = None) -> DataFrame:
+    """Store postings ranged by (term, asin) and return the stored ones.
+
+    A file covers a narrow range of terms, so a lookup skips most files, and a term that fills many files is split
+    between them by asin. A block is a run of rows of one file, so a frequent term has as many blocks as it needs.
     """
-    spark = index.postings.sparkSession
     by_term = ("term", "asin")
-    ranged = (
-        index.postings.repartitionByRange(files, *by_term)
-        if files
-        else index.postings.repartitionByRange(*by_term)
-    )
-    ranged.sortWithinPartitions(*by_term).write.parquet(f"{path}/postings")
-    stored_postings = spark.read.parquet(f"{path}/postings")
-    term_statistics(stored_postings).sortWithinPartitions("term").write.parquet(f"{path}/terms")
+    ranged = rows.repartitionByRange(files, *by_term) if files else rows.repartitionByRange(*by_term)
+    sorted_ = ranged.sortWithinPartitions(*by_term)
+    run = F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)
+    blocked = sorted_.withColumn("block", F.xxhash64(F.lit(path), run))
+    blocked.write.parquet(path)
+    return rows.sparkSession.read.schema(blocked.schema).parquet(path)
+
+
+def save_index(index: TextIndex, path: str, files: int | None = None) -> TextIndex:
+    """Store an index for term lookups and return the stored one."""
+    spark = index.postings.sparkSession
+    held = write_postings(index.postings, f"{path}/postings", files)
+    term_statistics(held).sortWithinPartitions("term").write.parquet(f"{path}/terms")
+    block_bounds(held).sortWithinPartitions("term").write.parquet(f"{path}/blocks")
     index.corpus.write.parquet(f"{path}/corpus")
     return load_index(spark, path)
 
 
 def load_index(spark: SparkSession, path: str) -> TextIndex:
-    return TextIndex(*[spark.read.parquet(f"{path}/{part}") for part in ("postings", "terms", "corpus")])
+    return TextIndex(*[spark.read.parquet(f"{path}/{part}") for part in ("postings", "terms", "corpus", "blocks")])
+
+
+# An index in segments
+
+
+def update_index(batch: DataFrame, batch_id: int, path: str) -> bool:
+    """Bring the index under ``path`` up to ``batch``: rows of a collection, each asin once, with ``_version``.
+
+    Versions that are not newer than the indexed one are left out. False if the batch is indexed already.
+    """
+    spark = batch.sparkSession
+    if commits.is_committed(spark, path, batch_id):
+        return False
+    folder = commits.new_name("segments")
+    known = current_documents(spark, path, batch)
+    rows = batch.select("asin", VERSION, "estimated_price", "brand_tokens", "description_tokens")
+    if known is not None:
+        rows = rows.join(known, "asin", "left").filter(F.col("_held").isNull() | (F.col(VERSION) > F.col("_held")))
+    else:
+        none = {"_old_segment": "bigint", "_old_dl": "int", "_old_terms": "array<string>"}
+        rows = rows.withColumns({name: F.lit(None).cast(kind) for name, kind in none.items()})
+    fresh = stored(rows.drop("_held"), "fresh")
+    held = write_postings(postings(fresh).withColumn(SEGMENT, F.lit(batch_id).cast("bigint")), f"{path}/{folder}/postings")
+    gone = fresh.filter(F.col("_old_segment").isNotNull())
+    gone.select("asin", F.col("_old_segment").alias(SEGMENT)).write.parquet(f"{path}/{folder}/replaced")
+    added = held.groupBy("term").agg(F.count("*").alias("df"))
+    lost = gone.select(F.explode("_old_terms").alias("term")).groupBy("term").agg((-F.count("*")).alias("df"))
+    changed = added.union(lost).groupBy("term").agg(F.sum("df").alias("df")).filter(F.col("df") != 0)
+    changed.sortWithinPartitions("term").write.parquet(f"{path}/{folder}/terms")
+    block_bounds(held).sortWithinPartitions("term").write.parquet(f"{path}/{folder}/blocks")
+    fresh.agg(
+        (F.count("*") - F.count("_old_segment")).alias("documents"),
+        F.coalesce(F.sum(length() - F.coalesce("_old_dl", F.lit(0))), F.lit(0)).cast("bigint").alias("tokens"),
+    ).write.parquet(f"{path}/{folder}/corpus")
+    documents = fresh.select(
+        "asin", VERSION, length().alias("dl"), F.array_distinct("description_tokens").alias("terms"), F.lit(batch_id).cast("bigint").alias(SEGMENT)
+    )
+    documents.write.parquet(f"{path}/{folder}/documents")
+    commits.add(spark, path, batch_id, folder, [])
+    return True
+
+
+def segments(spark: SparkSession, path: str) -> list[str]:
+    now = commits.commits(spark, path)
+    if now is None:
+        raise ValueError(f"nothing has been indexed under {path}")
+    return [*now.folders.values(), *[folder for _, folder, _ in now.changes]]
+
+
+def read_part(spark: SparkSession, path: str, folders: list[str], part: str) -> DataFrame:
+    return spark.read.parquet(*[f"{path}/{folder}/{part}" for folder in folders])
+
+
+def small(rows: DataFrame) -> bool:
+    """Whether the rows' asins, measured, may be broadcast."""
+    return rows.agg(F.coalesce(F.sum(F.octet_length("asin") + 32), F.lit(0))).first()[0] <= MAX_BROADCAST_BYTES
+
+
+def current_documents(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame | None:
+    """For the batch's asins that are indexed, the version, segment, length and terms that count now."""
+    if commits.commits(spark, path) is None:
+        return None
+    documents = read_part(spark, path, segments(spark, path), "documents")
+    asins = batch.select("asin")
+    held = documents.join(F.broadcast(asins) if small(asins) else asins, "asin", "left_semi")
+    newest = held.groupBy("asin").agg(F.max_by(F.struct(VERSION, SEGMENT, "dl", "terms"), SEGMENT).alias("d"))
+    return newest.select(
+        "asin",
+        F.col(f"d.{VERSION}").alias("_held"),
+        F.col(f"d.{SEGMENT}").alias("_old_segment"),
+        F.col("d.dl").alias("_old_dl"),
+        F.col("d.terms").alias("_old_terms"),
+    )
+
+
+def without_replaced(spark: SparkSession, path: str, folders: list[str], rows: DataFrame) -> DataFrame:
+    """``rows`` (asin, segment) of versions that count: replaced ones are left out, by broadcast while they are few."""
+    replaced = read_part(spark, path, folders, "replaced")
+    if replaced.isEmpty():
+        return rows
+    return rows.join(F.broadcast(replaced) if small(replaced) else replaced, ["asin", SEGMENT], "left_anti")
+
+
+def read_index(spark: SparkSession, path: str) -> TextIndex:
+    """The index as of now."""
+    folders = segments(spark, path)
+    live = without_replaced(spark, path, folders, read_part(spark, path, folders, "postings")).drop(SEGMENT)
+    terms = read_part(spark, path, folders, "terms").groupBy("term").agg(F.sum("df").alias("df")).filter(F.col("df") > 0)
+    sums = read_part(spark, path, folders, "corpus").agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
+    average = F.when(F.col("documents") > 0, F.col("tokens") / F.col("documents"))
+    corpus = sums.select("documents", average.alias("avgdl"))
+    # Bounds of blocks that hold replaced postings stay bounds.
+    return TextIndex(live, terms, corpus, read_part(spark, path, folders, "blocks"))
+
+
+def compact_index(spark: SparkSession, path: str) -> int:
+    """Fold all segments into one and return its version."""
+    now, folders = commits.commits(spark, path), segments(spark, path)
+    index, folder = read_index(spark, path), commits.new_name("segments")
+    upto = now.changes[-1][0] if now.changes else now.upto
+    number = F.lit(upto).cast("bigint")
+    held = write_postings(index.postings.drop("block").withColumn(SEGMENT, number), f"{path}/{folder}/postings")
+    index.terms.sortWithinPartitions("term").write.parquet(f"{path}/{folder}/terms")
+    block_bounds(held).sortWithinPartitions("term").write.parquet(f"{path}/{folder}/blocks")
+    sums = read_part(spark, path, folders, "corpus").agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
+    sums.write.parquet(f"{path}/{folder}/corpus")
+    documents = without_replaced(spark, path, folders, read_part(spark, path, folders, "documents"))
+    documents.withColumn(SEGMENT, number).write.parquet(f"{path}/{folder}/documents")
+    spark.createDataFrame([], f"asin string, {SEGMENT} bigint").write.parquet(f"{path}/{folder}/replaced")
+    commits.add(spark, path, upto, folder, [], now.version + 1, {0: folder})
+    return now.version + 1
+
+
+# Scores of terms
+
+
+def top_weight(corpus_avgdl: Column) -> Column:
+    """What no posting of a block weighs more than: the weight of its greatest count in its shortest document."""
+    return bm25_weight(F.col("max_tf"), F.col("min_dl"), corpus_avgdl)
+
+
+def weighted_terms(terms: DataFrame, corpus: DataFrame) -> DataFrame:
+    """(term, df, idf, avgdl)."""
+    stats = corpus.select(F.struct("documents", "avgdl")).scalar()
+    with_stats = terms.withColumn("_corpus", stats)
+    return with_stats.select("term", "df", bm25_idf(F.col("_corpus.documents"), F.col("df")).alias("idf"), "_corpus.avgdl")

@@ -172,6 +172,11 @@ SELECT {place}{SHOWN}, {rounded('text_search_score', 'text_search_score')}
 FROM (SELECT * FROM matching ORDER BY text_search_score DESC, estimated_price, asin LIMIT {LIMIT})"""
 
 
+REWRITTEN = full_text_search(1).replace(
+    "text AS description,",
+    "CASE WHEN doc_id % 3 = 0 THEN 'worthless the ' || substr(text, 1, 200) ELSE text END AS description,",
+)
+
 BATCH_VECTOR_SEARCH = f"""WITH {PRODUCTS}, queries AS (
   SELECT vec_id AS query_id, embedding AS q,
          CASE WHEN vec_id % 2 = 1 THEN regexp_extract(p_brand, '[0-9]+') ELSE '{BRAND}' END AS wanted
@@ -307,6 +312,7 @@ ORACLES = {
     "full_text_search": full_text_search(1, ranked=True),
     "full_text_search_named": full_text_search(1),
     "full_text_search_indexed": full_text_search(1),
+    "text_index_updates": REWRITTEN,
     "full_text_search_all": full_text_search(len(TERMS)),
     "batch_vector_search": BATCH_VECTOR_SEARCH,
     "batch_vector_search_by_key": BATCH_VECTOR_SEARCH,

@@ -13,7 +13,7 @@ from shelfseek.operators import ann, batch_search, collection as store, text_ind
 from shelfseek.operators.blocks import BlockSizes
 from shelfseek.operators.compare import compare_results, compare_searches
 from shelfseek.operators.enrich import accepted, embed_distinct, enrich, rejected
-from shelfseek.operators.ingest import ingest_problems, parse_products
+from shelfseek.operators.ingest import ingest_problems, ingest_transform, parse_products
 from shelfseek.operators.search import (
     PRODUCT_COLUMNS,
     full_text_search,
@@ -166,16 +166,35 @@ def q_batch_vector_search_by_key(spark: SparkSession, sf: str) -> DataFrame:
     return q_batch_vector_search(spark, sf, BY_KEY)
 
 
-def q_batch_full_text_search(spark: SparkSession, sf: str, sizes: BlockSizes = BlockSizes()) -> DataFrame:
+def q_batch_full_text_search(spark: SparkSession, sf: str) -> DataFrame:
     products = stored(collection(spark, sf), "collection")
-    found = batch_search.batch_full_text_search(
-        products, text_queries(spark, sf), LIMIT, normalize_terms=True, sizes=sizes
-    )
+    found = batch_search.batch_full_text_search(products, text_queries(spark, sf), LIMIT, normalize_terms=True)
     return batch_rows(found, "text_search_score")
 
 
 def q_batch_full_text_search_by_key(spark: SparkSession, sf: str) -> DataFrame:
-    return q_batch_full_text_search(spark, sf, BY_KEY)
+    """The same over a stored index of all terms."""
+    products = stored(collection(spark, sf), "collection")
+    index = text_index.save_index(text_index.text_index(products), new_folder(spark, "index"))
+    found = batch_search.batch_full_text_search(products, text_queries(spark, sf), LIMIT, normalize_terms=True, index=index)
+    return batch_rows(found, "text_search_score")
+
+
+def q_text_index_updates(spark: SparkSession, sf: str) -> DataFrame:
+    """A collection and its index through three micro-batches: all products, every third one rewritten, and the first
+    versions of all once more, too late. The indexed search finds what the last versions say."""
+    path = new_folder(spark, "followed")
+    products = collection(spark, sf)
+    third = raw_products(spark, sf).filter(F.col("asin").cast("bigint") % 3 == 0)
+    rewritten = ingest_transform(
+        third.withColumn("description", F.concat(F.lit("worthless the "), F.substring("description", 1, 200))), DIMS
+    )
+    for number, (rows, second) in enumerate([(products, 1), (rewritten, 2), (products, 1)]):
+        batch = stored(store.with_version(rows.withColumn("ts", F.timestamp_seconds(F.lit(second))), "ts").drop("ts"), "batch")
+        store.write_changes(batch, number, f"{path}/collection")
+        text_index.update_index(batch, number, f"{path}/index")
+    current, index = store.read_collection(spark, f"{path}/collection"), text_index.read_index(spark, f"{path}/index")
+    return product_rows(full_text_search(current, TERMS, **FILTERS, index=index), "text_search_score")
 
 
 def q_compare_searches(spark: SparkSession, sf: str) -> DataFrame:
