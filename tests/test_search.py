@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from frames import products, values
 from shelfseek.functions.embedding import HashEmbedder
-from shelfseek.operators import ann
+from shelfseek.operators import ann, batch_search, collection as store, text_index as text_index_module
 from shelfseek.operators.batch_search import batch_full_text_search, batch_vector_search
 from shelfseek.operators.blocks import BlockSizes
 from shelfseek.operators.compare import compare_searches
@@ -130,7 +130,7 @@ def test_batch_searches_equal_single_searches(spark, sizes):
         asked.append((q, float(q), 45.0, brand, vector, "two  five two" if q % 2 else "three Two"))
     queries = spark.createDataFrame(asked, QUERY_SCHEMA + ", embedding array<double>, text string")
     by_vector = batch_vector_search(shelf, queries, 4, 5, sizes).orderBy("query_id", "rank").collect()
-    by_text = batch_full_text_search(shelf, queries, 5, sizes=sizes).orderBy("query_id", "rank").collect()
+    by_text = batch_full_text_search(shelf, queries, 5).orderBy("query_id", "rank").collect()
     for q, low, high, brand, vector, text in asked:
         single = vector_search(shelf, vector, low, high, brand, 5)
         assert [(r.asin, r.similarity) for r in by_vector if r.query_id == q] == values(single, "asin", "similarity")
@@ -140,13 +140,13 @@ def test_batch_searches_equal_single_searches(spark, sizes):
         )
 
 
-@pytest.mark.parametrize("sizes", [BlockSizes(), BY_KEY])
-def test_batch_match_all_and_index(spark, sizes):
+def test_batch_match_all_and_index(spark):
     shelf = random_shelf(spark).cache()
     index = text_index(shelf)
+    saved = save_index(index, new_folder(spark, "index"))
     queries = spark.createDataFrame([(1, 0.0, 60.0, "hot", "two five"), (2, 0.0, 60.0, "hot", " ")], QUERY_SCHEMA + ", text string")
-    for chosen in (None, index):
-        found = batch_full_text_search(shelf, queries, 4, match_all=True, index=chosen, sizes=sizes)
+    for chosen in (None, index, saved):
+        found = batch_full_text_search(shelf, queries, 4, match_all=True, index=chosen)
         single = full_text_search(shelf, ["two", "five"], 0, 60, "hot", 4, match_all=True)
         assert values(found.orderBy("rank"), "asin", "text_search_score") == values(single, "asin", "text_search_score")
         assert set(values(found, "query_id")) == {1}
@@ -165,11 +165,119 @@ def test_one_brand_and_many_copies(spark, sizes):
     found = batch_vector_search(shelf, queries, 2, 110, sizes)
     assert found.count() == 9 * 110
     assert found.filter("asin LIKE 'c%'").count() == 9 * 100
-    by_text = batch_full_text_search(shelf, queries, 101, sizes=sizes)
+    by_text = batch_full_text_search(shelf, queries, 101)
     assert by_text.filter("rank = 1").select("asin").distinct().collect() == [("o007",)]
     assert by_text.count() == 9 * 101
 
 
+def worded_shelf(spark):
+    """Documents of words that are the more frequent the smaller their number is."""
+    rng = random.Random(9)
+    rows = []
+    for i in range(400):
+        words = [f"w{min(int(rng.expovariate(0.12)), 60)}" for _ in range(rng.randrange(1, 30))]
+        rows.append((f"{i:03}", "by hot" if i % 4 else "cold", " ".join(words), float(i % 40), None))
+    return products(spark, rows)
+
+
+@pytest.mark.parametrize("match_all", [False, True])
+def test_bounds_lose_no_result(spark, monkeypatch, match_all):
+    monkeypatch.setattr(text_index_module, "BLOCK_BITS", 2)
+    monkeypatch.setattr(batch_search, "QUESTIONS_AT_BLOCK", 3)
+    monkeypatch.setattr(batch_search, "FIRST_POSTINGS", 1)
+    shelf = worded_shelf(spark).cache()
+    index = save_index(text_index(shelf), new_folder(spark, "index"))
+    texts = ["w0 w1 w2 w30 w45", "w0", "w50 w51 w0 w1 w2 w3", "w60 w0", "unheard of", "w0 unheard", "w2 w2 w3", ""]
+    asked = [(q, 2.0, 35.0, "hot", t) for q, t in enumerate(texts)] + [(9, 0.0, 40.0, None, "w0"), (10, 0.0, 40.0, "hot", None)]
+    queries = spark.createDataFrame(asked, QUERY_SCHEMA + ", text string")
+    found = batch_full_text_search(shelf, queries, 3, match_all, index=index).orderBy("query_id", "rank").collect()
+    for q, text in enumerate(texts[:-1]):
+        single = full_text_search(shelf, text.split(), 2, 35, "hot", 3, match_all)
+        expected = values(single, "asin", "text_search_score")
+        assert [(r.asin, r.text_search_score) for r in found if r.query_id == q] == expected
+    assert {r.query_id for r in found} <= set(range(len(texts) - 1))
+
+
+def test_blocks_and_terms_below_the_threshold_are_not_joined(spark, monkeypatch):
+    """A question of one rare and many common words: most postings of the common ones never become pairs."""
+    monkeypatch.setattr(text_index_module, "BLOCK_BITS", 3)
+    rng = random.Random(2)
+    rows = [(f"{i:03}", "x", "the of and " + " ".join(f"f{rng.randrange(9)}" for _ in range(i % 40)), 1.0, None) for i in range(600)]
+    rows += [(f"r{i}", "x", "rare the", 1.0, None) for i in range(5)]
+    shelf = products(spark, rows).cache()
+    index = save_index(text_index(shelf), new_folder(spark, "index"))
+    queries = spark.createDataFrame([(1, 0.0, 9.0, "x", "the rare of and")], QUERY_SCHEMA + ", text string")
+    terms = batch_search.bounded_terms(batch_search.question_terms(queries, False), index)
+    floor = batch_search.thresholds(terms, index, 3).first().floor
+    # The three common words cannot reach what five documents have by the rare one.
+    assert sum(r.top for r in terms.collect() if r.term != "rare") < floor
+    found = batch_full_text_search(shelf, queries, 3, index=index)
+    assert values(found.orderBy("rank"), "asin") == ["r0", "r1", "r2"]
+
+
+def test_text_search_without_broadcasts(spark):
+    shelf = worded_shelf(spark).cache()
+    index = save_index(text_index(shelf), new_folder(spark, "index"))
+    queries = spark.createDataFrame([(q, 0.0, 40.0, "hot", f"w{q} w1 w{3 * q}") for q in range(8)], QUERY_SCHEMA + ", text string")
+    expected = batch_full_text_search(shelf, queries, 4, index=index).orderBy("query_id", "rank").collect()
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        known = batch_search.bounded_terms(batch_search.question_terms(queries, False), index)
+        pairs = batch_search.term_pairs(known, index, F.lit(True))
+        plan = pairs._jdf.queryExecution().executedPlan().toString()
+        assert "BroadcastExchange" not in plan and "Python" not in plan and "Arrow" not in plan
+        assert batch_full_text_search(shelf, queries, 4, index=index).orderBy("query_id", "rank").collect() == expected
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
+
+
+def with_time(rows, second):
+    return store.with_version(rows.withColumn("ts", F.timestamp_seconds(F.lit(second))), "ts").drop("ts")
+
+
+def index_rows(index):
+    return (
+        sorted(values(index.postings, "asin", "term", "tf", "dl", "estimated_price")),
+        sorted(values(index.terms, "term", "df")),
+        values(index.corpus, "documents", "avgdl"),
+    )
+
+
+def test_an_index_follows_its_collection(spark):
+    path = new_folder(spark, "followed")
+    first = [("a", "x", "one two two", 1.0, None), ("b", "x", "one", 2.0, None), ("c", "x", None, 3.0, None), ("d", "x", "", 4.0, None)]
+    second = [("b", "x", "two three", 5.0, None), ("c", "y", "one four", 6.0, None), ("e", "x", "five", 7.0, None)]
+    late = [("a", "x", "late words", 9.0, None), ("f", "x", "one", 8.0, None)]
+    batches = [with_time(products(spark, first), 5), with_time(products(spark, second), 6), with_time(products(spark, late), 4)]
+    for number, batch in enumerate(batches):
+        assert text_index_module.update_index(batch, number, path)
+        assert not text_index_module.update_index(batch, number, path)
+    current = products(spark, [first[0], first[3], *second, late[1]])
+    expected = index_rows(text_index(current))
+    assert index_rows(text_index_module.read_index(spark, path)) == expected
+    assert text_index_module.compact_index(spark, path) == 0
+    index = text_index_module.read_index(spark, path)
+    assert index_rows(index) == expected
+    found = full_text_search(current, ["one", "four"], 0, 9, "y", 3, index=index)
+    assert values(found, "asin") == ["c"]
+    third = products(spark, [("c", "x", "one one", 1.0, None)])
+    text_index_module.update_index(with_time(third, 9), 3, path)
+    now = products(spark, [first[0], first[3], second[0], second[2], late[1], ("c", "x", "one one", 1.0, None)])
+    assert index_rows(text_index_module.read_index(spark, path)) == index_rows(text_index(now))
+
+
+def test_an_unfinished_segment_is_not_read(spark):
+    path = new_folder(spark, "unfinished")
+    with pytest.raises(ValueError):
+        text_index_module.read_index(spark, path)
+    shelf = products(spark, [("a", "x", "one", 1.0, None)])
+    text_index_module.update_index(with_time(shelf, 1), 0, path)
+    text_index_module.write_postings(text_index_module.postings(shelf).withColumn("_segment", F.lit(1).cast("bigint")), f"{path}/segments/lost/postings")
+    assert index_rows(text_index_module.read_index(spark, path)) == index_rows(text_index(shelf))
+
+
 def test_many_winners_are_joined_without_broadcast(spark, monkeypatch):
     shelf = random_shelf(spark).cache()
     asked = [(q, 0.0, 60.0, "hot", [1.0, 0.5, 0.25, float(q % 2)]) for q in range(40)]
