@@ -8,7 +8,8 @@ probability 1 - (1 - 0.75**3)**20, above 0.99998, and likewise of B; it is a can
 The tables are not written out at once:
 
 1. Equal sets are one node, whatever their number.
-2. In the tables (i, i) each node is paired with the smallest of its bucket. Links confirmed there join most copies.
+2. In the tables (i, i) each node is paired with the smallest of its bucket. Links confirmed there join most copies; a
+   node's text is sent to one centre first, and to another only if that is in another component still.
 3. Only buckets of A that still hold several components are looked at again, nodes of different components with each
    other: those that share a key of B, and so a table (i, j), and agree in enough of the signature have their full sets
    compared inside the bucket, which gives only the links that join its components. A bucket with more than ``MAX_PAIRS``
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfseek.llm.components import components
@@ -123,6 +124,7 @@ def sketch(batch: pa.RecordBatch) -> pa.Table:
     return pa.table(
         {
             "doc_id": batch["doc_id"],
+            "text_hash": batch["text_hash"],
             "n_shingles": pa.array(sizes, pa.int64()),
             "node": pa.array(set_hashes(hashes, first), pa.int64(), mask=empty),
             "a": lists(np.ascontiguousarray(keys[:, :GROUPS])),
@@ -132,27 +134,34 @@ def sketch(batch: pa.RecordBatch) -> pa.Table:
     )
 
 
+def text_hash(text: Column) -> Column:
+    """Tells the texts of rows with equal ids, or without ids, apart when a text is looked up."""
+    return F.xxhash64(text.cast("string")).alias("text_hash")
+
+
 def sketches(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    narrow = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), text_hash(F.col(text)))
     schema = (
-        f"doc_id {docs.schema[doc_id].dataType.simpleString()}, n_shingles bigint, node bigint, a array<bigint>, "
+        f"doc_id {docs.schema[doc_id].dataType.simpleString()}, text_hash bigint, n_shingles bigint, node bigint, a array<bigint>, "
         "b array<bigint>, signature binary"
     )
     return batch_map(narrow, sketch, schema)
 
 
 def node_table(rows: DataFrame) -> DataFrame:
-    """One row per distinct set, with the smallest id that has it."""
+    """One row per distinct set, with the smallest id that has it and the hash of that row's text."""
+    smallest = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     return (
         rows.filter("node IS NOT NULL")
         .groupBy("node")
         .agg(
-            F.min("doc_id").alias("doc_id"),
+            smallest.alias("_row"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("a").alias("a"),
             F.first("b").alias("b"),
             F.first("signature").alias("signature"),
         )
+        .select("node", "_row.doc_id", "_row.text_hash", "n_shingles", "a", "b", "signature")
     )
 
 
@@ -163,7 +172,7 @@ def star_pairs(buckets: DataFrame) -> DataFrame:
 
 
 def agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """Pairs whose signatures agree in enough places."""
+    """Pairs whose signatures agree in enough places, and in how many (``same``)."""
     known = nodes.select("node", "signature", "n_shingles")
     left = known.select(F.col("node").alias("u"), F.col("signature").alias("s"), F.col("n_shingles").alias("m"))
     right = known.select(F.col("node").alias("v"), F.col("signature").alias("t"), F.col("n_shingles").alias("n"))
@@ -171,10 +180,12 @@ def agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         s, t = matrix(batch["s"]), matrix(batch["t"])
         m, n = batch["m"].to_numpy(), batch["n"].to_numpy()
-        near = ((s == t).sum(axis=1) >= AGREEING) & (100 * np.minimum(m, n) >= PERCENT * np.maximum(m, n))
-        return batch.select(["u", "v"]).filter(pa.array(near))
+        same = (s == t).sum(axis=1)
+        near = pa.array((same >= AGREEING) & (100 * np.minimum(m, n) >= PERCENT * np.maximum(m, n)))
+        columns = [batch["u"], batch["v"], pa.array(same.astype(np.int32))]
+        return pa.RecordBatch.from_arrays([c.filter(near) for c in columns], names=["u", "v", "same"])
 
-    return batch_map(pairs.join(left, "u").join(right, "v"), work, "v bigint, u bigint", None).select("u", "v")
+    return batch_map(pairs.join(left, "u").join(right, "v"), work, "u bigint, v bigint, same int", None)
 
 
 def matrix(column: pa.Array) -> np.ndarray:
@@ -350,10 +361,11 @@ def tensor_links(nodes: DataFrame, labels: DataFrame, docs: DataFrame, doc_id: s
 
 
 def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """(node, text) for the given nodes, perhaps several times and with texts of other nodes whose id is the same."""
-    ids = nodes.join(wanted, "node").select("node", F.col("doc_id").alias("_id"))
-    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"))
-    return own.join(ids, F.col("doc_id").eqNullSafe(F.col("_id"))).select("node", "text")
+    """(node, text) for the given nodes, several times where rows are repeated."""
+    ids = nodes.join(wanted, "node").select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
+    own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), text_hash(F.col(text)))
+    same = (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    return own.join(ids, same).select("node", "text")
 
 
 def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -396,6 +408,34 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str,
     return dealt.select("u", "part", "node", "text", "member").mapInArrow(run, "u bigint, v bigint").distinct()
 
 
+def star_links(stars: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> tuple[DataFrame, DataFrame]:
+    """Confirmed links of the star pairs, as many as join what they join, and the labels of their components.
+
+    A node of a large group is in the stars of many centres, but one link joins it. So each node's best pair is confirmed
+    first, then the best pair of any two components, and what is still between two components last.
+    """
+    links, labels, left = None, None, stars
+    best = F.max_by(F.struct("u", "v"), F.struct("same", -F.col("u"), -F.col("v"))).alias("pair")
+    for by in (["v"], ["label_u", "label_v"], None):
+        if labels is not None:
+            of_u = labels.select(F.col("v").alias("u"), F.col("label").alias("_u"))
+            of_v = labels.select("v", F.col("label").alias("_v"))
+            label_u, label_v = F.coalesce("_u", "u"), F.coalesce("_v", "v")
+            ends = left.select("u", "v", "same").join(of_u, "u", "left").join(of_v, "v", "left").select(
+                "u", "v", "same", F.least(label_u, label_v).alias("label_u"), F.greatest(label_u, label_v).alias("label_v")
+            )
+            left = stored(ends.filter("label_u <> label_v"), "minhash-left")
+            if left.isEmpty():
+                break
+        chosen = left.groupBy(*by).agg(best).select("pair.u", "pair.v") if by else left.select("u", "v")
+        chosen = stored(chosen, "minhash-chosen")
+        found = stored(confirmed(chosen, nodes, docs, doc_id, text), "minhash-links")
+        links = found if links is None else links.union(found)
+        labels = components(links)
+        left = left.join(chosen, ["u", "v"], "left_anti")
+    return links, labels
+
+
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, n_shingles, component_id and kept, for each row of ``docs``."""
     rows = stored(sketches(docs, doc_id, text), "minhash-sketches")
@@ -404,8 +444,7 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     diagonal = nodes.select("node", F.posexplode(F.arrays_zip("a", "b")).alias("i", "keys"))
     diagonal = diagonal.select("node", F.xxhash64("i", "keys.a", "keys.b").alias("key"))
     stars = stored(agreeing(star_pairs(diagonal), nodes), "minhash-stars")
-    links = stored(confirmed(stars, nodes, docs, doc_id, text), "minhash-links")
-    labels = components(links)
+    links, labels = star_links(stars, nodes, docs, doc_id, text)
 
     more = tensor_links(nodes, labels, docs, doc_id, text)
     if not more.isEmpty():

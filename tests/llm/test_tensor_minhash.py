@@ -54,3 +54,42 @@ def test_odd_ids(spark):
     assert len(kept) == 4 and sum(r.text == text for r in kept) == 1
     assert tensor_minhash.near_duplicates(given.limit(0)).count() == 0
     assert tensor_minhash.one_of_each(given.limit(0)).count() == 0
+
+
+def near_copies(n, words=200):
+    rng = random.Random(n)
+    base = sentence(rng, words).split()
+    texts = []
+    for k in range(n):
+        own = list(base)
+        own[rng.randrange(words)] = f"own{k}"
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_a_copy_is_confirmed_once_and_not_for_every_centre(spark, monkeypatch):
+    """Texts sent to centres grow with the group, at most about one for each copy."""
+    sent = []
+    kept = tensor_minhash.stored
+
+    def counting(df, name):
+        held = kept(df, name)
+        if name == "minhash-chosen":
+            sent.append(held.count())
+        return held
+
+    monkeypatch.setattr(tensor_minhash, "stored", counting)
+    for n in (60, 240):
+        sent.clear()
+        docs = spark.createDataFrame(list(enumerate(near_copies(n))), "doc_id bigint, text string")
+        found = tensor_minhash.near_duplicates(docs).collect()
+        assert {r.component_id for r in found} == {0}
+        assert n // 2 <= sum(sent) <= 1.2 * n
+
+
+def test_rows_without_ids_are_looked_up_by_their_texts(spark):
+    docs = spark.createDataFrame([(None, t) for t in near_copies(30)] + [(None, "x y")] * 3, "doc_id bigint, text string")
+    nodes = tensor_minhash.node_table(tensor_minhash.sketches(docs, "doc_id", "text"))
+    texts = tensor_minhash.texts_of(nodes.select("node"), nodes, docs, "doc_id", "text")
+    assert texts.count() == 33
+    assert len(tensor_minhash.one_of_each(docs).collect()) == 2
