@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import random
+import time
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from typing import Protocol
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -74,40 +77,108 @@ class HashEmbedder:
         return once(vectors)(self.buckets(text))
 
 
+class Refused(Exception):
+    """A call that the model turned down or lost, and that may succeed later: try again. ``after`` says in how many
+    seconds, if the model told."""
+
+    def __init__(self, message: str = "", after: float | None = None):
+        super().__init__(message)
+        self.after = after
+
+
+#: Errors of a client that pass: calls refused, connections lost, answers too late.
+PASSING = (Refused, ConnectionError, TimeoutError)
+
+
+@dataclass(frozen=True)
+class Patience:
+    """How a task calls a model: at most ``calls_per_second``, and after a passing error up to ``attempts`` times in all,
+    waiting about ``first_wait`` seconds, then twice as long each time up to ``longest_wait``, less a random part."""
+
+    calls_per_second: float = 10.0
+    attempts: int = 6
+    first_wait: float = 0.5
+    longest_wait: float = 30.0
+
+    def waits(self, rng: random.Random) -> Iterator[float]:
+        for k in range(self.attempts - 1):
+            yield min(self.longest_wait, self.first_wait * 2**k) * (0.5 + rng.random() / 2)
+
+
+class Caller:
+    """One task's calls of a model, spaced out and tried again after passing errors.
+
+    Errors not named as passing are errors of the texts: those that fail together are called for in halves, and a text
+    that fails alone has no vector. Passing errors that do not pass end the task, so that no record is taken for a bad
+    one because the model was not there.
+    """
+
+    def __init__(
+        self,
+        client: Callable[[list[str]], list[list[float]]],
+        patience: Patience,
+        passing: tuple[type[Exception], ...] = PASSING,
+        seed: int = 0,
+    ):
+        self.client, self.patience, self.passing, self.rng = client, patience, passing, random.Random(seed)
+        self.free_at = 0.0
+
+    def spaced(self, texts: list[str]) -> list[list[float]]:
+        wait = self.free_at - time.monotonic()
+        if wait > 0:
+            time.sleep(wait)
+        self.free_at = max(time.monotonic(), self.free_at) + 1 / self.patience.calls_per_second
+        return self.client(texts)
+
+    def patient(self, texts: list[str]) -> list[list[float]]:
+        for wait in self.patience.waits(self.rng):
+            try:
+                return self.spaced(texts)
+            except self.passing as error:
+                time.sleep(max(wait, getattr(error, "after", None) or 0))
+        return self.spaced(texts)
+
+    def vectors(self, texts: list[str]) -> list[list[float] | None]:
+        try:
+            found = self.patient(texts)
+            if len(found) != len(texts):
+                raise ValueError("the model returned another number of vectors")
+            return [[float(x) for x in v] for v in found]
+        except self.passing:
+            raise
+        except Exception:
+            if len(texts) == 1:
+                return [None]
+            # Halves, not single texts: one bad text among many costs few calls.
+            half = len(texts) // 2
+            return self.vectors(texts[:half]) + self.vectors(texts[half:])
+
+
 @dataclass(frozen=True)
 class ModelEmbedder:
-    """A model behind a batch call. ``make_client`` runs once per task and returns a function from
-    a list of texts to as many vectors. If a call fails, its texts are tried one by one, and those
-    that fail alone get NULL."""
+    """A model behind a batch call. ``make_client`` runs once per task and returns a function from a list of texts to
+    as many vectors. ``passing`` names the client's errors that are worth another try; see ``Caller`` for all others."""
 
     make_client: Callable[[], Callable[[list[str]], list[list[float]]]]
     dims: int = DEFAULT_DIMS
     texts_per_call: int = 64
+    patience: Patience = Patience()
+    passing: tuple[type[Exception], ...] = PASSING
 
     def __call__(self, text: Column) -> Column:
-        make_client, size = self.make_client, self.texts_per_call
-
-        def embed(client, texts: list[str]) -> list[list[float] | None]:
-            try:
-                vectors = client(texts)
-                if len(vectors) != len(texts):
-                    raise ValueError("the model returned another number of vectors")
-                return [[float(x) for x in v] for v in vectors]
-            except Exception:
-                if len(texts) == 1:
-                    return [None]
-                return [embed(client, [one])[0] for one in texts]
+        make_client, size, patience, passing = self.make_client, self.texts_per_call, self.patience, self.passing
 
         @F.arrow_udf("array<double>")
         def vectors(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-            client = make_client()
+            context = TaskContext.get()
+            caller = Caller(make_client(), patience, passing, context.partitionId() if context else 0)
             for batch in batches:
                 texts = batch.to_pylist()
                 present = [i for i, t in enumerate(texts) if t is not None]
                 out: list[list[float] | None] = [None] * len(texts)
                 for start in range(0, len(present), size):
                     chosen = present[start : start + size]
-                    for i, vector in zip(chosen, embed(client, [texts[i] for i in chosen])):
+                    for i, vector in zip(chosen, caller.vectors([texts[i] for i in chosen]), strict=True):
                         out[i] = vector
                 yield pa.array(out, pa.list_(pa.float64()))
 

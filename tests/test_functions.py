@@ -1,4 +1,6 @@
 import math
+import random
+import time
 
 import numpy as np
 import pytest
@@ -20,7 +22,7 @@ from shelfseek.functions import (
     vector_enforce,
     with_property,
 )
-from shelfseek.functions.embedding import HashEmbedder, ModelEmbedder
+from shelfseek.functions.embedding import Caller, HashEmbedder, ModelEmbedder, Patience, Refused
 from shelfseek.functions.vectors import vector_parameter
 
 
@@ -136,6 +138,59 @@ def test_hash_embedder(spark):
     assert max(found[4]) == 1.0 and len(found[4]) == 16
 
 
+QUICK = Patience(calls_per_second=1000, attempts=4, first_wait=0.001, longest_wait=0.01)
+
+
+def test_refused_calls_are_tried_again():
+    calls = []
+
+    def client(texts):
+        calls.append(list(texts))
+        if len(calls) % 3:
+            raise [Refused("busy", after=0.002), TimeoutError()][len(calls) % 2]
+        return [[float(len(t))] for t in texts]
+
+    caller = Caller(client, QUICK)
+    assert caller.vectors(["a", "bb"]) == [[1.0], [2.0]] and caller.vectors(["ccc"]) == [[3.0]]
+    assert calls == [["a", "bb"]] * 3 + [["ccc"]] * 3
+
+
+def test_a_model_that_stays_away_is_an_error_and_a_bad_text_is_not():
+    def away(texts):
+        raise ConnectionError("nobody there")
+
+    with pytest.raises(ConnectionError):
+        Caller(away, QUICK).vectors(["a", "b"])
+    calls = []
+
+    def picky(texts):
+        calls.append(len(texts))
+        if "bad" in texts:
+            raise KeyError("bad")
+        return [[1.0] for _ in texts]
+
+    texts = [f"t{i}" for i in range(64)]
+    texts[37] = "bad"
+    found = Caller(picky, QUICK).vectors(texts)
+    assert found == [None if t == "bad" else [1.0] for t in texts] and len(calls) == 13
+
+    class Overloaded(Exception):
+        pass
+
+    with pytest.raises(Overloaded):
+        Caller(lambda texts: (_ for _ in ()).throw(Overloaded()), QUICK, (Overloaded,)).vectors(["a"])
+
+
+def test_calls_are_spaced_and_waits_grow():
+    times = []
+    caller = Caller(lambda texts: times.append(time.monotonic()) or [[0.0]], Patience(calls_per_second=50))
+    for _ in range(5):
+        caller.vectors(["x"])
+    assert min(b - a for a, b in zip(times, times[1:])) > 0.015
+    waits = list(Patience(attempts=8, first_wait=1, longest_wait=10).waits(random.Random(1)))
+    assert len(waits) == 7 and all(0.5 * min(10, 2**k) <= w <= min(10, 2**k) for k, w in enumerate(waits))
+
+
 def test_model_embedder_fails_record_by_record(spark):
     def make_client():
         def client(texts):
