@@ -309,6 +309,8 @@ ORACLES = {
     "ann_candidate_share": ANN_CANDIDATE_SHARE,
     "vector_search_named": VECTOR_SEARCH,
     "vector_search_sql": VECTOR_SEARCH,
+    "vector_search_function": VECTOR_SEARCH,
+    "full_text_search_sql": full_text_search(1),
     "full_text_search": full_text_search(1, ranked=True),
     "full_text_search_named": full_text_search(1),
     "full_text_search_indexed": full_text_search(1),
@@ -347,6 +349,7 @@ ORACLES = {
     "parse_events_json": """SELECT event_id, (props::JSON ->> 'k')::BIGINT AS k,
         (props::JSON ->> 'missing') IS NULL AS missing FROM events""",
     "ingest_transform": INGEST,
+    "ingest_transform_sql": INGEST,
     "ingest_rejects": INGEST_REJECTS,
     "upsert_latest": LATEST.format(events="events"),
     "update_replay": LATEST.format(events=REPLAYED),

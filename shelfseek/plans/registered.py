@@ -22,6 +22,7 @@ from shelfseek.operators.search import (
     text_order,
     vector_search,
 )
+from shelfseek.plans import sql_forms
 from shelfseek.plans.named import run_named, vector_search_sql
 from shelfseek.plans.products import (
     BRAND,
@@ -124,6 +125,27 @@ def q_full_text_search_indexed(spark: SparkSession, sf: str) -> DataFrame:
     return product_rows(full_text_search(products, TERMS, **FILTERS, index=index), "text_search_score")
 
 
+def search_view(spark: SparkSession, sf: str) -> str:
+    """The stored collection as a view of its own name, with both searches as SQL functions over it."""
+    view = "shelf_" + new_folder(spark, "view")[-32:]
+    stored(collection(spark, sf), "collection").createOrReplaceTempView(view)
+    sql_forms.create_search_functions(spark, view, f"{view}_by_vector", f"{view}_by_text")
+    return view
+
+
+SQL_FILTERS = f"min_price => {MIN_PRICE}D, max_price => {MAX_PRICE}D, brand => '{BRAND}', limit_to => {LIMIT}"
+
+
+def q_vector_search_function(spark: SparkSession, sf: str) -> DataFrame:
+    query = f"SELECT * FROM {search_view(spark, sf)}_by_vector(embedding => :vector, {SQL_FILTERS})"
+    return product_rows(spark.sql(query, args={"vector": query_vector(spark, sf)}), "similarity")
+
+
+def q_full_text_search_sql(spark: SparkSession, sf: str) -> DataFrame:
+    query = f"SELECT * FROM {search_view(spark, sf)}_by_text(terms => :terms, {SQL_FILTERS})"
+    return product_rows(spark.sql(query, args={"terms": list(TERMS)}), "text_search_score")
+
+
 def vector_queries(spark: SparkSession, sf: str) -> DataFrame:
     """Each stored vector as a question; odd ones ask for one brand number, the others for all brands."""
     number = F.regexp_extract("p_brand", "[0-9]+", 0)
@@ -409,6 +431,10 @@ def q_ingest_transform(spark: SparkSession, sf: str) -> DataFrame:
     return ingest_rows(collection(spark, sf))
 
 
+def q_ingest_transform_sql(spark: SparkSession, sf: str) -> DataFrame:
+    return ingest_rows(sql_forms.ingest_transform_sql(raw_products(spark, sf), DIMS))
+
+
 def q_ingest_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """Records of which every fifth has a price with a currency sign, and three of four a vector that is too short."""
     price = F.col("p_retailprice").cast("string")

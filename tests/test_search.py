@@ -13,6 +13,7 @@ from shelfseek.operators.blocks import BlockSizes
 from shelfseek.operators.compare import compare_searches
 from shelfseek.operators.search import full_text_search, vector_search
 from shelfseek.operators.text_index import save_index, text_index
+from shelfseek.plans.sql_forms import create_search_functions
 from shelfseek.plans.named import run_named, typed_parameters, vector_search_sql
 from shelfseek.scratch import new_folder
 
@@ -312,6 +313,24 @@ def test_named_searches(spark, shelf):
     assert as_sql.collect() == vector_search(shelf, [1.0, 0.0]).collect()
 
 
+def test_searches_as_sql_functions(spark, shelf):
+    shelf.createOrReplaceTempView("sql_shelf")
+    create_search_functions(spark, "sql_shelf")
+    by_vector = spark.sql("SELECT * FROM vector_search(embedding => array(1F, 0F)) ORDER BY similarity DESC NULLS LAST, asin")
+    assert by_vector.collect() == vector_search(shelf, [1.0, 0.0]).collect()
+    few = spark.sql("SELECT asin FROM vector_search(array(1F, 0F), limit_to => 2, min_price => 1, brand => 'PlayStation') ORDER BY asin")
+    assert values(few, "asin") == sorted(values(vector_search(shelf, [1.0, 0.0], 1, limit=2), "asin"))
+    with pytest.raises(Exception, match="another length"):
+        spark.sql("SELECT * FROM vector_search(array(1F))").collect()
+    order = "ORDER BY text_search_score DESC, estimated_price, asin"
+    assert spark.sql(f"SELECT * FROM full_text_search() {order}").collect() == full_text_search(shelf).collect()
+    for terms in (["wars"], ["space", "opera", "wars", "and", "space"], ["absent"]):
+        for match_all in (False, True):
+            query = f"SELECT * FROM full_text_search(terms => :terms, max_price => 60, match_all => {match_all}) {order}"
+            found = spark.sql(query, args={"terms": terms})
+            assert found.collect() == full_text_search(shelf, terms, max_price=60, match_all=match_all).collect()
+
+
 def test_default_vector_search_asks_for_the_default_terms(spark):
     embedder = HashEmbedder(8)
     rows = [("1", "playstation", "space wars", 1.0), ("2", "playstation", "cooking", 1.0)]
