@@ -356,6 +356,8 @@ ORACLES = {
     "collection_status": f"""WITH {PRODUCTS}
         SELECT count(*) AS documents, count(embedding) AS with_embedding FROM collection""",
     "json_array_scan": SCANNED,
+    "json_array_elements": f"""WITH {PRODUCTS}
+        SELECT asin, CASE WHEN asin::BIGINT % 7 = 1 THEN 'not_json' END AS reject_reason FROM products""",
     "ndjson_scan": SCANNED,
     "stream_enrich": ENRICHED,
     "stream_rejects": REJECTS,

@@ -39,6 +39,7 @@ from shelfseek.plans.products import (
 )
 from shelfseek.scratch import new_folder, stored
 from shelfseek.sources import files, topics
+from shelfseek.sources.arrays import read_array_elements
 from shelfseek.streaming import jobs
 
 FILTERS = {"min_price": MIN_PRICE, "max_price": MAX_PRICE, "brand": BRAND, "limit": LIMIT}
@@ -506,6 +507,20 @@ def q_json_array_scan(spark: SparkSession, sf: str) -> DataFrame:
     return product_fields(files.good(files.read_json_array(spark, path, partitions=8)))
 
 
+def q_json_array_elements(spark: SparkSession, sf: str) -> DataFrame:
+    """Products as one large gzipped array for each of a few files, every seventh product damaged: each element is read by
+    itself, and only the damaged ones are rejected."""
+    path = new_folder(spark, "arrays")
+    damaged = F.when(F.col("key").cast("bigint") % 7 == 1, F.regexp_replace("value", r"^\{", "{bad ")).otherwise(F.col("value"))
+    lists = F.array_join(F.collect_list(damaged), ",\n")
+    arrays = raw_records(spark, sf).groupBy(F.pmod(F.xxhash64("key"), F.lit(8)).alias("chunk")).agg(
+        F.concat(F.lit("["), lists, F.lit("]")).alias("value")
+    )
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path, compression="gzip")
+    rows = read_array_elements(spark, path)
+    return rows.select(F.regexp_extract("value", '"asin":"([0-9]+)"', 1).alias("asin"), "reject_reason")
+
+
 def q_ndjson_scan(spark: SparkSession, sf: str) -> DataFrame:
     path = new_folder(spark, "lines")
     raw_records(spark, sf).select("value").write.text(path, compression="gzip")

@@ -1,10 +1,13 @@
 import gzip
+import json
 import os
 
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 
 from frames import values
-from shelfseek.sources import files, topics
+from shelfseek.sources import arrays, files, topics
 
 
 def gz(folder, name, text):
@@ -29,6 +32,51 @@ def test_json_arrays(spark, tmp_path):
         files.read_json_array(spark, folder, failfast=True).collect()
 
 
+def split(parts, longest=1 << 20):
+    splitter, most, found = arrays.ArraySplitter(longest), 0, []
+    for part in parts:
+        found += splitter.feed(part)
+        most = max(most, sum(map(len, splitter.held)))
+    return [*found, *splitter.finish()], most
+
+
+@settings(max_examples=200, deadline=None)
+@given(
+    st.lists(st.recursive(st.none() | st.integers() | st.text(alphabet='a"\\{}[],é\n', max_size=6), lambda x: st.lists(x, max_size=3) | st.dictionaries(st.text(alphabet='k"}', max_size=2), x, max_size=3), max_leaves=6), max_size=5),
+    st.lists(st.integers(0, 200), max_size=6),
+)
+def test_an_array_cut_anywhere_gives_its_elements(items, cuts):
+    text = " " + json.dumps(items, ensure_ascii=False) + "\n"
+    edges = [0, *sorted(min(c, len(text)) for c in cuts), len(text)]
+    found, _ = split(text[a:b] for a, b in zip(edges[:-1], edges[1:]))
+    assert [json.loads(x) for x, _ in found] == items and {why for _, why in found} <= {None}
+
+
+def test_a_large_array_is_held_one_element_at_a_time():
+    element = json.dumps({"asin": "1", "embedding": list(range(500)), "text": "}]," * 50})
+    parts = (part for k in range(20_000) for part in (("[" if k == 0 else ",") + element[:700], element[700:]))
+    found, most = split(parts)
+    assert len(found) == 20_000 and found[7] == (element, None) and most <= 2 * len(element)
+    found, most = split(["[1, {", *["x" * 100] * 1000, "}, 2]"], longest=5000)
+    assert [(x[:3], why) for x, why in found] == [("1", None), ("{xx", "element_too_long"), ("2", None)] and most <= 5100
+
+
+def test_elements_of_damaged_arrays(spark, tmp_path):
+    folder = str(tmp_path)
+    gz(folder, "a.json.gz", '[{"asin":"1","x":{"b":1}},\n 5, {bad}, {"asin":"2","t":"é}{"}]')
+    gz(folder, "cut.json.gz", '[{"asin":"3"}, {"as')
+    gz(folder, "object.json.gz", '{"asin":"4"}')
+    gz(folder, "empty.json.gz", "[]")
+    rows = arrays.read_array_elements(spark, folder)
+    assert sorted(values(files.good(rows), "value")) == ['{"asin":"1","x":{"b":1}}', '{"asin":"2","t":"é}{"}', '{"asin":"3"}']
+    bad = values(files.bad(rows), "value", "reject_reason")
+    assert sorted(bad) == [("5", "not_an_object"), ('{"as', "array_not_closed"), ('{"asin":"4"', "not_a_json_array"), ("{bad}", "not_json")]
+    out = str(tmp_path / "out")
+    stream = arrays.stream_array_elements(spark, f"{folder}/*.gz", files_per_batch=1)
+    stream.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "check")).trigger(availableNow=True).start(out).awaitTermination()
+    assert sorted(values(spark.read.parquet(out), "value")) == sorted(values(rows, "value"))
+
+
 def test_json_lines(spark, tmp_path):
     path = gz(str(tmp_path), "a.ndjson.gz", '{"asin":"1"}\n\nbad\n[2]\n{"asin":"3"}\n')
     rows = files.read_ndjson(spark, path)
