@@ -156,7 +156,10 @@ def blocks_of(rows: DataFrame, dims: int, scale: int) -> DataFrame:
 
     whole = rows.mapInArrow(numbers, "vec_id bigint, label int, place binary, vector binary")
     order = ("label", "place", "vec_id", "vector")
-    ordered = stored(whole, "numbers").repartitionByRange(*order).sortWithinPartitions(*order)
+    held = stored(whole, "numbers")
+    # As many parts as rows fill slabs, however many partitions they came in.
+    parts = max(1, -(-held.count() // (BLOCK_ROWS << SLAB_BITS)))
+    ordered = held.repartitionByRange(parts, *order).sortWithinPartitions(*order)
     blocks = ordered.mapInArrow(cut, BLOCKS.split(", ", 1)[1])
     return stored(blocks.select(F.monotonically_increasing_id().alias("block"), "*"), "blocks")
 
