@@ -358,8 +358,13 @@ ORACLES = {
     "json_array_scan": SCANNED,
     "json_array_elements": f"""WITH {PRODUCTS}
         SELECT asin, CASE WHEN asin::BIGINT % 7 = 1 THEN 'not_json' END AS reject_reason FROM products""",
+    "file_to_topic": f"""WITH {PRODUCTS}
+        SELECT asin, title, brand, md5(description) AS description, price, NULL::VARCHAR AS reject_reason
+        FROM products WHERE asin::BIGINT % 7 <> 1
+        UNION ALL SELECT asin, NULL, NULL, NULL, NULL, 'not_json' FROM products WHERE asin::BIGINT % 7 = 1""",
     "ndjson_scan": SCANNED,
     "stream_enrich": ENRICHED,
     "stream_rejects": REJECTS,
     "stream_ingest": INGEST,
+    "stream_ingest_newest": INGEST,
 }

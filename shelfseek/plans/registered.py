@@ -39,8 +39,8 @@ from shelfseek.plans.products import (
 )
 from shelfseek.scratch import new_folder, stored
 from shelfseek.sources import files, topics
-from shelfseek.sources.arrays import read_array_elements
-from shelfseek.streaming import jobs
+from shelfseek.sources.arrays import read_array_elements, stream_array_elements
+from shelfseek.streaming import jobs, newest
 
 FILTERS = {"min_price": MIN_PRICE, "max_price": MAX_PRICE, "brand": BRAND, "limit": LIMIT}
 
@@ -507,9 +507,8 @@ def q_json_array_scan(spark: SparkSession, sf: str) -> DataFrame:
     return product_fields(files.good(files.read_json_array(spark, path, partitions=8)))
 
 
-def q_json_array_elements(spark: SparkSession, sf: str) -> DataFrame:
-    """Products as one large gzipped array for each of a few files, every seventh product damaged: each element is read by
-    itself, and only the damaged ones are rejected."""
+def damaged_arrays(spark: SparkSession, sf: str) -> str:
+    """A folder of products as large gzipped arrays, every seventh product damaged."""
     path = new_folder(spark, "arrays")
     damaged = F.when(F.col("key").cast("bigint") % 7 == 1, F.regexp_replace("value", r"^\{", "{bad ")).otherwise(F.col("value"))
     lists = F.array_join(F.collect_list(damaged), ",\n")
@@ -517,8 +516,32 @@ def q_json_array_elements(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("["), lists, F.lit("]")).alias("value")
     )
     arrays.select("value").write.option("maxRecordsPerFile", 1).text(path, compression="gzip")
-    rows = read_array_elements(spark, path)
-    return rows.select(F.regexp_extract("value", '"asin":"([0-9]+)"', 1).alias("asin"), "reject_reason")
+    return path
+
+
+def damaged_asin() -> Column:
+    return F.regexp_extract("value", '"asin":"([0-9]+)"', 1).alias("asin")
+
+
+def q_json_array_elements(spark: SparkSession, sf: str) -> DataFrame:
+    """Each element is read by itself, and only the damaged ones are rejected."""
+    return read_array_elements(spark, damaged_arrays(spark, sf)).select(damaged_asin(), "reject_reason")
+
+
+def q_file_to_topic(spark: SparkSession, sf: str) -> DataFrame:
+    """The same files through the publishing stream: what it sends to the topic by key, and what it rejects."""
+    path = new_folder(spark, "published")
+    jobs.start_publishing(
+        stream_array_elements(spark, damaged_arrays(spark, sf), files_per_batch=3),
+        jobs.keyed_files_writer(f"{path}/topic"),
+        jobs.files_writer(f"{path}/rejected"),
+        checkpoint=f"{path}/checkpoint",
+    ).awaitTermination()
+    sent = spark.read.parquet(f"{path}/topic")
+    fields = product_fields(sent).select("asin", "title", "brand", "description", "price", F.lit(None).cast("string").alias("reject_reason"))
+    keys = sent.select("key").distinct()
+    rejects = spark.read.parquet(f"{path}/rejected").select(damaged_asin(), "reject_reason")
+    return fields.join(keys, fields["asin"] == keys["key"]).drop("key").unionByName(rejects, allowMissingColumns=True)
 
 
 def q_ndjson_scan(spark: SparkSession, sf: str) -> DataFrame:
@@ -582,6 +605,29 @@ def q_stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     return ingest_rows(store.read_collection(spark, path))
 
 
+def q_stream_ingest_newest(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with keyed state: the newer products are stored first, and the older versions that come later are dropped
+    before they are written. The rows are those the micro-batches wrote, unmerged."""
+    topic, path = new_folder(spark, "topic"), new_folder(spark, "collection")
+    products = raw_products(spark, sf)
+    write_messages(topics.keyed_records(products), topic, day=2)
+    before = spark.conf.get(newest.STATE_STORE, None)
+    spark.conf.set(newest.STATE_STORE, newest.ROCKS_DB)
+    try:
+        for title in (None, "older"):
+            if title:
+                write_messages(topics.keyed_records(products.withColumn("title", F.lit(title))), topic, day=1)
+            jobs.start_ingest(
+                topics.read_topic_files(spark, topic), path, f"{path}-checkpoint", DIMS, drop_late=True
+            ).awaitTermination()
+    finally:
+        if before is None:
+            spark.conf.unset(newest.STATE_STORE)
+        else:
+            spark.conf.set(newest.STATE_STORE, before)
+    return ingest_rows(spark.read.parquet(f"{path}/changes/*"))
+
+
 QUERIES = {
     name[2:]: function for name, function in list(globals().items()) if name.startswith("q_")
 }

@@ -23,6 +23,8 @@ MAX_ELEMENT = 64 << 20
 SHOWN = 1000
 ROWS_AT_ONCE = 1000
 
+OPTIONS = {"lineSep": "}", "ignoreCorruptFiles": "true"}
+
 IN_TEXT = re.compile(r'["\\]')
 INSIDE = re.compile(r'["{}\[\]]')
 BETWEEN = re.compile(r'["{}\[\],]')
@@ -99,7 +101,9 @@ class ArraySplitter:
 
     def finish(self) -> Iterator[tuple[str, str | None]]:
         reason = BAD_FILE if self.broken else CUT_SHORT if self.depth else None
-        for text, why in self.flush():
+        left = list(self.flush())
+        # A file that ends between two elements has lost some as well.
+        for text, why in left or ([("", None)] if reason else []):
             yield text, why or reason
 
 
@@ -139,13 +143,14 @@ def elements(parts: DataFrame) -> DataFrame:
 
 
 def read_array_elements(spark: SparkSession, path: str) -> DataFrame:
-    """(value, source_file, reject_reason) for each element of the gzipped arrays in ``path``."""
-    return elements(spark.read.option("lineSep", "}").text(path))
+    """(value, source_file, reject_reason) for each element of the gzipped arrays in ``path``. A file that cannot be
+    unpacked to its end gives what was read of it, and a rejected row."""
+    return elements(spark.read.options(**OPTIONS).text(path))
 
 
 def stream_array_elements(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
     """The same as a stream: files that come to ``path`` are read once each."""
-    reader = spark.readStream.option("lineSep", "}")
+    reader = spark.readStream.options(**OPTIONS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     return elements(reader.text(path))

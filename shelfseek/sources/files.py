@@ -44,12 +44,23 @@ def read_ndjson(
     spark: SparkSession, path: str, failfast: bool = False, partitions: int | None = None
 ) -> DataFrame:
     """(value, source_file, reject_reason) for each line that is not blank of the files in ``path``."""
+    return _finished(_checked_lines(spark.read.text(path)), failfast, partitions)
+
+
+def stream_ndjson(spark: SparkSession, path: str, files_per_batch: int | None = None) -> DataFrame:
+    """The same as a stream: files that come to ``path`` are read once each."""
+    reader = spark.readStream
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return _checked_lines(reader.text(path))
+
+
+def _checked_lines(lines: DataFrame) -> DataFrame:
     text = F.col("value")
     reason = F.when(F.try_parse_json(text).isNull(), BAD_LINE).when(parse_object(text).isNull(), NOT_OBJECT)
-    lines = spark.read.text(path).filter(F.trim(text) != "").select(
+    return lines.filter(F.trim(text) != "").select(
         text, F.col("_metadata.file_path").alias("source_file"), reason.alias("reject_reason")
     )
-    return _finished(lines, failfast, partitions)
 
 
 def _finished(rows: DataFrame, failfast: bool, partitions: int | None) -> DataFrame:

@@ -13,7 +13,7 @@ from shelfseek.scratch import new_folder, stored
 
 SF_DIR = "/root/testdata/sf0.001"
 # Queries that run streams or write tables before they return; their last plan only reads a table back.
-WRITING = {"json_array_scan", "ndjson_scan", "stream_enrich", "stream_rejects", "stream_ingest", "update_replay", "text_index_updates", "json_array_elements"}
+WRITING = {"json_array_scan", "ndjson_scan", "stream_enrich", "stream_rejects", "stream_ingest", "update_replay", "text_index_updates", "json_array_elements", "file_to_topic", "stream_ingest_newest"}
 
 
 def plan(df) -> str:

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 
 from frames import values
 from shelfseek.sources import arrays, files, topics
+from shelfseek.streaming import jobs
 
 
 def gz(folder, name, text):
@@ -77,6 +78,33 @@ def test_elements_of_damaged_arrays(spark, tmp_path):
     assert sorted(values(spark.read.parquet(out), "value")) == sorted(values(rows, "value"))
 
 
+def test_files_to_topic_with_damaged_files(spark, tmp_path):
+    """Records go to the topic by key; elements and files that cannot be read go to the rejects."""
+    folder, out = str(tmp_path / "in"), str(tmp_path / "out")
+    os.mkdir(folder)
+    gz(folder, "a.json.gz", '[{"asin":"1"}, {"title":"no key"}, {bad}]')
+    whole = gz(folder, "b.json.gz", "[" + ",".join(json.dumps({"asin": str(i), "noise": os.urandom(20).hex()}) for i in range(2000)) + "]")
+    with open(whole, "rb") as f:
+        half = f.read()[: os.path.getsize(whole) // 2]
+    with open(whole, "wb") as f:
+        f.write(half)
+    jobs.start_publishing(
+        arrays.stream_array_elements(spark, folder, 1), jobs.keyed_files_writer(f"{out}/topic"), jobs.files_writer(f"{out}/bad"), f"{out}/check"
+    ).awaitTermination()
+    sent = spark.read.parquet(f"{out}/topic")
+    assert ("1", '{"asin":"1"}') in values(sent, "key", "value") and 100 < sent.count() < 2001
+    rejected = values(spark.read.parquet(f"{out}/bad"), "reject_reason")
+    assert sorted(rejected) == ["array_not_closed", "no_asin", "not_json"]
+    lines = str(tmp_path / "lines")
+    os.mkdir(lines)
+    gz(lines, "c.ndjson.gz", '{"asin":"7"}\nbad\n')
+    jobs.start_publishing(
+        files.stream_ndjson(spark, lines), jobs.keyed_files_writer(f"{out}/topic2"), jobs.files_writer(f"{out}/bad2"), f"{out}/check2"
+    ).awaitTermination()
+    assert values(spark.read.parquet(f"{out}/topic2"), "key") == ["7"]
+    assert values(spark.read.parquet(f"{out}/bad2"), "value", "reject_reason") == [("bad", "not_json")]
+
+
 def test_json_lines(spark, tmp_path):
     path = gz(str(tmp_path), "a.ndjson.gz", '{"asin":"1"}\n\nbad\n[2]\n{"asin":"3"}\n')
     rows = files.read_ndjson(spark, path)
