@@ -26,6 +26,8 @@ from shelfseek.scratch import stored
 
 Kernel = Callable[[pa.Table, pa.Table], pa.Table]
 
+# Pairs that a block holds until they are compared with its best again.
+MAX_HELD = 1 << 22
 # Keys that may stand in a filter as literals.
 MAX_LITERAL_KEYS = 200
 
@@ -159,6 +161,11 @@ class Filters:
         found = found.to_numpy(zero_copy_only=False)
         self.has_brand = np.zeros((n, len(encoded.dictionary)), dtype=bool)
         self.has_brand[row_numbers(tokens)[found >= 0], found[found >= 0]] = True
+        alike = np.stack([self.brand.astype(float), self.low, self.high], axis=1)
+        _, group = np.unique(alike, axis=0, return_inverse=True)
+        order = np.argsort(group.reshape(-1), kind="stable")
+        #: Questions of the same price range and brand.
+        self.groups = np.split(order, np.flatnonzero(np.diff(group.reshape(-1)[order])) + 1) if len(order) else []
 
     def passing(self, question: int) -> np.ndarray:
         if self.brand[question] < 0:
@@ -168,6 +175,79 @@ class Filters:
         return in_range & self.has_brand[:, self.brand[question]]
 
 
+def near_best(
+    documents: pa.Table,
+    questions: pa.Table,
+    score: Callable[[int, np.ndarray, np.ndarray], np.ndarray],
+    limit: int,
+    slack: np.ndarray,
+    every: np.ndarray | None = None,
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(question, document, score) of the pairs of a block that pass the filters and whose score is at most ``slack``
+    below the question's ``limit``-th best; all that pass for the questions that ``every`` marks.
+
+    ``score(start, rows, asked)`` is the matrix of the documents ``start + rows`` by the questions ``asked``; minus
+    infinity is a missing score. Questions of the same filters are compared as one matrix, and each keeps its best
+    scores so far, so that of later documents few are looked at.
+    """
+    marked = np.zeros(questions.num_rows, bool) if every is None else every
+    leaders = np.full((questions.num_rows, max(limit, 1)), -np.inf)
+    held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    kept = 0
+    for start, piece in slices(documents, questions):
+        filters = Filters(piece, questions)
+        for asked in filters.groups:
+            rows = np.flatnonzero(filters.passing(asked[0]))
+            if not len(rows):
+                continue
+            scores = score(start, rows, asked)
+            floor = leaders[asked].min(axis=1)
+            if len(rows) > limit:
+                unled = np.flatnonzero(floor == -np.inf)
+                if len(unled):
+                    floor[unled] = np.partition(scores[:, unled], -limit, axis=0)[-limit]
+            least = np.where(marked[asked] | (floor == -np.inf), -np.inf, floor - slack[asked])
+            at, to = np.nonzero(scores >= least)
+            found = asked[to], start + rows[at], scores[at, to]
+            held.append(found)
+            kept += len(at)
+            raise_leaders(leaders, *found[::2])
+            if kept > MAX_HELD:
+                held = [still_near(leaders, slack, marked, held)]
+                kept = len(held[0][0]) // 2
+    return still_near(leaders, slack, marked, held)
+
+
+def raise_leaders(leaders: np.ndarray, to: np.ndarray, scores: np.ndarray) -> None:
+    """Put the best of ``scores`` among the best of their questions."""
+    limit = leaders.shape[1]
+    to, _, scores = first_of_each(to, to, scores, np.zeros(len(to)), np.full(len(leaders), limit))
+    if not len(to):
+        return
+    met, first, n = np.unique(to, return_index=True, return_counts=True)
+    fresh = np.full((len(met), limit), -np.inf)
+    fresh[np.repeat(np.arange(len(met)), n), np.arange(len(to)) - np.repeat(first, n)] = scores
+    leaders[met] = np.partition(np.concatenate([leaders[met], fresh], axis=1), limit, axis=1)[:, limit:]
+
+
+def still_near(leaders: np.ndarray, slack: np.ndarray, marked: np.ndarray, held: list[tuple]) -> tuple:
+    to, at, scores = [np.concatenate(x) for x in zip(*held, strict=True)] if held else (np.empty(0, int), np.empty(0, int), np.empty(0))
+    floor = leaders.min(axis=1)
+    least = np.where(marked | (floor == -np.inf), -np.inf, floor - slack)
+    near = scores >= least[to]
+    return to[near], at[near], scores[near]
+
+
+def first_of_each(to: np.ndarray, at: np.ndarray, scores: np.ndarray, ranks: np.ndarray, most: np.ndarray) -> tuple:
+    """The first ``most`` of each question by falling score, then rank."""
+    order = np.lexsort((ranks, -scores, to))
+    to, at, scores = to[order], at[order], scores[order]
+    begins = np.flatnonzero(np.diff(to, prepend=-1))
+    place = np.arange(len(to)) - np.repeat(begins, np.diff(begins, append=len(to)))
+    first = place < most[to]
+    return to[first], at[first], scores[first]
+
+
 def text_ranks(values: pa.ChunkedArray) -> np.ndarray:
     """Position of each string in byte order, the order Spark sorts strings by."""
     ranks = np.empty(len(values), dtype=np.int64)

@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 
@@ -398,6 +399,28 @@ def test_cells_are_fitted_on_a_bounded_sample_and_loaded_as_saved(spark, tmp_pat
     assert held == index.rows.filter(F.array_contains("brand_tokens", "hot")).count()
 
 
+def test_cells_are_fitted_on_all_rows_without_a_sample(spark):
+    # More rows than any sample held before; the far ones have the largest md5, so a sample would miss them.
+    asins = sorted((str(i) for i in range(9000)), key=lambda a: hashlib.md5(a.encode()).hexdigest())
+    rows = [(a, [1.0, 0.0] if place < 2 else [0.0, 1.0 + place % 2] if place < 8500 else [4.0, 0.0]) for place, a in enumerate(asins)]
+    shelf = spark.createDataFrame(rows, "asin string, embedding array<float>").repartition(3)
+    centres = ann.fit_cells(shelf, 2, 3, rounds=1).centres
+    # Of two equal centres the first takes all, the other stays.
+    assert centres[0] == pytest.approx(((2 + 500 * 4) / 502, 0.0), abs=1e-4)
+    assert centres[1] == (1.0, 0.0)
+
+
+def test_rows_whose_codes_are_alike_are_all_scored_exactly(spark):
+    # Fifty copies look nearer by their codes than the one that is nearest; refine would stop at two rows.
+    vectors = {"z": [1.0, 0.5035, 0.0]} | {f"a{i:02}": [1.0, 0.5034, 0.0] for i in range(50)}
+    shelf = products(spark, [(a, "b", "text", 1.0, v) for a, v in vectors.items()], 3)
+    index = ann.cell_index(shelf, ann.fit_cells(shelf, 3, 2))
+    reach = ann.Reach(1.0, 2, 0)
+    assert values(ann.ann_search(index, shelf, [1.0, 1.0, 0.0], brand="b", limit=1, reach=reach), "asin") == ["z"]
+    queries = spark.createDataFrame([(1, 0.0, 50.0, "b", [1.0, 1.0, 0.0])], QUERY_SCHEMA + ", embedding array<float>")
+    assert values(ann.batch_ann_search(index, shelf, queries, 1, reach), "asin") == ["z"]
+
+
 def test_no_vectors_make_one_empty_cell(spark):
     shelf = products(spark, [("a", "b", "c", 1.0, None)])
     index = ann.cell_index(shelf, ann.fit_cells(shelf, 2))
