@@ -5,8 +5,10 @@ the scored pairs never become rows. Two ways to form blocks:
 
 * the questions' size is measured; while it is within ``broadcast_bytes`` they go to every task, and
   documents are scored where they are read, without a shuffle;
-* beyond that, documents and questions meet by key (a brand, an LSH bucket). A key is cut into as many
-  blocks as its rows need, on both sides, so one very frequent key is spread like any other.
+* beyond that, documents and questions meet by key (a brand, an LSH bucket). A key is cut into blocks on both
+  sides, so one very frequent key is spread like any other: into as many as its rows need, but into more than its
+  share of ``pieces`` only where a block's side would pass ``most_bytes``. So a row is copied, and a question has
+  results, a bounded number of times, and beyond that once for each ``most_bytes`` of the other side.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from shelfseek.scratch import stored
 
 Kernel = Callable[[pa.Table, pa.Table], pa.Table]
 
+# Documents that meet broadcast questions at once.
+BLOCK_BYTES = 32 << 20
 # Pairs that a block holds until they are compared with its best again.
 MAX_HELD = 1 << 22
 # Keys that may stand in a filter as literals.
@@ -37,6 +41,8 @@ class BlockSizes:
     broadcast_bytes: int = 64 << 20
     documents: int = 4096
     questions: int = 256
+    pieces: int = 16
+    most_bytes: int = 32 << 20
 
 
 @dataclass(frozen=True)
@@ -68,7 +74,8 @@ def score_blocks(
         possible = documents.filter(_askable(asked, document_keys))
         return _broadcast(possible, asked.drop_columns("_keys"), kernel, result_schema)
     kept = stored(questions, "questions")
-    return meet_by_key(documents, kept, kernel, result_schema, document_keys, question_keys, sizes)
+    row_bytes = -(-size.bytes // max(size.rows, 1))
+    return meet_by_key(documents, kept, kernel, result_schema, document_keys, question_keys, sizes, row_bytes)
 
 
 def _askable(questions: pa.Table, document_keys: Column) -> Column:
@@ -87,8 +94,16 @@ def _broadcast(documents: DataFrame, questions: pa.Table, kernel: Kernel, schema
     shared = documents.sparkSession.sparkContext.broadcast(questions)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # A block is as many batches as fit, so that few results leave a task.
+        held, taken = [], 0
         for batch in batches:
-            yield from kernel(pa.Table.from_batches([batch]), shared.value).to_batches()
+            held.append(batch)
+            taken += batch.nbytes
+            if taken >= BLOCK_BYTES:
+                yield from kernel(pa.Table.from_batches(held), shared.value).to_batches()
+                held, taken = [], 0
+        if held:
+            yield from kernel(pa.Table.from_batches(held), shared.value).to_batches()
 
     return documents.mapInArrow(score, schema)
 
@@ -101,15 +116,23 @@ def meet_by_key(
     document_keys: Column,
     question_keys: Column,
     sizes: BlockSizes,
+    row_bytes: int,
 ) -> DataFrame:
-    """``kernel`` for blocks of documents and questions that share a key, each key cut into as many blocks as its rows
-    need on both sides. ``questions`` is read several times."""
+    """``kernel`` for blocks of documents and questions that share a key, each key cut into blocks on both sides, whose
+    rows take about ``row_bytes``. ``questions`` is read several times."""
     keyed_documents = documents.withColumn("_key", F.explode(F.array_distinct(document_keys)))
     keyed_questions = questions.withColumn("_key", F.explode(F.array_distinct(question_keys)))
     asked = keyed_questions.groupBy("_key").agg(F.count("*").alias("_asked"))
     held = keyed_documents.groupBy("_key").agg(F.count("*").alias("_held"))
-    question_parts = F.ceil(F.col("_asked") / sizes.questions).cast("int").alias("_question_parts")
-    document_parts = F.ceil(F.col("_held") / sizes.documents).cast("int").alias("_document_parts")
+    most = max(1, sizes.most_bytes // max(row_bytes, 1))
+
+    def parts_of(counted: DataFrame, count: str, rows: int) -> Column:
+        share = F.col(count) / counted.agg(F.sum(count)).scalar()
+        few = F.greatest(F.ceil(sizes.pieces * share), F.ceil(F.col(count) / max(rows, most)))
+        return F.when(F.col(count).isNotNull(), F.least(F.ceil(F.col(count) / rows), few)).cast("int")
+
+    question_parts = parts_of(asked, "_asked", sizes.questions).alias("_question_parts")
+    document_parts = parts_of(held, "_held", sizes.documents).alias("_document_parts")
     counted = held.join(asked, "_key", "left")
     parts = stored(counted.select("_key", "_held", "_asked", question_parts, document_parts), "parts")
     numbers = ("_question_parts", "_document_parts")
@@ -161,11 +184,12 @@ class Filters:
         found = found.to_numpy(zero_copy_only=False)
         self.has_brand = np.zeros((n, len(encoded.dictionary)), dtype=bool)
         self.has_brand[row_numbers(tokens)[found >= 0], found[found >= 0]] = True
-        alike = np.stack([self.brand.astype(float), self.low, self.high], axis=1)
-        _, group = np.unique(alike, axis=0, return_inverse=True)
-        order = np.argsort(group.reshape(-1), kind="stable")
-        #: Questions of the same price range and brand.
-        self.groups = np.split(order, np.flatnonzero(np.diff(group.reshape(-1)[order])) + 1) if len(order) else []
+
+    def groups(self) -> list[np.ndarray]:
+        """Questions of the same price range and brand."""
+        order = np.lexsort((self.high, self.low, self.brand))
+        alike = np.stack([self.brand, self.low, self.high])[:, order]
+        return np.split(order, np.flatnonzero((alike[:, 1:] != alike[:, :-1]).any(axis=0)) + 1) if len(order) else []
 
     def passing(self, question: int) -> np.ndarray:
         if self.brand[question] < 0:
@@ -194,9 +218,10 @@ def near_best(
     leaders = np.full((questions.num_rows, max(limit, 1)), -np.inf)
     held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
     kept = 0
+    groups = Filters(documents.slice(0, 0), questions).groups()
     for start, piece in slices(documents, questions):
         filters = Filters(piece, questions)
-        for asked in filters.groups:
+        for asked in groups:
             rows = np.flatnonzero(filters.passing(asked[0]))
             if not len(rows):
                 continue

@@ -3,6 +3,7 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,7 +11,7 @@ from frames import products, values
 from shelfseek.functions.embedding import HashEmbedder
 from shelfseek.operators import ann, batch_search, collection as store, text_index as text_index_module
 from shelfseek.operators.batch_search import batch_full_text_search, batch_vector_search
-from shelfseek.operators.blocks import BlockSizes
+from shelfseek.operators.blocks import BlockSizes, meet_by_key
 from shelfseek.operators.compare import compare_searches
 from shelfseek.operators.search import full_text_search, vector_search
 from shelfseek.operators.text_index import save_index, text_index
@@ -358,6 +359,21 @@ def test_compare_searches(shelf):
         compare_searches(shelf, "space wars")
 
 
+def test_a_large_key_is_cut_into_few_blocks_until_they_fill(spark):
+    documents = spark.range(3000).select(F.col("id").cast("string").alias("asin"), F.lit("k").alias("key"))
+    questions = spark.range(500).select(F.col("id").alias("query_id"), F.lit("k").alias("key"))
+
+    def count(left, right):
+        return pa.table({"d": [left.num_rows], "q": [right.num_rows]})
+
+    for most_bytes, least, most in ((1 << 20, 1, 4), (100 * 100, 30 * 5, 30 * 5)):
+        sizes = BlockSizes(0, 10, 10, pieces=2, most_bytes=most_bytes)
+        keys = F.array("key")
+        blocks = meet_by_key(documents, questions, count, "d bigint, q bigint", keys, keys, sizes, 100).collect()
+        # Every document meets every question once, in whatever blocks.
+        assert least <= len(blocks) <= most and sum(r.d * r.q for r in blocks) == 3000 * 500
+
+
 def celled(spark, tmp_path, cells=6, **fit):
     shelf = random_shelf(spark).cache()
     fitted = ann.fit_cells(shelf, 4, cells, **fit)
