@@ -1,6 +1,7 @@
 """The corpus pipeline: documents in, shards out, each stage one operator of shelfseek.llm.
 
-Every stage works on all rows the one before it kept; all but the last return the columns of documents.
+Every stage works on all rows the one before it kept; all but the last return the columns of documents, and the mix also
+each row's ``position``, by which the slots of every shard are numbered.
 """
 
 from __future__ import annotations
@@ -28,13 +29,13 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order in which the sources' weights interleave them."""
-    return pfair.mix(docs)
+    """All documents with their positions in the order in which the sources' weights interleave them."""
+    return pfair.mix(docs, position="position")
 
 
 def cut_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every document."""
-    return sharding.shard(docs)
+    """Shard and slot of every document; a shard is read in the order of the mix."""
+    return sharding.shard(docs, order="position")
 
 
 STAGES = [

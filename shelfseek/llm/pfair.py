@@ -177,10 +177,13 @@ def mix(
     source: str = "source",
     period: int = PERIOD,
     block_rows: int = BLOCK_ROWS,
+    position: str | None = None,
 ) -> DataFrame:
-    """``docs``, all rows and columns, in the order of the mix (files in order, rows in order within)."""
+    """``docs``, all rows and columns, in the order of the mix (files in order, rows in order within); with ``position``,
+    also a column of that name: each row's place in the mix, gapless from 0, for those who store the rows."""
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *keyed(docs, doc_id, source))
-    return with_positions(rows, targets, period, block_rows).orderBy("_position").select("_row.*")
+    place = [F.col("_position").alias(position)] if position else []
+    return with_positions(rows, targets, period, block_rows).orderBy("_position").select("_row.*", *place)
 
 
 def mix_schedule(

@@ -25,15 +25,21 @@ ROW_BYTES = 16
 RANGE = 1 << 30
 
 
-def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, size, text_crc32 and the hash of the text, without the text."""
+def measured(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", order: str | None = None) -> DataFrame:
+    """doc_id, size, text_crc32 and the hash of the text, without the text; rows are numbered by ``_spread`` and, with
+    ``order``, by that column, which ``_spread`` then follows."""
     content = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    spread = [F.xxhash64(F.col(doc_id), content).alias("_spread")]
+    if order:
+        total = docs.agg(F.max(order) + 1).scalar()
+        along = F.least(F.lit(RANGE - 1), F.floor(F.col(order) / total * RANGE))
+        spread = [along.cast("bigint").alias("_spread"), F.col(order).alias("_order")]
     return docs.select(
         F.col(doc_id).alias("doc_id"),
         (F.octet_length(content) + ROW_BYTES).cast("bigint").alias("size"),
         F.crc32(content.cast("binary")).alias("text_crc32"),
         F.xxhash64(content).alias("_text"),
-        F.xxhash64(F.col(doc_id), content).alias("_spread"),
+        *spread,
     )
 
 
@@ -110,23 +116,27 @@ def atom_shards(groups: DataFrame, shards: int) -> DataFrame:
     return exploded.select("atom._bin", "atom._text", shard.alias("_shard"))
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+def shard(
+    docs: DataFrame, shards: int = SHARDS, doc_id: str = "doc_id", text: str = "text", order: str | None = None
+) -> DataFrame:
     """doc_id, size, text_crc32, law, shard, slot (gapless from 0 in each shard) and grown_shard (null: shard borders
-    move when shards are added), one row per row of ``docs``."""
-    rows = stored(measured(docs, doc_id, text), "sharding-rows")
+    move when shards are added), one row per row of ``docs``. Slots follow the column ``order`` (whole numbers from 0,
+    each once), if one is named, else a hash."""
+    rows = stored(measured(docs, doc_id, text, order), "sharding-rows")
     groups = stored(rows.groupBy("_text").agg(F.sum("size").alias("_bytes")), "sharding-groups")
     places = stored(atom_shards(groups, shards), "sharding-atoms")
     ranges = places.filter("_text IS NULL").select("_bin", F.col("_shard").alias("_range_shard"))
     large = places.filter("_text IS NOT NULL").select("_text", F.col("_shard").alias("_own_shard"))
     # Both tables have at most BINS rows, whatever the input.
+    ordered = ["_order"] if order else []
     placed = (
         rows.withColumn("_bin", hash_bin(F.col("_text")))
         .join(F.broadcast(large), "_text", "left")
         .join(F.broadcast(ranges), "_bin", "left")
-        .select("doc_id", "size", "text_crc32", "_spread", F.coalesce("_own_shard", "_range_shard").alias("shard"))
+        .select("doc_id", "size", "text_crc32", "_spread", *ordered, F.coalesce("_own_shard", "_range_shard").alias("shard"))
     )
     counts = placed.groupBy("shard").agg(F.count("*").alias("_rows"))
-    slotted = numbered(placed, "shard", counts, [F.col("doc_id"), F.col("size")], "slot")
+    slotted = numbered(placed, "shard", counts, [F.col(c) for c in (*ordered, "doc_id", "size")], "slot")
     return slotted.select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),

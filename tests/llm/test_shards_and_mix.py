@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
+import corpus_pipeline
 from shelfseek.llm import pfair, ranks, sharding
 from tables import odd_texts, sentence
 
@@ -86,6 +87,22 @@ def test_mix_stays_within_a_block_of_the_weights(spark, blocks):
     assert [(r.doc_id, r.source) for r in mixed.collect()] == [(r.doc_id, r.source) for r in found]
 
 
+def test_slots_of_the_pipelines_shards_follow_the_mix(spark, blocks):
+    rng = random.Random(4)
+    rows = [(i, rng.choice("aaab"), None if i % 50 == 0 else sentence(rng, 20)) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, source string, text string")
+    mixed = corpus_pipeline.mix_sources(spark, docs, "")
+    place = {r.doc_id: r.position for r in mixed.collect()}
+    expected = {r.doc_id: r.position for r in pfair.mix_schedule(docs).collect()}
+    assert place == expected and mixed.columns == [*docs.columns, "position"]
+    shards = defaultdict(list)
+    for r in corpus_pipeline.cut_shards(spark, mixed, "").collect():
+        shards[r.shard].append((r.slot, place[r.doc_id]))
+    for own in shards.values():
+        assert [slot for slot, _ in sorted(own)] == list(range(len(own)))
+        assert [at for _, at in sorted(own)] == sorted(at for _, at in own)
+
+
 def test_schedule_is_pfair(spark):
     sources = spark.createDataFrame([(f"+{k}", 1000, w) for k, w in enumerate([5.0, 3.0, 1.0, 1.0, 0.3])], "_source string, _rows bigint, _weight double")
     rows = pfair.schedule(pfair.units(sources, 200)).orderBy("_slot").collect()
