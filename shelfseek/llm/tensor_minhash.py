@@ -346,20 +346,29 @@ def tensor_links(nodes: DataFrame, labels: DataFrame, docs: DataFrame, doc_id: s
         # Keyed by all factors and still too large: equal in all keys, so compared as it is.
         last = level == GROUPS - 1 or large.isEmpty()
         chosen = opened if last else opened.filter(small)
-        near = stored(near_members(chosen.join(known, "node")), "minhash-near")
+        near = stored(near_members(met_once(chosen.select("key", "i", "node", "label", "n_shingles"), known)), "minhash-near")
         members = near.join(chosen.select("key", "node", "label"), ["key", "node"])
         texts = texts_of(near.select("node").distinct(), nodes, docs, doc_id, text)
-        found = stored(bucket_links(members.join(texts, "node")), "minhash-found")
+        found = stored(bucket_links(met_once(members, texts)), "minhash-found")
         links = found if links is None else links.union(found)
         if last:
             return links
-        factor = known.select("node", F.posexplode("b" if level == 0 else "a").alias("_f", "value"))
-        rows = large.select("key", "node", "label", "n_shingles", "i").join(factor, "node").select(
+        factor = known.select("node", F.col("b" if level == 0 else "a").alias("_factor"))
+        spread = met_once(large.select("key", "node", "label", "n_shingles", "i"), factor)
+        rows = spread.select("key", "node", "label", "n_shingles", "i", F.posexplode("_factor").alias("_f", "value")).select(
             "node", "label", "n_shingles", "i", F.xxhash64("key", F.lit(level), "_f", "value").alias("key")
         )
     return links
 
 
+def met_once(places: DataFrame, known: DataFrame) -> DataFrame:
+    """``places`` (node and more, a row for each bucket a node is in) joined with ``known`` by node. A node is in a
+    bounded number of buckets, so these are listed first, and what is known meets each node once, not each of its rows."""
+    columns = [c for c in places.columns if c != "node"]
+    listed = places.groupBy("node").agg(F.collect_list(F.struct(*columns)).alias("_places"))
+    return listed.join(known, "node").select(F.inline("_places"), "node", *[c for c in known.columns if c != "node"])
+
+
 def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """(node, text) for the given nodes, several times where rows are repeated."""
     ids = nodes.join(wanted, "node").select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))

@@ -87,6 +87,17 @@ def test_a_copy_is_confirmed_once_and_not_for_every_centre(spark, monkeypatch):
         assert n // 2 <= sum(sent) <= 1.2 * n
 
 
+def test_a_node_of_many_buckets_is_joined_once(spark):
+    """What is known of a node meets its list of buckets, not each of them."""
+    places = spark.createDataFrame([(k, n, k + n) for n in range(5) for k in range(40)], "key bigint, node bigint, label bigint")
+    known = spark.createDataFrame([(n, f"text {n}") for n in (0, 1, 2, 3, 3, 9)], "node bigint, text string")
+    found = tensor_minhash.met_once(places, known)
+    columns = ("key", "node", "label", "text")
+    assert sorted(map(tuple, found.select(*columns).collect())) == sorted(map(tuple, places.join(known, "node").select(*columns).collect()))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("Generate inline") < plan.index("Join [node") < plan.index("collect_list")
+
+
 def test_rows_without_ids_are_looked_up_by_their_texts(spark):
     docs = spark.createDataFrame([(None, t) for t in near_copies(30)] + [(None, "x y")] * 3, "doc_id bigint, text string")
     nodes = tensor_minhash.node_table(tensor_minhash.sketches(docs, "doc_id", "text"))
