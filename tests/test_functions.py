@@ -3,6 +3,7 @@ import random
 import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -22,6 +23,7 @@ from shelfseek.functions import (
     vector_enforce,
     with_property,
 )
+from shelfseek.functions import text
 from shelfseek.functions.embedding import Caller, HashEmbedder, ModelEmbedder, Patience, Refused
 from shelfseek.functions.vectors import vector_parameter
 
@@ -212,3 +214,18 @@ def test_term_counts_add_up(spark, lists):
     found = dict(values(df.select("id", term_counts(F.col("k")).alias("c")), "id", "c"))
     for i, tokens in enumerate(lists):
         assert {t.term: t.tf for t in found[i]} == {t: tokens.count(t) for t in tokens}
+
+
+def test_terms_are_counted_in_bounded_slices(monkeypatch):
+    """However many rows a batch has, no more than so many tokens (or one row) are counted at a time."""
+    lists = [["a", "b", "a"], None, [], ["b"] * 5, ["c", None], ["a"]] * 50
+    whole = text.counted_rows(pa.array(lists, pa.list_(pa.string()))).to_pylist()
+    sizes, counted_rows = [], text.counted_rows
+    monkeypatch.setattr(text, "COUNTED_AT_ONCE", 7)
+    monkeypatch.setattr(text, "counted_rows", lambda rows: sizes.append(len(rows.flatten())) or counted_rows(rows))
+    ordered = lambda rows: [sorted((d["term"], d["tf"]) for d in row) for row in rows]
+    for given in (lists, [*lists, ["z"] * 20, ["y"]], []):
+        sizes.clear()
+        found = text.term_counts.func(pa.array(given, pa.list_(pa.string())))
+        assert ordered(found.to_pylist())[: len(lists)] == ordered(whole)[: len(given)]
+        assert len(found) == len(given) and sum(n > 7 for n in sizes) == (len(given) > len(lists))
