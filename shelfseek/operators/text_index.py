@@ -26,30 +26,37 @@ SEGMENT = "_segment"
 class TextIndex:
     """``postings`` (asin, term, tf, dl, estimated_price, brand_tokens, and block if stored), ``terms`` (term, df) and
     the one-row ``corpus`` (documents, avgdl). Postings carry the filter columns of a search, so that only its winners
-    are looked up in the collection. ``blocks`` (term, block, max_tf, min_dl), if stored, bounds each block's scores."""
+    are looked up in the collection. ``blocks`` (term, block, max_tf, min_dl), if stored, bounds each block's scores.
+    ``documents``, if not stored yet, are the ``counted_documents`` that the postings come from."""
 
     postings: DataFrame
     terms: DataFrame
     corpus: DataFrame
     blocks: DataFrame | None = None
+    documents: DataFrame | None = None
 
 
-def postings(collection: DataFrame) -> DataFrame:
-    """One row per document and distinct term. No shuffle: a document is counted where it is read."""
-    tokens = F.col("description_tokens")
-    # The outer form, as the inner one makes Spark count once more to drop empty lists beforehand.
-    counted = collection.select(
-        "asin",
-        F.size(tokens).alias("dl"),
-        "estimated_price",
-        "brand_tokens",
-        F.explode_outer(term_counts(tokens)).alias("counted"),
+def counted_documents(collection: DataFrame) -> DataFrame:
+    """One row per document: its filter columns, its length and its distinct terms with their counts."""
+    return collection.select(
+        "asin", length().alias("dl"), "estimated_price", "brand_tokens", term_counts(F.col("description_tokens")).alias("counted")
     )
-    return counted.select(
+
+
+def document_postings(documents: DataFrame) -> DataFrame:
+    """One row per document and distinct term of ``counted_documents``."""
+    # The outer form, as the inner one makes Spark count once more to drop empty lists beforehand.
+    rows = documents.select("asin", "dl", "estimated_price", "brand_tokens", F.explode_outer("counted").alias("counted"))
+    return rows.select(
         "asin", "counted.term", "counted.tf", "dl", "estimated_price", "brand_tokens"
     ).filter(F.col("term").isNotNull())
 
 
+def postings(collection: DataFrame) -> DataFrame:
+    """One row per document and distinct term. No shuffle: a document is counted where it is read."""
+    return document_postings(counted_documents(collection))
+
+
 def term_statistics(postings_: DataFrame) -> DataFrame:
     """Documents per term. Counts combine before the shuffle, so frequent terms stay cheap."""
     return postings_.groupBy("term").agg(F.count("*").alias("df"))
@@ -65,8 +72,9 @@ def corpus_statistics(collection: DataFrame) -> DataFrame:
 
 
 def text_index(collection: DataFrame) -> TextIndex:
-    rows = postings(collection)
-    return TextIndex(rows, term_statistics(rows), corpus_statistics(collection))
+    documents = counted_documents(collection)
+    rows = document_postings(documents)
+    return TextIndex(rows, term_statistics(rows), corpus_statistics(collection), documents=documents)
 
 
 def block_bounds(postings_: DataFrame) -> DataFrame:
@@ -85,14 +93,16 @@ def write_postings(rows: DataFrame, path: str, files: int | None = None) -> Data
     sorted_ = ranged.sortWithinPartitions(*by_term)
     run = F.shiftright(F.monotonically_increasing_id(), BLOCK_BITS)
     blocked = sorted_.withColumn("block", F.xxhash64(F.lit(path), run))
-    blocked.write.parquet(path)
+    blocked.write.parquet(path, compression="zstd")
     return rows.sparkSession.read.schema(blocked.schema).parquet(path)
 
 
 def save_index(index: TextIndex, path: str, files: int | None = None) -> TextIndex:
     """Store an index for term lookups and return the stored one."""
     spark = index.postings.sparkSession
-    held = write_postings(index.postings, f"{path}/postings", files)
+    # Ranges are found in a first pass over all rows, so the documents are counted before.
+    rows = index.postings if index.documents is None else document_postings(stored(index.documents, "counted-documents"))
+    held = write_postings(rows, f"{path}/postings", files)
     term_statistics(held).sortWithinPartitions("term").write.parquet(f"{path}/terms")
     block_bounds(held).sortWithinPartitions("term").write.parquet(f"{path}/blocks")
     index.corpus.write.parquet(f"{path}/corpus")
@@ -116,29 +126,36 @@ def update_index(batch: DataFrame, batch_id: int, path: str) -> bool:
         return False
     folder = commits.new_name("segments")
     known = current_documents(spark, path, batch)
-    rows = batch.select("asin", VERSION, "estimated_price", "brand_tokens", "description_tokens")
-    if known is not None:
-        rows = rows.join(known, "asin", "left").filter(F.col("_held").isNull() | (F.col(VERSION) > F.col("_held")))
+    if known is None:
+        rows = batch.withColumns({"_old_segment": F.lit(None).cast("bigint"), "_old_dl": F.lit(None).cast("int")})
     else:
-        none = {"_old_segment": "bigint", "_old_dl": "int", "_old_terms": "array<string>"}
-        rows = rows.withColumns({name: F.lit(None).cast(kind) for name, kind in none.items()})
-    fresh = stored(rows.drop("_held"), "fresh")
-    held = write_postings(postings(fresh).withColumn(SEGMENT, F.lit(batch_id).cast("bigint")), f"{path}/{folder}/postings")
-    gone = fresh.filter(F.col("_old_segment").isNotNull())
-    gone.select("asin", F.col("_old_segment").alias(SEGMENT)).write.parquet(f"{path}/{folder}/replaced")
+        # Versions are compared alone; only rows that are newer are counted.
+        compared = batch.select("asin", VERSION).join(known, "asin", "left").filter(F.col("_held").isNull() | (F.col(VERSION) > F.col("_held")))
+        newer = stored(compared.select("asin", "_old_segment", "_old_dl"), "newer")
+        rows = batch.join(F.broadcast(newer) if small(newer) else newer, "asin")
+    number = F.lit(batch_id).cast("bigint").alias(SEGMENT)
+    columns = [c for c in counted_documents(rows).columns if c != "counted"]
+    documents = rows.withColumn("dl", length()).withColumn("counted", term_counts(F.col("description_tokens"))).select(
+        *columns, "counted", VERSION, number, "_old_segment", "_old_dl"
+    )
+    documents.write.parquet(f"{path}/{folder}/documents", compression="zstd")
+    fresh = spark.read.schema(documents.schema).parquet(f"{path}/{folder}/documents")
+    held = write_postings(document_postings(fresh).withColumn(SEGMENT, number), f"{path}/{folder}/postings")
+    gone = fresh.filter(F.col("_old_segment").isNotNull()).select("asin", F.col("_old_segment").alias(SEGMENT))
+    gone.write.parquet(f"{path}/{folder}/replaced")
     added = held.groupBy("term").agg(F.count("*").alias("df"))
-    lost = gone.select(F.explode("_old_terms").alias("term")).groupBy("term").agg((-F.count("*")).alias("df"))
+    lost = added.limit(0)
+    if known is not None:
+        before = read_part(spark, path, segments(spark, path), "documents").select("asin", SEGMENT, F.col("counted.term").alias("terms"))
+        replaced = before.join(F.broadcast(gone) if small(gone) else gone, ["asin", SEGMENT], "left_semi")
+        lost = replaced.select(F.explode("terms").alias("term")).groupBy("term").agg((-F.count("*")).alias("df"))
     changed = added.union(lost).groupBy("term").agg(F.sum("df").alias("df")).filter(F.col("df") != 0)
     changed.sortWithinPartitions("term").write.parquet(f"{path}/{folder}/terms")
     block_bounds(held).sortWithinPartitions("term").write.parquet(f"{path}/{folder}/blocks")
     fresh.agg(
         (F.count("*") - F.count("_old_segment")).alias("documents"),
-        F.coalesce(F.sum(length() - F.coalesce("_old_dl", F.lit(0))), F.lit(0)).cast("bigint").alias("tokens"),
+        F.coalesce(F.sum(F.col("dl") - F.coalesce("_old_dl", F.lit(0))), F.lit(0)).cast("bigint").alias("tokens"),
     ).write.parquet(f"{path}/{folder}/corpus")
-    documents = fresh.select(
-        "asin", VERSION, length().alias("dl"), F.array_distinct("description_tokens").alias("terms"), F.lit(batch_id).cast("bigint").alias(SEGMENT)
-    )
-    documents.write.parquet(f"{path}/{folder}/documents")
     commits.add(spark, path, batch_id, folder, [])
     return True
 
@@ -160,19 +177,18 @@ def small(rows: DataFrame) -> bool:
 
 
 def current_documents(spark: SparkSession, path: str, batch: DataFrame) -> DataFrame | None:
-    """For the batch's asins that are indexed, the version, segment, length and terms that count now."""
+    """For the batch's asins that are indexed, the version, segment and length that count now."""
     if commits.commits(spark, path) is None:
         return None
     documents = read_part(spark, path, segments(spark, path), "documents")
     asins = batch.select("asin")
     held = documents.join(F.broadcast(asins) if small(asins) else asins, "asin", "left_semi")
-    newest = held.groupBy("asin").agg(F.max_by(F.struct(VERSION, SEGMENT, "dl", "terms"), SEGMENT).alias("d"))
+    newest = held.groupBy("asin").agg(F.max_by(F.struct(VERSION, SEGMENT, "dl"), SEGMENT).alias("d"))
     return newest.select(
         "asin",
         F.col(f"d.{VERSION}").alias("_held"),
         F.col(f"d.{SEGMENT}").alias("_old_segment"),
         F.col("d.dl").alias("_old_dl"),
-        F.col("d.terms").alias("_old_terms"),
     )
 
 
@@ -208,7 +224,7 @@ def compact_index(spark: SparkSession, path: str) -> int:
     sums = read_part(spark, path, folders, "corpus").agg(F.sum("documents").alias("documents"), F.sum("tokens").alias("tokens"))
     sums.write.parquet(f"{path}/{folder}/corpus")
     documents = without_replaced(spark, path, folders, read_part(spark, path, folders, "documents"))
-    documents.withColumn(SEGMENT, number).write.parquet(f"{path}/{folder}/documents")
+    documents.drop("_old_segment", "_old_dl").withColumn(SEGMENT, number).write.parquet(f"{path}/{folder}/documents")
     spark.createDataFrame([], f"asin string, {SEGMENT} bigint").write.parquet(f"{path}/{folder}/replaced")
     commits.add(spark, path, upto, folder, [], now.version + 1, {0: folder})
     return now.version + 1

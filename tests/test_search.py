@@ -218,6 +218,21 @@ def test_blocks_and_terms_below_the_threshold_are_not_joined(spark, monkeypatch)
     assert values(found.orderBy("rank"), "asin") == ["r0", "r1", "r2"]
 
 
+def test_late_versions_are_neither_counted_nor_joined_with_old_terms(spark, monkeypatch):
+    """Versions are compared without the rows: a batch that is too late writes no document and shuffles no tokens."""
+    shelf, path = worded_shelf(spark), new_folder(spark, "late")
+    first = with_time(shelf, 2).cache()
+    assert text_index_module.update_index(first, 0, path)
+    held = text_index_module.current_documents(spark, path, first)
+    assert "terms" not in str(held.columns) and "counted" not in held._jdf.queryExecution().executedPlan().toString()
+    kept = {}
+    stored_ = text_index_module.stored
+    monkeypatch.setattr(text_index_module, "stored", lambda df, name: kept.setdefault(name, stored_(df, name)))
+    assert text_index_module.update_index(with_time(shelf, 1), 1, path)
+    assert kept["newer"].columns == ["asin", "_old_segment", "_old_dl"] and kept["newer"].isEmpty()
+    assert index_rows(text_index_module.read_index(spark, path)) == index_rows(text_index(shelf))
+
+
 @pytest.mark.parametrize("match_all", [False, True])
 def test_few_questions_shuffle_no_pairs_and_find_the_same(spark, monkeypatch, match_all):
     shelf = worded_shelf(spark)
