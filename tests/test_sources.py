@@ -143,3 +143,16 @@ def test_messages_have_text_and_place(spark):
     found = topics.messages(df)
     assert found.columns == ["key", "value", "topic", "partition", "offset", "timestamp"]
     assert values(found, "key", "value", "offset") == [("k", "v", 2)]
+
+
+def test_arrays_are_more_files_and_not_larger_ones(spark, monkeypatch):
+    """A file is read by one task, so with more bytes there are more of them, and what they hold stays the same."""
+    from shelfseek.plans import registered
+
+    assert [registered.array_files(n) for n in (0, 8 * registered.ARRAY_BYTES, 9 * registered.ARRAY_BYTES, 80 * registered.ARRAY_BYTES)] == [8, 8, 9, 80]
+    counts = []
+    for most in (registered.ARRAY_BYTES, 10_000):
+        monkeypatch.setattr(registered, "ARRAY_BYTES", most)
+        read = registered.read_array_elements(spark, registered.damaged_arrays(spark, "/root/testdata/sf0.001"))
+        counts.append((read.count(), read.select("source_file").distinct().count()))
+    assert counts[0][0] == counts[1][0] and counts[0][1] <= 8 < counts[1][1]
