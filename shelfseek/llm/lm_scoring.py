@@ -1,18 +1,22 @@
 """Scores of whole texts under a language model of online logistic context mixing, trained on the corpus.
 
-Tokens are lower-cased words between white space and one end per text. Tokens are counted by token and class of text
-(``mixing.text_classes``) and combined before the shuffle, so the model sees every token of every training text, each
-distinct one once with its count; nothing about a token's probability depends on the text but its class:
+Tokens are lower-cased words between white space and one end per text. A token's bytes are predicted by contexts inside it
+(``mixing``), the token by the one before it as well (``following``), over the running text:
 
-1. contexts of up to 6 bytes are counted with what came next, summed up in Spark, and broadcast, 16 bytes for each
+1. tokens are counted by token and class of text (``mixing.text_classes``) and combined before the shuffle. What contexts
+   inside a token say depends on nothing but the token and its class, so it is worked out once for each distinct one;
+2. contexts of up to 6 bytes are counted with what came next, summed up in Spark, and broadcast, 16 bytes for each
    distinct context and next byte. Longer ones are all of a token's bytes so far; tokens that begin with the same 7
    bytes meet in one task, which counts these contexts for itself. No count shares its place with another;
-2. gated weights are learned online in every task, over all distinct training tokens, and averaged by how much each gate
+3. gated weights are learned online in every task, over all distinct training tokens, and averaged by how much each gate
    has seen; the adaptive map's counts are added up;
-3. every distinct token, also those of held-out texts only, is scored once; texts then add up their tokens' scores.
+4. every distinct token, also those of held-out texts only, is scored once; texts add up their tokens' scores;
+5. each token's symbol and the one before it go, with the text's place, to the task of that pair, which counts how often
+   it occurs in training texts. The weights of this context are learned there, online, and averaged; then every text gets
+   back what its pairs add to its score.
 
-Scores and exact counts of the commonest tokens, at most ``COMMON_TOKENS``, are broadcast; a text's other tokens are
-joined with theirs.
+Scores and exact counts of the commonest tokens, at most ``COMMON_TOKENS``, are broadcast, and each is a symbol of its own; a
+text's other tokens are joined with theirs, and those of a class are one symbol.
 
 Defined results: a null or empty text is one end; a null id is the empty string for the split, so held out; rows with
 equal ids are scored each; with no training rows all decisions are even.
@@ -24,11 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
-from pyspark.sql import Column, DataFrame
+from pyspark import RDD
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfseek.llm import mixing
+from shelfseek.llm import following, mixing
 from shelfseek.llm.mixing import Contexts, Mixer
 from shelfseek.llm.text_arrays import LOWER, NOT_WHITE, Shared, Words, batch_map, row_keys, text_bytes
 from shelfseek.scratch import stored
@@ -41,6 +45,8 @@ COMMON_TOKENS = 400_000
 END_HASH = 0x0E0D0A0E0D0A0E0D
 #: Distinct tokens that one task learns from or scores, about.
 TASK_TOKENS = 100_000
+#: Bytes of texts whose pairs of symbols one task counts, about.
+PART_BYTES = 12 << 20
 
 
 def fold(doc_id: Column) -> Column:
@@ -131,9 +137,9 @@ def train(tokens: DataFrame) -> Mixer:
         table = gathered(batches)
         if table is None:
             return
-        own, words = shared.value, portion(table)
-        own.whole = mixing.whole_contexts(*words)
-        mass, came = own.learn(*words)
+        own, words = shared.value, mixing.Beginnings(*portion(table))
+        own.whole = words.whole()
+        mass, came = own.learn_beginnings(words)
         values = np.concatenate([(own.weights * mass[:, None]).reshape(-1), mass, came.reshape(-1)])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)], names=["i", "value"])
 
@@ -151,19 +157,19 @@ def train(tokens: DataFrame) -> Mixer:
 
 
 def token_scores(tokens: DataFrame, mixer: Mixer) -> DataFrame:
-    """token, class and log: the log10 probability of each; ``tokens`` are dealt."""
+    """token, class, n and log: the log10 probability of each; ``tokens`` are dealt."""
     shared = Shared(tokens.sparkSession.sparkContext, mixer)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = gathered(batches)
         if table is None:
             return
-        own, words = shared.value, portion(table)
-        own.whole = mixing.whole_contexts(*portion(table.filter(pa.compute.greater(table["n"], 0))))
-        scored = table.select(["token", "class"]).append_column("log", pa.array(own.log10(*words[:3])))
+        own, words = shared.value, mixing.Beginnings(*portion(table))
+        own.whole = words.whole()
+        scored = table.select(["token", "class", "n"]).append_column("log", pa.array(own.log10_beginnings(words)))
         yield from scored.to_batches()
 
-    return tokens.mapInArrow(score, "token bigint, class int, log double")
+    return tokens.mapInArrow(score, "token bigint, class int, n bigint, log double")
 
 
 def level(c: str = "c") -> Column:
@@ -171,8 +177,8 @@ def level(c: str = "c") -> Column:
     return F.when(F.col(c) > 0, F.floor(F.log2(c) * 8)).otherwise(-1).cast("int")
 
 
-def common_scores(scores: DataFrame) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    """The lowest level of counts such that at most COMMON_TOKENS rows reach it, and the keys of those rows with their
+def common_scores(scores: DataFrame) -> tuple[int, following.Symbols, np.ndarray, np.ndarray]:
+    """The lowest level of counts such that at most COMMON_TOKENS rows reach it, and the symbols of those rows with their
     counts and scores."""
     levels = sorted(((r[0], r[1]) for r in scores.groupBy(level()).count().collect()), reverse=True)
     total, least = 0, 1 << 20
@@ -181,17 +187,33 @@ def common_scores(scores: DataFrame) -> tuple[int, np.ndarray, np.ndarray, np.nd
         if total > COMMON_TOKENS:
             break
         least = at
-    found = scores.filter(level() >= least).select("token", "class", "c", "log").toArrow()
-    keys = row_keys(found["token"].to_numpy().view(np.uint64), found["class"].to_numpy())
+    end = F.col("token") == int(np.uint64(END_HASH).view(np.int64))
+    every, texts = np.zeros(mixing.N_CLASSES), np.zeros(mixing.N_CLASSES)
+    for row in scores.groupBy("class").agg(F.sum("n"), F.sum(F.when(end, F.col("n")).otherwise(0))).collect():
+        every[row[0]], texts[row[0]] = row[1], row[2]
+    found = scores.filter(level() >= least).select("token", "class", "c", "n", "log").toArrow()
+    token, classes = found["token"].to_numpy().view(np.uint64), found["class"].to_numpy()
+    keys = row_keys(token, classes)
     order = np.argsort(keys)
-    return least, keys[order], found["c"].to_numpy()[order], found["log"].to_numpy()[order]
+    n, log = found["n"].to_numpy()[order], found["log"].to_numpy()[order]
+    symbols = following.Symbols(keys[order], classes[order], n, log, token[order] == END_HASH, every, texts)
+    return least, symbols, found["c"].to_numpy()[order], log
 
 
-def scorer(shared: Shared, total: int, distinct: int):
-    """Scores of a batch's texts, with the tokens whose scores are not broadcast left to be joined."""
+def as_bytes(table: pa.Table) -> bytes:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_table(table)
+    return sink.getvalue().to_pybytes()
+
+
+def scorer(shared: Shared, total: int, distinct: int, parts: int):
+    """Blocks of a batch: by part, its pairs of symbols; and with a part of ``parts`` and more, scores of its texts, with
+    the tokens whose scores are not broadcast left to be joined."""
 
     def work(batch: pa.RecordBatch) -> pa.Table:
-        common, common_c, common_log = shared.value
+        symbols, common_c, common_log = shared.value
+        common = symbols.keys
         data, words, classes, offsets = tokens(batch["text"])
         hashes, own, _, _, place = distinct_tokens(data, words, classes)
         n = batch.num_rows
@@ -216,11 +238,12 @@ def scorer(shared: Shared, total: int, distinct: int):
         order = np.argsort(row[one], kind="stable")
         one, times = one[order], times[order]
         edges = pa.array(np.searchsorted(row[one], np.arange(n + 1)).astype(np.int32))
-        return pa.table(
+        begin = batch["row"][0].as_py()
+        texts = pa.table(
             {
                 "doc_id": batch["doc_id"],
                 "held_out": batch["held_out"],
-                "row": batch["row"],
+                "row": pa.array(begin + np.arange(n)),
                 "class": pa.array(classes, pa.int32()),
                 "n_tokens": pa.array(words.counts + 1, pa.int64()),
                 "n_bytes": pa.array(np.diff(offsets), pa.int64()),
@@ -231,10 +254,70 @@ def scorer(shared: Shared, total: int, distinct: int):
                 "times": pa.ListArray.from_arrays(edges, pa.array(times.astype(np.int32))),
             }
         )
+        # What follows what, over the running text.
+        symbol = np.where(found, at, symbols.rest + own)[place]
+        training = ~batch["held_out"].to_numpy(zero_copy_only=False)
+        pairs = following.followed(symbol[: len(words.hashes)], symbol[len(words.hashes) :], first, symbols.start + classes, training)
+        blocks = [*(following.dealt(pairs, parts) if total else ()), (parts + hash(begin) % parts, as_bytes(texts))]
+        return pa.table(
+            {
+                "part": pa.array([part for part, _ in blocks], pa.int32()),
+                "base": pa.array([begin] * len(blocks), pa.int64()),
+                "data": pa.array([data for _, data in blocks], pa.binary()),
+            }
+        )
 
     return work
 
 
+def by_part(blocks: Iterator, parts: int) -> Iterator[tuple[list[int], following.Pairs]]:
+    """The pairs of each part among some blocks, and the batch each of its blocks is from."""
+    held = {}
+    for part, base, data in blocks:
+        if part < parts:
+            held.setdefault(part, []).append((base, bytes(data)))
+    for part in sorted(held):
+        own = sorted(held.pop(part))
+        yield [base for base, _ in own], following.Pairs([data for _, data in own])
+
+
+def context_weights(blocks: RDD, parts: int, shared: Shared) -> np.ndarray:
+    """The weights of the context of the token before, by gate."""
+
+    def learn(rows: Iterator) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        for _, pairs in by_part(rows, parts):
+            weights, mass = pairs.learn(shared.value[0])
+            yield weights * mass, mass
+
+    none = np.zeros(following.GATES)
+    sums, mass = blocks.mapPartitions(learn).fold((none, none), lambda x, y: (x[0] + y[0], x[1] + y[1]))
+    return np.where(mass > 0, sums / np.maximum(mass, 1), following.START)
+
+
+def context_gains(spark: SparkSession, blocks: RDD, parts: int, shared: Shared, weights: np.ndarray) -> DataFrame:
+    """row and gain: what the context of the token before adds to each text's score."""
+
+    def gains(rows: Iterator) -> Iterator[tuple[int, bytes, bytes]]:
+        for bases, pairs in by_part(rows, parts):
+            for base, (texts, gain) in zip(bases, pairs.gains(shared.value[0], weights), strict=True):
+                yield base, texts.astype(np.int32).tobytes(), gain.astype(np.float32).tobytes()
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {}
+        for batch in batches:
+            for base, texts, gain in zip(*(batch[name].to_pylist() for name in ("base", "texts", "gain")), strict=True):
+                own = np.bincount(np.frombuffer(texts, np.int32), np.frombuffer(gain, np.float32))
+                held = sums.get(base, own[:0])
+                longer, shorter = (own, held) if len(own) > len(held) else (held, own)
+                longer[: len(shorter)] += shorter
+                sums[base] = longer
+        for base, gain in sums.items():
+            yield pa.RecordBatch.from_arrays([pa.array(base + np.arange(len(gain))), pa.array(gain)], names=["row", "gain"])
+
+    found = spark.createDataFrame(blocks.mapPartitions(gains), "base bigint, texts binary, gain binary", verifySchema=False)
+    return found.repartition("base").mapInArrow(add, "row bigint, gain double")
+
+
 def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and bits_per_byte, for each row of ``docs``.
 
@@ -247,14 +330,28 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     scores = stored(token_scores(own, train(own)).join(counts, "token"), "lm-scores")
     total, distinct = scores.groupBy("token").agg(F.max("c").alias("c")).filter("c > 0").agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
     least, *common = common_scores(scores)
-    shared = Shared(docs.sparkSession.sparkContext, tuple(common))
+    spark = docs.sparkSession
+    shared = Shared(spark.sparkContext, tuple(common))
+    size = texts.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+    parts = max(1, -(-size // PART_BYTES))
 
     schema = (
         f"doc_id {docs.schema[doc_id].dataType.simpleString()}, held_out boolean, row bigint, class int, n_tokens bigint, n_bytes bigint, "
         "common bigint, base double, score double, tokens array<bigint>, times array<int>"
     )
     numbered = texts.select("doc_id", held_out.alias("held_out"), F.monotonically_increasing_id().alias("row"), "text")
-    scored = stored(batch_map(numbered, scorer(shared, total, distinct), schema), "lm-scored")
+    # Texts are read once for all that follows: every pass over the blocks goes on from the same shuffle.
+    blocks = batch_map(numbered, scorer(shared, total, distinct, parts), "part int, base bigint, data binary").repartition(parts, "part").rdd
+    weights = context_weights(blocks, parts, shared)
+
+    def scores_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data in batch["data"].to_pylist():
+                yield from pa.ipc.open_stream(data)
+
+    kept = blocks.filter(lambda row: row[0] >= parts).map(lambda row: (bytes(row[2]),))
+    scored = stored(spark.createDataFrame(kept, "data binary", verifySchema=False).mapInArrow(scores_of_texts, schema), "lm-scored")
+    gains = context_gains(spark, blocks, parts, shared, weights)
     rare = scored.select("row", "class", F.explode(F.arrays_zip("tokens", "times")).alias("x")).select(
         "row", "class", F.col("x.tokens").alias("token"), F.col("x.times").alias("times")
     )
@@ -267,8 +364,8 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
         F.sum(F.col("times") * F.col("log")).alias("rare_score"),
     )
     zero = F.lit(0)
-    score = F.col("score") + F.coalesce("rare_score", F.lit(0.0))
-    return scored.join(sums, "row", "left").select(
+    score = F.col("score") + F.coalesce("rare_score", F.lit(0.0)) + F.coalesce("gain", F.lit(0.0))
+    return scored.join(sums, "row", "left").join(gains, "row", "left").select(
         "doc_id",
         "held_out",
         "n_tokens",

@@ -12,6 +12,7 @@ Tables of a fixed size, indexed by a hash, serve vocabularies that fit them (``a
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -59,6 +60,8 @@ LIMIT = 8.0
 RATE = 0.3
 #: Tokens handled at a time.
 CHUNK = 1 << 13
+#: Distinct beginnings of tokens handled at a time.
+PORTION = 1 << 15
 
 
 def joined(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -88,9 +91,10 @@ def text_classes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 @dataclass
 class Decisions:
-    """All binary decisions of some tokens: the token, the table slots, and how each went."""
+    """All binary decisions of some tokens: the token, the byte, the table slots, and how each went."""
 
     token: np.ndarray
+    at: np.ndarray
     slots: np.ndarray
     bit: np.ndarray
 
@@ -130,7 +134,7 @@ def decisions(data: np.ndarray, first: np.ndarray, classes: np.ndarray) -> Decis
             z ^= z >> np.uint64(31)
             z *= SPREAD
             slots[k] = (z >> np.uint64(64 - bits)).astype(np.int32) + np.int32(OFFSETS[k])
-    return Decisions(token[at], slots, bit.astype(np.int8))
+    return Decisions(token[at], at, slots, bit.astype(np.int8))
 
 
 def prefix_hashes(data: np.ndarray, first: np.ndarray) -> np.ndarray:
@@ -142,31 +146,69 @@ def prefix_hashes(data: np.ndarray, first: np.ndarray) -> np.ndarray:
         return mixed(moved_to_zero(sums - begins[token], first[:-1][token]))
 
 
-def context_keys(data: np.ndarray, first: np.ndarray, classes: np.ndarray) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
-    """For each byte its token; by order, a hash of its context with its own symbol; and how many bytes of the token are
-    before it."""
-    n = len(data)
+def placed(data: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each byte its token, how many bytes of the token are before it, and a hash of these."""
     token = np.repeat(np.arange(len(first) - 1), np.diff(first))
-    inside = np.arange(n) - first[:-1][token]
+    return token, np.arange(len(data)) - first[:-1][token], prefix_hashes(data, first)
+
+
+def whole_keys(whole: np.ndarray, classes: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Keys of all of a token's bytes so far, as hashed in ``whole``, with the next byte's symbol."""
+    with np.errstate(over="ignore"):
+        return mixed(whole + CLASSES[classes]) & ~SYMBOL | symbol
+
+
+def context_keys(
+    data: np.ndarray, first: np.ndarray, classes: np.ndarray, at: np.ndarray | None = None, places: tuple[np.ndarray, ...] | None = None
+) -> tuple[np.ndarray, list[np.ndarray], np.ndarray, np.ndarray]:
+    """For each byte, or those ``at`` some places, its token; by order, a hash of its context with its own symbol; and how
+    many bytes of the token are before it."""
+    places = places or placed(data, first)
+    at = np.arange(len(data)) if at is None else at
+    token, inside, whole = (x[at] for x in places)
     text_class = CLASSES[classes][token]
-    symbol = SYMBOLS[data]
-    history = np.zeros(n, np.uint64)
+    symbol = SYMBOLS[data[at]]
+    history = np.zeros(len(at), np.uint64)
     keys = []
     with np.errstate(over="ignore"):
         for k in range(1, max(ORDERS) + 1):
-            before = np.zeros(n, np.uint64)
-            before[k:] = data[:-k]
-            before[inside < k] = 0
+            before = np.where(inside < k, 0, data[np.maximum(at - k, 0)]).astype(np.uint64)
             history |= before << np.uint64(8 * (k - 1))
             if k in GRAMS:
                 # Where the token's beginning is seen, it is part of the context.
                 seen = mixed(history | np.minimum(inside, k + 1).astype(np.uint64) << np.uint64(56))
                 own = mixed(seen + text_class) if BY_CLASS[ORDERS.index(k)] else seen
                 keys.append(own & ~SYMBOL | symbol)
-        keys.append(mixed(prefix_hashes(data, first) + text_class) & ~SYMBOL | symbol)
+    keys.append(whole_keys(whole, classes[token], symbol))
     return token, keys, inside, symbol
 
 
+class Beginnings:
+    """Distinct beginnings of some tokens, each of which is coded the same way wherever it occurs: ``at`` is the place of the
+    last byte of one occurrence, ``keys`` tell them apart, ``weights`` are the sums of their tokens' counts. They come in the
+    order of their hashes."""
+
+    def __init__(self, data: np.ndarray, first: np.ndarray, classes: np.ndarray, counts: np.ndarray):
+        self.tokens = data, first, classes
+        self.places = placed(data, first)
+        token, self.inside, whole = self.places
+        self.keys, self.at, self.place = np.unique(whole_keys(whole, classes[token], SYMBOLS[data]), return_index=True, return_inverse=True)
+        self.weights = np.bincount(self.place, counts[token], len(self.keys))
+
+    def whole(self) -> Contexts:
+        """The counts of the contexts that are all of a token's bytes so far, if these are WHOLE_FROM and more."""
+        long = self.inside[self.at] >= WHOLE_FROM
+        return Contexts(self.keys[long], self.weights[long])
+
+    def portions(self) -> Iterator[tuple[slice, np.ndarray]]:
+        for lo in range(0, len(self.at), PORTION):
+            yield slice(lo, lo + PORTION), self.at[lo : lo + PORTION]
+
+    def by_token(self, values: np.ndarray) -> np.ndarray:
+        """The sums of the values of each token's beginnings."""
+        return np.bincount(self.places[0], values[self.place], len(self.tokens[1]) - 1)
+
+
 def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys in order and the sums of their counts."""
     distinct, place = np.unique(keys, return_inverse=True)
@@ -261,9 +303,9 @@ def start_weights() -> np.ndarray:
 
 @dataclass
 class Counted:
-    """All binary decisions of some tokens: the token, how often each went either way, by predictor, and how it went."""
+    """All binary decisions of some bytes: which of them, how often each went either way, by predictor, and how it went."""
 
-    token: np.ndarray
+    byte: np.ndarray
     zeros: np.ndarray
     ones: np.ndarray
     bit: np.ndarray
@@ -281,12 +323,20 @@ class Mixer:
     grams: list[Contexts] | None = None
     whole: Contexts | None = None
 
-    def counted(self, data: np.ndarray, first: np.ndarray, classes: np.ndarray) -> Counted:
+    def counted(
+        self, data: np.ndarray, first: np.ndarray, classes: np.ndarray, at: np.ndarray | None = None, places: tuple[np.ndarray, ...] | None = None
+    ) -> Counted:
+        """The decisions of all bytes, or of those ``at`` some places."""
+        at = np.arange(len(data)) if at is None else at
         if self.grams is None:
             made = decisions(data, first, classes)
-            return Counted(made.token, self.zeros[made.slots], self.ones[made.slots], made.bit)
-        token, keys, inside, symbol = context_keys(data, first, classes)
-        rare = np.flatnonzero(CODES[data] == ESCAPE)
+            asked = np.full(len(data), -1)
+            asked[at] = np.arange(len(at))
+            own = np.flatnonzero(asked[made.at] >= 0)
+            slots = made.slots[:, own]
+            return Counted(asked[made.at[own]], self.zeros[slots], self.ones[slots], made.bit[own])
+        _, keys, inside, symbol = context_keys(data, first, classes, at, places)
+        rare = np.flatnonzero(CODES[data[at]] == ESCAPE)
         long = np.flatnonzero(inside >= WHOLE_FROM)
         bits = (symbol[:, None] >> np.arange(PATH - 1, -1, -1).astype(np.uint64)) & np.uint64(1)
         bit = np.concatenate([bits[:, :DEPTH].reshape(-1), bits[rare, DEPTH:].reshape(-1)]).astype(bool)
@@ -303,8 +353,7 @@ class Mixer:
                 np.concatenate([t[:, :DEPTH][place].reshape(-1), t[:, DEPTH:][place[rare]].reshape(-1)]) for t in (alike, other)
             )
             zeros[k], ones[k] = np.where(bit, opposite, same), np.where(bit, same, opposite)
-        at = np.concatenate([np.repeat(np.arange(len(data)), DEPTH), np.repeat(rare, 8)])
-        return Counted(token[at], zeros, ones, bit.astype(np.int8))
+        return Counted(np.concatenate([np.repeat(np.arange(len(at)), DEPTH), np.repeat(rare, 8)]), zeros, ones, bit.astype(np.int8))
 
     def prepare(self) -> Mixer:
         """Weights for scoring."""
@@ -315,14 +364,19 @@ class Mixer:
         self, data: np.ndarray, first: np.ndarray, classes: np.ndarray, counts: np.ndarray
     ) -> tuple[np.ndarray, np.ndarray]:
         """One online pass over counted tokens: corrects the weights after each portion, and returns the mass each gate
-        has seen and, for each bin of the mixed probability, how often 0 and 1 came true.
+        has seen and, for each bin of the mixed probability, how often 0 and 1 came true."""
+        return self.learn_beginnings(Beginnings(data, first, classes, counts))
 
-        A decision is taken out of the counts before it is predicted, so that a token does not vouch for itself."""
+    def learn_beginnings(self, tokens: Beginnings) -> tuple[np.ndarray, np.ndarray]:
+        """The same over tokens whose distinct beginnings are known.
+
+        A decision is taken out of the counts before it is predicted, so that a token does not vouch for itself. A portion
+        that holds less than the usual mass of a gate corrects it less."""
         mass = np.zeros(GATES)
         came = np.zeros((2, SEEN, BINS))
-        for lo, hi, part, own in chunks(data, first):
-            made = self.counted(part, own, classes[lo:hi])
-            weight = counts[lo:hi][made.token].astype(np.float64)
+        for number, (own, at) in enumerate(tokens.portions()):
+            made = self.counted(*tokens.tokens, at, tokens.places)
+            weight = tokens.weights[own][made.byte]
             zeros = np.maximum(made.zeros - (1 - made.bit), 0)
             ones = np.maximum(made.ones - made.bit, 0)
             odds = np.log((ones + PRIOR) / (zeros + PRIOR))
@@ -333,7 +387,7 @@ class Mixer:
             share = np.bincount(gate, weight, GATES)
             for k in range(len(ORDERS)):
                 step = np.bincount(gate, error * odds[k], GATES)
-                self.weights[:, k] += RATE * step / np.maximum(share, 1)
+                self.weights[:, k] += RATE * step / np.maximum(np.maximum(share, mass / max(number, 1)), 1)
             mass += share
             bin_ = np.round((mixture + LIMIT) * ((BINS - 1) / (2 * LIMIT))).astype(np.int64)
             at = seen[1].astype(np.int64) * BINS + bin_
@@ -344,9 +398,13 @@ class Mixer:
 
     def log10(self, data: np.ndarray, first: np.ndarray, classes: np.ndarray) -> np.ndarray:
         """The log10 probability of each token."""
-        found = np.empty(len(first) - 1)
-        for lo, hi, part, own in chunks(data, first):
-            made = self.counted(part, own, classes[lo:hi])
+        return self.log10_beginnings(Beginnings(data, first, classes, np.ones(len(classes))))
+
+    def log10_beginnings(self, tokens: Beginnings) -> np.ndarray:
+        """The same for tokens whose distinct beginnings are known."""
+        found = np.empty(len(tokens.at))
+        for own, at in tokens.portions():
+            made = self.counted(*tokens.tokens, at, tokens.places)
             odds = np.log((made.ones + PRIOR) / (made.zeros + PRIOR)).astype(np.float32)
             seen = seen_class(made.zeros[-2:] + made.ones[-2:])
             high = seen[1]
@@ -360,12 +418,12 @@ class Mixer:
                 place = (mixture + np.float32(LIMIT)) * np.float32((BINS - 1) / (2 * LIMIT))
                 below = np.minimum(place.astype(np.int16), BINS - 2)
                 share = place - below
-                at = high.astype(np.int32) * BINS + below
+                cell = high.astype(np.int32) * BINS + below
                 table = self.refine.reshape(-1)
-                p = (p + table[at] * (1 - share) + table[at + 1] * share) / 2
+                p = (p + table[cell] * (1 - share) + table[cell + 1] * share) / 2
             p = np.where(made.bit == 1, p, 1 - p)
-            found[lo:hi] = np.bincount(made.token, np.log10(p), hi - lo)
-        return found
+            found[own] = np.bincount(made.byte, np.log10(p), len(at))
+        return tokens.by_token(found)
 
 
 def refinement(came: np.ndarray) -> np.ndarray:
