@@ -60,20 +60,23 @@ RETURN {first_rows(rows, order, f"{SHOWN}, similarity", f"{name}.limit_to")}"""
 
 def full_text_search_function(collection: str, name: str) -> str:
     """Any number of terms; each counts once. Statistics are those of the whole collection; a row for each term that a
-    passing product holds meets its count, and only the winners are looked up again."""
+    passing product holds, with how often it does, meets the term's count where it arises, and only the winners are looked
+    up again. The counts, a row for each term, go to all tasks: a term is no key to shuffle by, as every product may hold it."""
     asked = f"array_distinct({name}.terms)"
     corpus = f"(SELECT struct(count(*) AS documents, avg(coalesce(size(description_tokens), 0)) AS avgdl) FROM {collection})"
     held = f"""(SELECT term, count(*) AS df
       FROM (SELECT explode(array_intersect({asked}, description_tokens)) AS term FROM {collection}) GROUP BY term)"""
-    hits = f"""(SELECT asin, estimated_price, size(description_tokens) AS dl, description_tokens, asked,
-        posexplode(array_intersect({asked}, description_tokens)) AS (pos, term)
-      FROM (SELECT c.*, size({asked}) AS asked FROM {collection} c WHERE {filters(name)}))"""
+    hits = f"""(SELECT asin, estimated_price, dl, asked, pos, hit.term, hit.tf
+      FROM (SELECT asin, estimated_price, size(description_tokens) AS dl, asked, posexplode(transform(
+          array_intersect({asked}, description_tokens),
+          t -> struct(t AS term, size(filter(description_tokens, w -> w = t)) AS tf))) AS (pos, hit)
+        FROM (SELECT c.*, size({asked}) AS asked FROM {collection} c WHERE {filters(name)})))"""
     weight = f"""ln(1 + (corpus.documents - df + 0.5D) / (df + 0.5D))
           * (tf * ({K1}D + 1) / (tf + {K1}D * (1 - {B}D + {B}D * dl / corpus.avgdl)))"""
     scored = f"""(SELECT asin AS found, estimated_price AS price,
         aggregate(sort_array(collect_list(struct(pos, weight))), 0D, (total, x) -> total + x.weight) AS text_search_score
       FROM (SELECT *, {weight} AS weight FROM (
-        SELECT *, {corpus} AS corpus, size(filter(description_tokens, w -> w = term)) AS tf FROM {hits} JOIN {held} USING (term)))
+        SELECT /*+ BROADCAST(held) */ *, {corpus} AS corpus FROM {hits} JOIN {held} AS held USING (term)))
       GROUP BY asin, estimated_price, asked
       HAVING count(*) >= CASE WHEN {name}.match_all THEN asked ELSE 1 END)"""
     winners = first_rows(scored, "text_search_score DESC, price, found", "found, text_search_score", f"{name}.limit_to")

@@ -69,6 +69,18 @@ def test_no_query_crosses_tables(spark, name):
     assert "CartesianProduct" not in text and "NestedLoopJoin" not in text
 
 
+def test_sql_text_search_shuffles_neither_tokens_nor_by_term(spark):
+    """Every product may hold a term; however large the tables, the terms' counts go to the products."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(QUERIES["full_text_search_sql"](spark, SF_DIR))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    joins = [line for line in text.splitlines() if "Join" in line and "term#" in line]
+    assert joins and all("BroadcastHashJoin" in line for line in joins)
+
+
 def test_few_changes_are_merged_without_shuffling_or_rereading_the_snapshot(spark, shelf):
     path = new_folder(spark, "merged")
     rows = store.with_version(shelf.withColumn("ts", F.timestamp_seconds(F.lit(1))), "ts").drop("ts")
