@@ -64,6 +64,14 @@ def rejected(enriched: DataFrame) -> DataFrame:
     return enriched.filter(F.col("embedding").isNull()).drop("enriched", "embedding")
 
 
+def settled(enriched: DataFrame) -> DataFrame:
+    """The records of both with one text each: the enriched JSON of those that got an embedding, as ``value``, and the others
+    as they came, with ``reject_reason``; ``is_embedded`` tells them apart. A frame to keep for both writers."""
+    embedded = F.col("embedding").isNotNull()
+    kept = enriched.withColumns({"is_embedded": embedded, "value": F.when(embedded, F.col("enriched")).otherwise(F.col("value"))})
+    return kept.drop("enriched", "embedding")
+
+
 def embed_distinct(
     df: DataFrame,
     text: str,

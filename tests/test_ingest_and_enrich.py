@@ -1,4 +1,5 @@
 from collections import Counter
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,9 @@ from shelfseek.functions.embedding import HashEmbedder, ModelEmbedder
 from shelfseek.operators.enrich import accepted, embed_distinct, enrich, rejected
 from shelfseek.operators.ingest import ingest_problems, ingest_transform, parse_products
 from shelfseek.operators.salting import salted_left_join
+from shelfseek.scratch import new_folder
+from shelfseek.sources import topics
+from shelfseek.streaming import jobs
 
 RECORDS = [
     ('{"asin":"1","description":"a \\"b\\"","price":"12.5","x":{"k":[1,null]}}', None),
@@ -113,3 +117,22 @@ def test_salted_join_spreads_a_hot_key_and_keeps_every_row(spark):
     plain = rows.join(lookup.drop("n"), "key", "left")
     assert found.select("id", "key", "top").exceptAll(plain.select("id", "key", "top")).count() == 0
     assert found.count() == 5000
+
+
+def test_the_enrichment_stream_keeps_one_text_for_each_record(spark):
+    """What a micro-batch keeps for its two writers holds neither the record beside its enriched text nor the vector beside
+    its JSON."""
+    path, plans, rows = new_folder(spark, "kept"), [], []
+    records = [("k", v, "t", 0, i, datetime(2024, 1, 1)) for i, (v, _) in enumerate(RECORDS)]
+    spark.createDataFrame(records, topics.MESSAGE_SCHEMA).write.parquet(f"{path}/raw")
+
+    def write(batch, batch_id):
+        plans.append(batch._jdf.queryExecution().executedPlan().toString())
+        rows.append(batch.collect())
+
+    jobs.start_enrichment(topics.read_topic_files(spark, f"{path}/raw"), HashEmbedder(8), write, write, f"{path}/checkpoint").awaitTermination()
+    scans = [line for plan in plans for line in plan.splitlines() if "InMemoryTableScan" in line or "InMemoryRelation" in line]
+    assert scans and not any("enriched#" in line or "embedding#" in line for line in scans)
+    done = enrich(spark.read.parquet(f"{path}/raw"), HashEmbedder(8))
+    assert sorted(rows[0]) == sorted(accepted(done).collect()) and rows[0][0].__fields__ == accepted(done).columns
+    assert sorted(rows[1]) == sorted(rejected(done).collect()) and rows[1][0].__fields__ == rejected(done).columns
