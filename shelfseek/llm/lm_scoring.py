@@ -34,7 +34,18 @@ from pyspark.sql import functions as F
 
 from shelfseek.llm import following, mixing
 from shelfseek.llm.mixing import Contexts, Mixer
-from shelfseek.llm.text_arrays import LOWER, NOT_WHITE, Shared, Words, batch_map, row_keys, text_bytes
+from shelfseek.llm.text_arrays import (
+    LOWER,
+    NOT_WHITE,
+    Shared,
+    Words,
+    batch_map,
+    binary_array,
+    distinct_hashes,
+    giving_back,
+    row_keys,
+    text_bytes,
+)
 from shelfseek.scratch import stored
 
 FOLDS = 10
@@ -45,6 +56,8 @@ COMMON_TOKENS = 400_000
 END_HASH = 0x0E0D0A0E0D0A0E0D
 #: Distinct tokens that one task learns from or scores, about.
 TASK_TOKENS = 100_000
+#: Bytes of texts whose tokens are found at a time: a task takes about 20 bytes of memory for each.
+TEXT_BYTES = 4 << 20
 #: Bytes of texts whose pairs of symbols one task counts, about.
 PART_BYTES = 12 << 20
 
@@ -60,27 +73,33 @@ def tokens(column: pa.Array) -> tuple[np.ndarray, Words, np.ndarray, np.ndarray]
     return data, Words(data, offsets, NOT_WHITE), mixing.text_classes(data, offsets), offsets
 
 
-def distinct_tokens(data: np.ndarray, words: Words, classes: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct pairs of class and token, ends included: their hashes, classes, bytes, numbers, and for each word and
-    then each end of a text the place of its pair."""
+def distinct_tokens(words: Words, classes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct pairs of class and token, ends included: their hashes, classes, the place of one occurrence, and for each
+    word and then each end of a text the number of its pair."""
     hashes = np.concatenate([words.hashes, np.full(len(classes), END_HASH, np.uint64)])
     own = np.concatenate([classes[words.rows], classes])
-    _, at, place, n = np.unique(row_keys(hashes, own), return_index=True, return_inverse=True, return_counts=True)
-    starts, ends = words.starts, words.ends
-    texts = [data[starts[i] : ends[i]].tobytes() if i < len(starts) else b"\n" for i in at.tolist()]
-    return hashes[at], own[at], texts, n, place
+    _, at, place, _ = distinct_hashes(row_keys(hashes, own))
+    return hashes[at], own[at], at, place
+
+
+def token_bytes(data: np.ndarray, words: Words, at: np.ndarray) -> pa.Array:
+    """The bytes of the words ``at`` some places, a line break for each place beyond them."""
+    ends = at >= len(words.starts)
+    starts = np.where(ends, len(data), np.concatenate([words.starts, [0]])[np.where(ends, -1, at)])
+    stops = np.where(ends, len(data) + 1, np.concatenate([words.ends, [0]])[np.where(ends, -1, at)])
+    return binary_array(np.concatenate([data, np.array([0x0A], np.uint8)]), starts, stops)
 
 
 def count_tokens(batch: pa.RecordBatch) -> pa.Table:
     data, words, classes, _ = tokens(batch["text"])
-    hashes, own, texts, _, place = distinct_tokens(data, words, classes)
+    hashes, own, at, place = distinct_tokens(words, classes)
     training = ~batch["held_out"].to_numpy(zero_copy_only=False)
-    n = np.bincount(place, np.concatenate([training[words.rows], training]), len(texts)).astype(np.int64)
+    n = np.bincount(place, np.concatenate([training[words.rows], training]), len(at)).astype(np.int64)
     return pa.table(
         {
             "token": hashes.view(np.int64),
             "class": pa.array(own, pa.int32()),
-            "word": pa.array(texts, pa.binary()),
+            "word": token_bytes(data, words, at),
             "n": pa.array(n, pa.int64()),
         }
     )
@@ -88,7 +107,7 @@ def count_tokens(batch: pa.RecordBatch) -> pa.Table:
 
 def vocabulary(texts: DataFrame) -> DataFrame:
     """Every distinct pair of token and class in ``texts``, and how often it occurs in those not held out."""
-    counted = batch_map(texts, count_tokens, "token bigint, class int, word binary, n bigint")
+    counted = batch_map(texts, count_tokens, "token bigint, class int, word binary, n bigint", size=TEXT_BYTES)
     summed = counted.groupBy("token", "class", "word").agg(F.sum("n").alias("n"))
     return stored(summed.sortWithinPartitions("token", "class"), "lm-vocabulary")
 
@@ -100,7 +119,7 @@ def dealt(vocabulary: DataFrame, rows: int) -> DataFrame:
 
 
 def portion(batch: pa.RecordBatch | pa.Table) -> tuple[np.ndarray, ...]:
-    data, first = mixing.joined(batch["word"].to_pylist())
+    data, first = mixing.joined(batch["word"])
     return data, first, batch["class"].to_numpy(), batch["n"].to_numpy()
 
 
@@ -121,7 +140,7 @@ def grams(vocabulary: DataFrame) -> list[Contexts]:
                 )
 
     training = vocabulary.filter("n > 0").select("word", "class", "n")
-    counted = training.mapInArrow(count, "gram int, key bigint, n bigint")
+    counted = training.mapInArrow(giving_back(count), "gram int, key bigint, n bigint")
     found = counted.groupBy("gram", "key").agg(F.sum("n").alias("n")).toArrow()
     gram, keys, n = found["gram"].to_numpy(), found["key"].to_numpy().view(np.uint64), found["n"].to_numpy()
     return [Contexts(keys[gram == at], n[gram == at]) for at in range(len(mixing.GRAMS))]
@@ -143,7 +162,7 @@ def train(tokens: DataFrame) -> Mixer:
         values = np.concatenate([(own.weights * mass[:, None]).reshape(-1), mass, came.reshape(-1)])
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)], names=["i", "value"])
 
-    learned = tokens.filter("n > 0").mapInArrow(learn, "i int, value double")
+    learned = tokens.filter("n > 0").mapInArrow(giving_back(learn), "i int, value double")
     sums = {row["i"]: row["value"] for row in learned.groupBy("i").agg(F.sum("value").alias("value")).collect()}
     shared.destroy()
     size = n_weights + mixing.GATES + 2 * mixing.SEEN * mixing.BINS
@@ -169,7 +188,7 @@ def token_scores(tokens: DataFrame, mixer: Mixer) -> DataFrame:
         scored = table.select(["token", "class", "n"]).append_column("log", pa.array(own.log10_beginnings(words)))
         yield from scored.to_batches()
 
-    return tokens.mapInArrow(score, "token bigint, class int, n bigint, log double")
+    return tokens.mapInArrow(giving_back(score), "token bigint, class int, n bigint, log double")
 
 
 def level(c: str = "c") -> Column:
@@ -215,7 +234,7 @@ def scorer(shared: Shared, total: int, distinct: int, parts: int):
         symbols, common_c, common_log = shared.value
         common = symbols.keys
         data, words, classes, offsets = tokens(batch["text"])
-        hashes, own, _, _, place = distinct_tokens(data, words, classes)
+        hashes, own, _, place = distinct_tokens(words, classes)
         n = batch.num_rows
         ends = place[len(words.hashes) :]
         first = words.first
@@ -234,7 +253,7 @@ def scorer(shared: Shared, total: int, distinct: int, parts: int):
         token = hashes.view(np.int64)
         rare = np.flatnonzero(~found[place])
         row = np.concatenate([words.rows, np.arange(n)])[rare]
-        keys, one, times = np.unique(row_keys(hashes[place[rare]], row), return_index=True, return_counts=True)
+        _, one, _, times = distinct_hashes(row_keys(hashes[place[rare]], row))
         order = np.argsort(row[one], kind="stable")
         one, times = one[order], times[order]
         edges = pa.array(np.searchsorted(row[one], np.arange(n + 1)).astype(np.int32))
@@ -290,7 +309,7 @@ def context_weights(blocks: RDD, parts: int, shared: Shared) -> np.ndarray:
             yield weights * mass, mass
 
     none = np.zeros(following.GATES)
-    sums, mass = blocks.mapPartitions(learn).fold((none, none), lambda x, y: (x[0] + y[0], x[1] + y[1]))
+    sums, mass = blocks.mapPartitions(giving_back(learn)).fold((none, none), lambda x, y: (x[0] + y[0], x[1] + y[1]))
     return np.where(mass > 0, sums / np.maximum(mass, 1), following.START)
 
 
@@ -314,8 +333,8 @@ def context_gains(spark: SparkSession, blocks: RDD, parts: int, shared: Shared,
         for base, gain in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array(base + np.arange(len(gain))), pa.array(gain)], names=["row", "gain"])
 
-    found = spark.createDataFrame(blocks.mapPartitions(gains), "base bigint, texts binary, gain binary", verifySchema=False)
-    return found.repartition("base").mapInArrow(add, "row bigint, gain double")
+    found = spark.createDataFrame(blocks.mapPartitions(giving_back(gains)), "base bigint, texts binary, gain binary", verifySchema=False)
+    return found.repartition("base").mapInArrow(giving_back(add), "row bigint, gain double")
 
 
 def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -341,7 +360,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     )
     numbered = texts.select("doc_id", held_out.alias("held_out"), F.monotonically_increasing_id().alias("row"), "text")
     # Texts are read once for all that follows: every pass over the blocks goes on from the same shuffle.
-    blocks = batch_map(numbered, scorer(shared, total, distinct, parts), "part int, base bigint, data binary").repartition(parts, "part").rdd
+    blocks = batch_map(numbered, scorer(shared, total, distinct, parts), "part int, base bigint, data binary", size=TEXT_BYTES).repartition(parts, "part").rdd
     weights = context_weights(blocks, parts, shared)
 
     def scores_of_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -350,7 +369,7 @@ def score_texts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
                 yield from pa.ipc.open_stream(data)
 
     kept = blocks.filter(lambda row: row[0] >= parts).map(lambda row: (bytes(row[2]),))
-    scored = stored(spark.createDataFrame(kept, "data binary", verifySchema=False).mapInArrow(scores_of_texts, schema), "lm-scored")
+    scored = stored(spark.createDataFrame(kept, "data binary", verifySchema=False).mapInArrow(giving_back(scores_of_texts), schema), "lm-scored")
     gains = context_gains(spark, blocks, parts, shared, weights)
     rare = scored.select("row", "class", F.explode(F.arrays_zip("tokens", "times")).alias("x")).select(
         "row", "class", F.col("x.tokens").alias("token"), F.col("x.times").alias("times")

@@ -16,8 +16,9 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pyarrow as pa
 
-from shelfseek.llm.text_arrays import mixed, moved_to_zero, prefix_sums
+from shelfseek.llm.text_arrays import mixed, moved_to_zero, prefix_sums, text_bytes
 
 CLOSE, END = 0x20, 0x0A
 # The bytes coded in five decisions; the last code introduces all others.
@@ -64,11 +65,15 @@ CHUNK = 1 << 13
 PORTION = 1 << 15
 
 
-def joined(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def joined(words: list[bytes] | pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """Tokens with what closes them, in one array, and where each begins."""
-    lengths = np.fromiter((len(w) + (w != b"\n") for w in words), np.int64, len(words))
-    data = np.frombuffer(b"".join(w if w == b"\n" else w + b" " for w in words), np.uint8)
-    return data, np.concatenate([[0], np.cumsum(lengths)])
+    column = words.combine_chunks() if isinstance(words, pa.ChunkedArray) else pa.array(words, pa.binary())
+    found, offsets = text_bytes(column)
+    lengths = np.diff(offsets)
+    end = np.zeros(len(lengths), bool)
+    single = np.flatnonzero(lengths == 1)
+    end[single] = found[offsets[single]] == END
+    return np.insert(found, offsets[1:][~end], CLOSE), np.concatenate([[0], np.cumsum(lengths + ~end)])
 
 
 def text_classes(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:

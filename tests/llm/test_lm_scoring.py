@@ -1,7 +1,9 @@
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import brute
@@ -86,3 +88,42 @@ def test_rare_contexts_keep_their_own_counts(spark):
         total = (made.zeros + made.ones)[:, : mixing.DEPTH * (len(word) + 1) : mixing.DEPTH]
         assert total[4].tolist() == [before[word[:k]] for k in range(len(word) + 1)]
         assert total[2, 5:].tolist() == [grams[word[k - 4 : k]] for k in range(5, len(word) + 1)]
+
+
+class Task:
+    """Stands for a table: runs the work of one task on a batch here, and notes the most memory that numpy and Python took."""
+
+    def __init__(self, batch):
+        self.batch, self.rows, self.most = batch, [], 0
+
+    def mapInArrow(self, work, schema):  # noqa: N802
+        tracemalloc.start()
+        self.rows = [len(made) for made in work(iter([self.batch]))]
+        self.most = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return self
+
+    def __getattr__(self, name):
+        return lambda *args: self
+
+
+def test_memory_of_a_task_that_counts_tokens(spark, monkeypatch):
+    """An executor has 3,000 MB for two tasks, its JVM and its Python workers."""
+    monkeypatch.setattr(lm_scoring, "stored", lambda df, name: df)
+    rng = random.Random(3)
+    texts = [" ".join(f"{rng.randrange(10**5):x}" for _ in range(2000)) for _ in range(1200)]
+    assert sum(map(len, texts)) > 12e6
+    task = Task(pa.RecordBatch.from_pydict({"text": texts, "held_out": [i % 10 == 0 for i in range(len(texts))]}))
+    lm_scoring.vocabulary(task)
+    assert sum(task.rows) >= 10**5 and task.most < 130e6
+
+
+def test_tokens_keep_their_bytes():
+    texts = ["one two one", "", "Two \u00e9t\u00e9 " + "x" * 300_000, None, " \n "]
+    made = lm_scoring.count_tokens(pa.RecordBatch.from_pydict({"text": pa.array(texts, pa.string()), "held_out": [False, False, True, False, False]}))
+    found = Counter()
+    for word, n in zip(made["word"].to_pylist(), made["n"].to_pylist(), strict=True):
+        found[word] += n
+    assert found == {b"one": 2, b"two": 1, "\u00e9t\u00e9".encode(): 0, b"x" * 300_000: 0, b"\n": 4}
+    data, first = mixing.joined(made["word"])
+    assert [data[a:b].tobytes() for a, b in zip(first[:-1], first[1:], strict=True)] == [w + b" " * (w != b"\n") for w in made["word"].to_pylist()]
