@@ -13,9 +13,9 @@ The tables are not written out at once:
 3. Only buckets of A that still hold several components are looked at again, nodes of different components with each
    other: those that share a key of B, and so a table (i, j), and agree in enough of the signature have their full sets
    compared inside the bucket, which gives only the links that join its components. A bucket with more than ``MAX_PAIRS``
-   such pairs or ``MAX_SHINGLES`` shingles is first spread over the keys of B, then of A again (a third factor, a
-   fourth, ...), which splits accidental neighbours and keeps near-duplicates together. Nothing is dropped for its
-   bucket's size.
+   such pairs or ``MAX_SHINGLES`` shingles is cut into blocks, the nodes of its largest component apart from the others,
+   and every two blocks that may hold a pair of different components meet in one place. Nothing is dropped for its
+   bucket's size, and a node's copies grow with the number of blocks only.
 
 Defined results: texts without words, empty and null texts have an empty set and are linked with nothing; a text of
 one to four words is one shingle; rows with equal ids are told apart by their sets; a component's id is the smallest id
@@ -43,14 +43,14 @@ SIGNATURE = 2 * GROUPS * HASHES
 #: Of the signature's bytes, so many must agree before a pair is confirmed on full sets: at a similarity of 0.75 the
 #: expected number is 90 with a deviation of 4.7, so one true pair in 100,000 at that similarity has fewer.
 AGREEING = 70
-#: Most pairs of different components that are compared in one bucket; so it has at most one node more.
-MAX_PAIRS = 1 << 20
-#: Most shingles that the nodes of one bucket have together.
+#: Most pairs of different components that a bucket may hold and not be cut.
+MAX_PAIRS = 1 << 24
+#: Most shingles that the nodes of one bucket have together and it is not cut, about.
 MAX_SHINGLES = 4 << 20
+#: Most keys, of a few numbers each, that are sent to all tasks to find their rows; with more the rows are shuffled.
+MAX_SENT = 1 << 19
 #: Members that one task confirms against one centre.
 MEMBERS = 64
-#: Sizes of the incidence matrices by which a bucket's sets are intersected.
-NODES, COLUMNS = 1024, 1024
 #: Shingles minhashed at a time.
 BLOCK = 1 << 15
 
@@ -167,10 +167,16 @@ def node_table(rows: DataFrame) -> DataFrame:
 
 def star_pairs(buckets: DataFrame) -> DataFrame:
     """Each node of a bucket (``key``) with the smallest one in it."""
-    centres = buckets.groupBy("key").agg(F.min("node").alias("u"), F.count("*").alias("n")).filter("n > 1").drop("n")
+    centres = buckets.groupBy("key").agg(F.min("node").alias("u"), F.max("node").alias("last")).filter("u < last")
+    centres = sent(stored(centres.select("key", "u"), "minhash-centres"))
     return buckets.join(centres, "key").filter("node <> u").select("u", F.col("node").alias("v")).distinct()
 
 
+def sent(few: DataFrame) -> DataFrame:
+    """A stored table of a few numbers a row, marked to be broadcast unless it has too many rows."""
+    return F.broadcast(few) if few.count() <= MAX_SENT else few
+
+
 def agreeing(pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs whose signatures agree in enough places, and in how many (``same``)."""
     known = nodes.select("node", "signature", "n_shingles")
@@ -232,15 +238,17 @@ def near_members(buckets: DataFrame) -> DataFrame:
             signatures = matrix(table["signature"].combine_chunks())
             own = table["i"][0].as_py()
             found = np.zeros(n, bool)
-            for k in range(n - 1):
+            after = np.searchsorted(labels, labels, side="right")
+            for k, j in enumerate(after.tolist()):
                 # Sorted by label: the other components' rows come after this component's last.
-                j = int(np.searchsorted(labels, labels[k], side="right"))
                 if j == n:
                     break
-                near = (signatures[j:] == signatures[k]).sum(axis=1) >= AGREEING
-                near &= 100 * np.minimum(sizes[j:], sizes[k]) >= PERCENT * np.maximum(sizes[j:], sizes[k])
-                at = np.flatnonzero(near) + j
-                at = at[(b[at] == b[k]).any(axis=1) & ~(a[at, :own] == a[k, :own]).any(axis=1)]
+                # Of two that are both known to have a partner nothing is left to find.
+                at = np.flatnonzero(~found[j:]) + j if found[k] else np.arange(j, n)
+                at = at[100 * np.minimum(sizes[at], sizes[k]) >= PERCENT * np.maximum(sizes[at], sizes[k])]
+                at = at[(b[at] == b[k]).any(axis=1)]
+                at = at[np.count_nonzero(signatures[at] == signatures[k], axis=1) >= AGREEING]
+                at = at[~(a[at, :own] == a[k, :own]).any(axis=1)]
                 if len(at):
                     found[at] = True
                     found[k] = True
@@ -279,86 +287,110 @@ def pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
 
 def joining(nodes: np.ndarray, labels: np.ndarray, sets: list[np.ndarray]) -> list[tuple[int, int]]:
     """Confirmed links that join the components of one bucket, none superfluous. All pairs of different components are
-    looked at: the nodes outside the largest component with all others, by products of incidence matrices."""
+    looked at that can be linked: two sets of which PERCENT are common share one of the rarest shingles of each, as many as
+    are left when the share that must be common is taken off, and one more. Pairs that links found have joined are passed over."""
     if len(nodes) < 2:
         return []
     sizes = np.array([len(s) for s in sets])
-    values, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
-    shared = np.cumsum(times > 1) - 1
-    owner = np.repeat(np.arange(len(sets)), sizes)
-    common = times[place] > 1
-    column, owner = shared[place[common]], owner[common]
-    order = np.argsort(column, kind="stable")
-    column, owner = column[order], owner[order]
-    names, counts = np.unique(labels, return_counts=True)
-    outside = np.flatnonzero(labels != names[np.argmax(counts)])
-    row = np.full(len(nodes), -1)
-    parent = {int(x): int(x) for x in names}
-
-    def find(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
+    _, place, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    # Shingles numbered by how often they occur: those of one set alone come first.
+    rank = np.empty(len(times), np.int64)
+    rank[np.argsort(times, kind="stable")] = np.arange(len(times))
+    alone = int((times == 1).sum())
+    ordered = np.sort(np.repeat(np.arange(len(sets)), sizes) * len(times) + rank[place])
+    owner, column = ordered // len(times), ordered % len(times) - alone
+    inside = np.arange(len(ordered)) - (np.cumsum(sizes) - sizes)[owner]
+    common = column >= 0
+    leading = common & (inside < (sizes - (PERCENT * sizes + 99) // 100 + 1)[owner])
+    lead_owner, lead_column = owner[leading], column[leading]
+    owner, column = owner[common], column[common]
+    first = np.searchsorted(owner, np.arange(len(sets) + 1))
+    lead_first = np.searchsorted(lead_owner, np.arange(len(sets) + 1))
+    by_column = np.argsort(lead_column, kind="stable")
+    holders = lead_owner[by_column]
+    held = np.searchsorted(lead_column[by_column], np.arange(len(times) - alone + 1))
+    names, component, counts = np.unique(labels, return_inverse=True, return_counts=True)
+    outside = component != np.argmax(counts)
+    marked = np.zeros(len(times) - alone, np.uint8)
     links = []
-    for lo in range(0, len(outside), NODES):
-        part = outside[lo : lo + NODES]
-        row[:] = -1
-        row[part] = np.arange(len(part))
-        both = np.zeros((len(part), len(nodes)), np.float32)
-        for c in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
-            a, b = np.searchsorted(column, c), np.searchsorted(column, c + COLUMNS)
-            every = np.zeros((len(nodes), COLUMNS), np.float32)
-            every[owner[a:b], column[a:b] - c] = 1
-            both += every[part] @ every.T
-        linked = 100 * both >= PERCENT * (sizes[part][:, None] + sizes[None, :] - both)
-        for x, y in zip(*np.nonzero(linked), strict=True):
-            p, q = find(int(labels[part[x]])), find(int(labels[y]))
-            if p != q:
-                parent[p] = q
-                u, v = int(nodes[part[x]]), int(nodes[y])
+    for x in np.flatnonzero(outside).tolist():
+        near = np.zeros(len(nodes), bool)
+        for c in lead_column[lead_first[x] : lead_first[x + 1]].tolist():
+            near[holders[held[c] : held[c + 1]]] = True
+        # A pair of two outside the largest component is looked at by the first of them.
+        at = np.flatnonzero(near & (component != component[x]))
+        at = at[~outside[at] | (at > x)]
+        at = at[100 * np.minimum(sizes[at], sizes[x]) >= PERCENT * np.maximum(sizes[at], sizes[x])]
+        if not len(at):
+            continue
+        own = column[first[x] : first[x + 1]]
+        marked[own] = 1
+        both = np.array([np.count_nonzero(marked[column[first[y] : first[y + 1]]]) for y in at.tolist()])
+        marked[own] = 0
+        for y in at[100 * both >= PERCENT * (sizes[x] + sizes[at] - both)].tolist():
+            if component[x] != component[y]:
+                component[component == component[y]] = component[x]
+                u, v = int(nodes[x]), int(nodes[y])
                 links.append((min(u, v), max(u, v)))
     return links
 
 
 def unresolved(buckets: DataFrame) -> DataFrame:
-    """Rows of buckets that hold several components, with the number of pairs of different ones and of shingles."""
-    per_label = buckets.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
+    """Rows of buckets that hold several components, with the number of pairs of different ones (``pairs``), the label of
+    the largest, whether a row is of it (``main``), and nodes and shingles of it and of the others."""
+    several = buckets.groupBy("key").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least < most")
+    rows = stored(buckets.join(sent(stored(several.select("key"), "minhash-several")), "key"), "minhash-open")
+    per_label = rows.groupBy("key", "label").agg(F.count("*").alias("n"), F.sum("n_shingles").alias("shingles"))
     n, square = F.sum("n"), F.sum(F.col("n") * F.col("n"))
-    several = per_label.groupBy("key").agg(((n * n - square) / 2).alias("pairs"), F.sum("shingles").alias("shingles"))
-    return buckets.join(several.filter("pairs > 0"), "key")
+    counted = per_label.groupBy("key").agg(
+        ((n * n - square) / 2).alias("pairs"),
+        n.alias("n"),
+        F.sum("shingles").alias("shingles"),
+        F.max_by("label", "n").alias("top"),
+        F.max("n").alias("top_n"),
+        F.max_by("shingles", "n").alias("top_shingles"),
+    )
+    return rows.join(counted, "key").withColumn("main", F.col("label") == F.col("top")).drop("top")
+
+
+def cut(opened: DataFrame) -> DataFrame:
+    """The rows of ``unresolved`` buckets, a large bucket as several: its largest component and its other nodes are each cut
+    into blocks, and every two blocks that hold different components meet under a key of their own. A node comes once for each
+    block that its own meets, and every pair of different components is together somewhere."""
+
+    def blocks(n: Column, shingles: Column) -> Column:
+        of_pairs, of_shingles = F.ceil(n / MAX_PAIRS**0.5), F.ceil(2 * shingles / MAX_SHINGLES)
+        return F.greatest(F.lit(1), of_pairs, of_shingles).cast("int")
+
+    small = (F.col("pairs") <= MAX_PAIRS) & (F.col("shingles") <= MAX_SHINGLES)
+    columns = ["key", "i", "node", "label", "n_shingles"]
+    large = opened.filter(~small).select(
+        *columns,
+        "main",
+        blocks(F.col("top_n"), F.col("top_shingles")).alias("mains"),
+        blocks(F.col("n") - F.col("top_n"), F.col("shingles") - F.col("top_shingles")).alias("others"),
+    )
+    own = F.when(F.col("main"), F.pmod(F.xxhash64("node"), F.col("mains"))).otherwise(
+        F.col("mains") + F.pmod(F.xxhash64("node"), F.col("others"))
+    )
+    met = F.sequence(F.when(F.col("main"), F.col("mains")).otherwise(0), F.col("mains") + F.col("others") - 1)
+    large = large.select(*columns, own.cast("int").alias("own"), F.explode(met).alias("met")).filter("own <> met")
+    key = F.xxhash64("key", F.least("own", "met"), F.greatest("own", "met")).alias("key")
+    return opened.filter(small).select(*columns).unionByName(large.select(key, *columns[1:]))
 
 
 def tensor_links(nodes: DataFrame, labels: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """Confirmed links between different components over all tables (i, j)."""
-    labelled = nodes.join(labels.withColumnRenamed("v", "node"), "node", "left").withColumn(
-        "label", F.coalesce("label", "node")
-    )
+    labels = sent(labels.select(F.col("v").alias("node"), "label"))
+    labelled = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     of_a = labelled.select("node", "label", "n_shingles", F.posexplode("a").alias("i", "value"))
     rows = of_a.select("node", "label", "n_shingles", "i", F.xxhash64("i", "value").alias("key"))
-    known = labelled.select("node", "a", "b", "signature")
-    small = (F.col("pairs") <= MAX_PAIRS) & (F.col("shingles") <= MAX_SHINGLES)
-    links = None
-    # Further factors for what is too large: the keys of B, then those of A again.
-    for level in range(GROUPS):
-        opened = stored(unresolved(rows), "minhash-open")
-        large = opened.filter(~small)
-        # Keyed by all factors and still too large: equal in all keys, so compared as it is.
-        last = level == GROUPS - 1 or large.isEmpty()
-        chosen = opened if last else opened.filter(small)
-        near = stored(near_members(met_once(chosen.select("key", "i", "node", "label", "n_shingles"), known)), "minhash-near")
-        members = near.join(chosen.select("key", "node", "label"), ["key", "node"])
-        texts = texts_of(near.select("node").distinct(), nodes, docs, doc_id, text)
-        found = stored(bucket_links(met_once(members, texts)), "minhash-found")
-        links = found if links is None else links.union(found)
-        if last:
-            return links
-        factor = known.select("node", F.col("b" if level == 0 else "a").alias("_factor"))
-        spread = met_once(large.select("key", "node", "label", "n_shingles", "i"), factor)
-        rows = spread.select("key", "node", "label", "n_shingles", "i", F.posexplode("_factor").alias("_f", "value")).select(
-            "node", "label", "n_shingles", "i", F.xxhash64("key", F.lit(level), "_f", "value").alias("key")
-        )
-    return links
+    met = stored(cut(unresolved(rows)), "minhash-met")
+    known = nodes.select("node", "a", "b", "signature")
+    near = stored(near_members(met_once(met, known)), "minhash-near")
+    members = near.join(met.select("key", "node", "label"), ["key", "node"])
+    texts = texts_of(near.select("node").distinct(), nodes, docs, doc_id, text)
+    return stored(bucket_links(met_once(members, texts)), "minhash-found")
 
 
 def met_once(places: DataFrame, known: DataFrame) -> DataFrame:
@@ -374,15 +406,17 @@ def texts_of(wanted: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str,
     ids = nodes.join(wanted, "node").select("node", F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
     own = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("text"), text_hash(F.col(text)))
     same = (F.col("text_hash") == F.col("_hash")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    ids = stored(ids, "minhash-ids")
+    if ids.count() <= MAX_SENT:
+        # Only texts that are asked for are shuffled.
+        own = own.join(F.broadcast(ids.select(F.col("_hash").alias("text_hash")).distinct()), "text_hash", "left_semi")
     return own.join(ids, same).select("node", "text")
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    """Pairs (u, v) with 100 * intersection >= PERCENT * union of their full sets.
+def confirmed(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs (u, v) with 100 * intersection >= PERCENT * union of their full sets. ``texts`` (node, text) has those of all.
 
     The texts of a centre u's partners meet u's text in tasks of about MEMBERS partners each."""
-    ids = pairs.select(F.col("u").alias("node")).union(pairs.select(F.col("v").alias("node"))).distinct()
-    texts = stored(texts_of(ids, nodes, docs, doc_id, text), "minhash-texts")
     parts = pairs.groupBy("u").agg(F.ceil(F.count("*") / MEMBERS).cast("int").alias("parts"))
     part = F.pmod(F.xxhash64("v"), F.col("parts")).cast("int")
     members = pairs.join(parts, "u").select("u", part.alias("part"), F.col("v").alias("node")).join(texts, "node")
@@ -423,6 +457,8 @@ def star_links(stars: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str,
     A node of a large group is in the stars of many centres, but one link joins it. So each node's best pair is confirmed
     first, then the best pair of any two components, and what is still between two components last.
     """
+    ids = stars.select(F.col("u").alias("node")).union(stars.select(F.col("v").alias("node"))).distinct()
+    texts = stored(texts_of(ids, nodes, docs, doc_id, text), "minhash-texts")
     links, labels, left = None, None, stars
     best = F.max_by(F.struct("u", "v"), F.struct("same", -F.col("u"), -F.col("v"))).alias("pair")
     for by in (["v"], ["label_u", "label_v"], None):
@@ -438,7 +474,7 @@ def star_links(stars: DataFrame, nodes: DataFrame, docs: DataFrame, doc_id: str,
                 break
         chosen = left.groupBy(*by).agg(best).select("pair.u", "pair.v") if by else left.select("u", "v")
         chosen = stored(chosen, "minhash-chosen")
-        found = stored(confirmed(chosen, nodes, docs, doc_id, text), "minhash-links")
+        found = stored(confirmed(chosen, texts), "minhash-links")
         links = found if links is None else links.union(found)
         labels = components(links)
         left = left.join(chosen, ["u", "v"], "left_anti")

@@ -1,5 +1,6 @@
 import random
 
+import numpy as np
 import pytest
 
 import brute
@@ -104,3 +105,83 @@ def test_rows_without_ids_are_looked_up_by_their_texts(spark):
     texts = tensor_minhash.texts_of(nodes.select("node"), nodes, docs, "doc_id", "text")
     assert texts.count() == 33
     assert len(tensor_minhash.one_of_each(docs).collect()) == 2
+
+
+def edited_copies(n, words=120, edits=3):
+    """Copies that are alike, but mostly not near enough to be linked."""
+    rng = random.Random(n)
+    base = sentence(rng, words).split()
+    texts = []
+    for k in range(n):
+        own = list(base)
+        for at in rng.sample(range(words), edits):
+            own[at] = f"own{k}at{at}"
+        texts.append(" ".join(own))
+    return texts
+
+
+def test_a_large_bucket_is_cut_once(spark, monkeypatch):
+    """It was spread over more and more keys, of which one was always its own, and all texts were looked up each time."""
+    monkeypatch.setattr(tensor_minhash, "MAX_PAIRS", 100)
+    written = {}
+    kept = tensor_minhash.stored
+
+    def counting(df, name):
+        held = kept(df, name)
+        written.setdefault(name, []).append(held.count())
+        return held
+
+    monkeypatch.setattr(tensor_minhash, "stored", counting)
+    docs = list(enumerate(edited_copies(60)))
+    found = tensor_minhash.near_duplicates(spark.createDataFrame(docs, "doc_id bigint, text string"))
+    assert sorted(map(tuple, found.collect())) == sorted(brute.near_components(docs))
+    assert len(written["minhash-open"]) == len(written["minhash-found"]) == 1
+    # Looked up once for the stars and once for the buckets.
+    assert len(written["minhash-ids"]) == 2
+    assert written["minhash-open"][0] < written["minhash-met"][0] <= 12 * written["minhash-open"][0]
+
+
+def test_every_pair_of_components_meets(spark, monkeypatch):
+    monkeypatch.setattr(tensor_minhash, "MAX_PAIRS", 30)
+    monkeypatch.setattr(tensor_minhash, "MAX_SHINGLES", 400)
+    labels = [0] * 40 + [1] * 5 + list(range(2, 12))
+    rows = [(key, 0, node, label, 10) for key in (7, 8) for node, label in enumerate(labels) if key == 7 or node in (0, 54)]
+    buckets = spark.createDataFrame(rows, "key bigint, i int, node bigint, label bigint, n_shingles bigint")
+    met = {}
+    for r in tensor_minhash.cut(tensor_minhash.unresolved(buckets)).collect():
+        met.setdefault(r.key, set()).add((r.node, r.label))
+    pairs = {(u, v) for nodes in met.values() for u, p in nodes for v, q in nodes if u < v and p != q}
+    assert pairs == {(u, v) for u, p in enumerate(labels) for v, q in enumerate(labels) if u < v and p != q}
+    assert met[8] == {(0, 0), (54, 11)}
+    assert max(map(len, met.values())) < 35
+
+
+def test_links_of_a_bucket():
+    """Against all pairs of random sets, whose links may join in any order."""
+    rng = random.Random(9)
+    for _ in range(40):
+        base = [rng.sample(range(2000), rng.randrange(1, 60)) for _ in range(4)]
+        sets = [
+            np.array(sorted({x if rng.random() > rng.choice((0, 0.1, 0.2)) else rng.randrange(2000) for x in rng.choice(base)}), np.uint64)
+            for _ in range(30)
+        ]
+        nodes = np.array(rng.sample(range(10_000), 30))
+        labels = np.array([rng.randrange(12) for _ in nodes])
+        links = tensor_minhash.joining(nodes, labels, sets)
+        linked = {}
+        for u in range(30):
+            for v in range(u):
+                both = len(set(sets[u].tolist()) & set(sets[v].tolist()))
+                linked[tuple(sorted((int(nodes[u]), int(nodes[v]))))] = 100 * both >= 75 * (len(sets[u]) + len(sets[v]) - both)
+        assert all(linked[pair] for pair in links)
+
+        def parts(pairs):
+            label_of = dict(zip(nodes.tolist(), labels.tolist(), strict=True))
+            group = {x: x for x in set(label_of.values())}
+            for u, v in pairs:
+                p, q = group[label_of[u]], group[label_of[v]]
+                group = {x: q if g == p else g for x, g in group.items()}
+            return len(set(group.values())), {frozenset(x for x in group if group[x] == g) for g in group.values()}
+
+        assert parts(links) == parts([pair for pair, near in linked.items() if near])
+        assert len(links) == len(set(labels.tolist())) - parts(links)[0]
