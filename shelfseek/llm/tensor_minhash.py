@@ -518,12 +518,14 @@ def one_of_each(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") ->
     key = unused("_key", docs.columns)
     keyed = docs.withColumn(key, F.struct(F.col(doc_id).alias("id"), F.xxhash64(F.col(text).cast("string")).alias("text")))
     found = near_duplicates(keyed.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
-    kept = found.filter("kept").groupBy(F.col("doc_id").alias(key)).agg(
-        F.count("*").alias("n"), F.max("n_shingles").alias("n_shingles")
+    counted = found.groupBy(F.col("doc_id").alias(key)).agg(
+        F.sum(F.col("kept").cast("int")).alias("n"), F.max("n_shingles").alias("n_shingles")
     )
-    kept = stored(kept.select(key, ((F.col("n") > 1) & (F.col("n_shingles") > 0)).alias("again")), "minhash-kept")
-    single = keyed.join(kept.filter("NOT again").select(key), key, "left_semi")
-    again = kept.filter("again").select(key)
+    # Most keys are of one row that stays, so the others are listed, and texts are not shuffled to find theirs.
+    other = counted.select(key, "n", ((F.col("n") > 1) & (F.col("n_shingles") > 0)).alias("again")).filter("n = 0 OR again")
+    other = stored(other, "minhash-other")
+    single = keyed.join(sent(other.select(key)), key, "left_anti")
+    again = other.filter("again").select(key)
     if not again.isEmpty():
         single = single.unionByName(keyed.join(again, key, "left_semi").dropDuplicates([key]))
     return single.drop(key)

@@ -156,6 +156,26 @@ def test_every_pair_of_components_meets(spark, monkeypatch):
     assert max(map(len, met.values())) < 35
 
 
+def test_rows_that_stay_are_not_listed(spark, monkeypatch):
+    """Only keys that go or come again are looked up, not all texts that stay."""
+    listed = []
+    kept = tensor_minhash.stored
+
+    def counting(df, name):
+        held = kept(df, name)
+        if name in ("minhash-kept", "minhash-other"):
+            listed.append(held.count())
+        return held
+
+    monkeypatch.setattr(tensor_minhash, "stored", counting)
+    rng = random.Random(3)
+    texts = [sentence(rng, 30) for _ in range(30)]
+    rows = [*enumerate([*texts, *texts[:4]]), (2, texts[2]), (50, "")]
+    found = tensor_minhash.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert sorted(r.doc_id for r in found.collect()) == [*range(30), 50]
+    assert listed == [5]
+
+
 def test_links_of_a_bucket():
     """Against all pairs of random sets, whose links may join in any order."""
     rng = random.Random(9)
